@@ -291,11 +291,17 @@ def replay(
     were not skipped.
     """
     changes = spec.canonical(changes)
-    frames = classify(changes, spec, target, quarantine, skew, scratch)
+    return outcomes_of(classify(changes, spec, target, quarantine, skew, scratch), changes.columns, spec)
+
+
+def outcomes_of(frames: Frames, columns: list[str], spec: ChangeSpec) -> DataFrame:
+    """``columns`` of the change rows and what became of each."""
     # An unknown operation is settled before its key is even read.
     known = F.col(KIND).isNotNull()
+    # The order key travels once: its own column is rebuilt from the sort column.
+    kept = [F.col(ORDER).alias(c) if c == spec.order_key else F.col(f"`{c}`") for c in columns]
     return frames.changes().select(
-        *changes.columns,
+        *kept,
         F.when(known, F.col(KIND)).alias("kind"),
         F.col(OP).alias("op"),
         F.col(REASON).alias("reason"),

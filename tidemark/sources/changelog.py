@@ -57,12 +57,19 @@ def queue_page(
     quarantine: DataFrame | None = None,
     rows: int | None = None,
     scratch: Scratch | None = None,
+    done: DataFrame | None = None,
 ) -> DataFrame:
-    """Pending rows in key order, without those whose business key is quarantined."""
+    """Pending rows in key order, without those whose business key is quarantined.
+
+    ``done`` lists the order keys stamped since the log was written, where the stamps are
+    kept beside the log instead of in it.
+    """
     if not spec.processed_column:
         raise SpecError("queue mode needs processed_column")
     log = spec.canonical(changes)
     log = log.where(F.col(spec.processed_column) == F.lit(spec.pending))
+    if done is not None:
+        log = key_join(log, done, [spec.order_key], "left_anti", null_safe=False)
     if quarantine is not None and spec.quarantine:
         keys = list(spec.business_keys)
         log = key_join(log, key_types_of(quarantine, log, keys), keys, "left_anti")

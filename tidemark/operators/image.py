@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import Scratch
 from ..spec import ChangeSpec
 from .keys import key_join
 from .mapping import INSERT, KIND, ORDER, UPDATE, value_column
-from .replay import CREATES, DELETED, EFFECTIVE, OLD_ID, OUTCOME, TARGET_SEED, Frames, classify
+from .replay import CREATES, DELETED, EFFECTIVE, OLD_ID, OUTCOME, TARGET_SEED, classify
 from .skew import DEFAULT_SKEW, SkewPolicy
 
 ALIVE, BORN, REMOVED_ID = "_alive", "_born", "_removed_id"
@@ -28,12 +27,12 @@ def _packed(columns: list[str]) -> Column:
     return F.struct(*[F.col(value_column(c)).alias(c) for c in columns])
 
 
-def _summary(part: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
+def _summary(rows: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     """One row per key: last delete, last creation, last value of each column group.
 
-    Rows arrive sorted by key, so this runs as a sort aggregate without another sort. For
-    ordinary keys the windows' exchange already groups them; for hot keys each slice is
-    reduced to one row first, and only those move.
+    Rows arrive sorted by key, so this runs as a sort aggregate without another sort, and
+    where no key is hot without another exchange. Otherwise each slice is reduced to one row
+    before it moves.
     """
     aggregates = [
         F.max(F.when(F.col(OUTCOME) == DELETED, F.col(ORDER))).alias("_gone"),
@@ -51,7 +50,7 @@ def _summary(part: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     if keep_old:
         old = F.struct(F.col(OLD_ID).alias("_id"), *[F.col(value_column(c)).alias(c) for c in spec.target])
         aggregates.append(F.first(F.when(F.col(KIND) == TARGET_SEED, old), ignorenulls=True).alias("_old"))
-    return part.groupBy(*spec.business_keys).agg(*aggregates)
+    return rows.groupBy(*spec.business_keys).agg(*aggregates)
 
 
 def _resolve(summary: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
@@ -86,13 +85,9 @@ def _resolve(summary: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     )
 
 
-def image_of(frames: Frames, spec: ChangeSpec, with_target: bool) -> DataFrame:
+def image_of(rows: DataFrame, spec: ChangeSpec, with_target: bool) -> DataFrame:
     """Row per business key that the log wrote to: its final values, or that it is gone."""
-    parts = [_resolve(_summary(p, spec, with_target), spec, with_target) for p in frames.parts]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return _resolve(_summary(rows, spec, with_target), spec, with_target)
 
 
 def final_image(
@@ -101,11 +96,10 @@ def final_image(
     target: DataFrame | None = None,
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
-    scratch: Scratch | None = None,
 ) -> DataFrame:
     """The log's net effect: id, key, columns, and the flags that snapshots need."""
-    frames = classify(changes, spec, target, quarantine, skew, scratch, known_only=True)
-    return image_of(frames, spec, target is not None)
+    rows = classify(changes, spec, target, quarantine, skew, known_only=True)
+    return image_of(rows, spec, target is not None)
 
 
 def merge_image(target: DataFrame | None, image: DataFrame, spec: ChangeSpec) -> DataFrame:
@@ -123,7 +117,6 @@ def apply_final(
     target: DataFrame | None = None,
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
-    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Target table after the whole log: inserts, updates and deletes in one pass."""
-    return merge_image(target, final_image(changes, spec, target, quarantine, skew, scratch), spec)
+    return merge_image(target, final_image(changes, spec, target, quarantine, skew), spec)

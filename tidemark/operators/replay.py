@@ -8,26 +8,25 @@ key already failed. Both are windows over one partitioning and one sort.
 The starting state joins in as seed rows that sort before all changes of their key, so
 rows, target and quarantine meet in a single exchange and null keys compare as equal.
 
-Hot keys are cut into slices of consecutive changes. The same windows run per slice, where
-they may leave "depends on what came before" open; a slice then boils down to one summary
-row, the summaries (a handful per hot key) are chained in order, and what each slice
-inherits is joined back. No task ever holds all changes of a hot key.
+Hot keys are cut into slices of consecutive changes. A first pass over their rows alone runs
+the presence window per slice, leaving "depends on what came before" open; a slice then
+boils down to one summary row, the summaries (a few per hot key) are chained in order, and
+what each slice inherits is joined back. The windows proper run per key and slice, in one
+exchange for all keys, hot or not. No task ever holds all changes of a hot key.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binds import bind
-from ..sources.scratch import Scratch
 from ..spec import ChangeSpec
 from .keys import key_join, key_types_of
 from .mapping import DELETE, INSERT, KIND, OP, ORDER, REASON, UPDATE, prepare, unknown_op, value_column
-from .skew import DEFAULT_SKEW, SkewPolicy, find_hot_keys
+from .skew import BORDERS, COARSE, DEFAULT_SKEW, SLICE, SkewPolicy, hot_key_borders, match_keys, with_slice
 
 INSERTED, UPDATED, DELETED = "INSERTED", "UPDATED", "DELETED"
 FAILED, LINK_FAILED = "FAILED", "LINK_FAILED"
@@ -35,32 +34,12 @@ SKIPPED_BADROW, SKIPPED_QUARANTINED = "SKIPPED_BADROW", "SKIPPED_QUARANTINED"
 OUTCOMES = (INSERTED, UPDATED, DELETED, FAILED, LINK_FAILED, SKIPPED_BADROW, SKIPPED_QUARANTINED)
 
 TARGET_SEED, QUARANTINE_SEED = "T", "Q"
-SLICE = "_slice"
 OLD_ID = "_old_id"
 PRESENT, INSERT_FAILED, QUARANTINED = "present", "insert_failed", "quarantined"
 OUTCOME, DETAIL, EFFECTIVE, CREATES = "outcome", "detail", "effective", "creates"
 QUARANTINED_DETAIL = "business key is quarantined"
 
 
-@dataclass(frozen=True)
-class Frames:
-    """Classified rows, seeds included, in parts that each keep their own partitioning."""
-
-    parts: list[DataFrame]
-
-    def changes(self) -> DataFrame:
-        """All change rows with their outcome."""
-        whole = [p.where(~_is_seed()) for p in self.parts]
-        out = whole[0]
-        for part in whole[1:]:
-            out = out.unionByName(part, allowMissingColumns=True)
-        return out
-
-
-def _is_seed() -> Column:
-    return F.coalesce(F.col(KIND).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False))
-
-
 def link_reason(spec: ChangeSpec, df: DataFrame, new_id: str) -> tuple[DataFrame, dict[str, Column], Column]:
     """Link values for the id column ``new_id``, and the rule they break (null if none)."""
     link = spec.link
@@ -126,9 +105,10 @@ def _classify(
     rows = _local_presence(rows, spec, partition)
     inherited = F.lit(False)
     if carried is not None:
-        rows = _inherit(rows, carried, partition)
+        # At most one row per slice of a hot key: bounded by the skew policy.
+        rows = match_keys(rows, carried, partition, "left")
         rows = rows.withColumn(PRESENT, F.coalesce(F.col(PRESENT), F.col("_present_in")))
-        inherited = F.col("_failed_in")
+        inherited = F.coalesce(F.col("_failed_in"), F.lit(False))
     rows = rows.withColumn(PRESENT, F.coalesce(F.col(PRESENT), F.lit(False)))
     rows = rows.withColumn(INSERT_FAILED, _insert_fails(spec, F.col(PRESENT)))
     if spec.quarantine:
@@ -172,20 +152,6 @@ def _outcomes(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
     )
 
 
-def _inherit(rows: DataFrame, carried: DataFrame, partition: list[str]) -> DataFrame:
-    """Join the inherited state to the rows of each (key, slice).
-
-    ``carried`` has at most one row per hot key and slice: bounded by the skew policy's list
-    of hot keys plus the number of slices, so it is broadcast.
-    """
-    small = F.broadcast(carried.withColumnsRenamed({c: f"_c_{c}" for c in partition}))
-    on = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in partition]
-    condition = on[0]
-    for part in on[1:]:
-        condition = condition & part
-    return rows.join(small, condition, "left").drop(*[f"_c_{c}" for c in partition])
-
-
 def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
     """State that each slice of a hot key inherits from the slices before it."""
     local = _local_presence(rows, spec, [*keys, SLICE])
@@ -243,10 +209,9 @@ def classify(
     target: DataFrame | None = None,
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
-    scratch: Scratch | None = None,
     known_only: bool = False,
-) -> Frames:
-    """Outcome of every change, as one part for ordinary keys and one for hot keys.
+) -> DataFrame:
+    """Outcome of every change; the seed rows of the starting state are still among them.
 
     ``known_only`` leaves out rows with an unknown operation, which change nothing.
     """
@@ -259,22 +224,16 @@ def classify(
     for seed in _seeds(rows, spec, target, quarantine):
         frame = frame.unionByName(seed, allowMissingColumns=True)
 
-    hot = find_hot_keys(changes.select(*[F.col(k).alias(k) for k in keys]), keys, skew) if skew else None
-    if hot is None:
-        return Frames([_classify(frame, spec, keys)])
-
-    listed = F.broadcast(hot.keys)  # at most skew.max_hot rows
-    ordinary = key_join(frame, listed, keys, "left_anti")
-    slices = max(1, math.ceil(hot.rows / skew.slice_rows))
-    sliced = (
-        key_join(frame, listed, keys, "left_semi")
-        .repartitionByRange(slices, *keys, F.col(ORDER).asc_nulls_first())
-        .withColumn(SLICE, F.spark_partition_id())
-    )
-    # Written once: the slice borders come from a sample and must not be drawn a second time.
-    sliced = (scratch or Scratch(changes.sparkSession)).write(sliced)
-    carried = _carry(sliced, spec, keys)
-    return Frames([_classify(ordinary, spec, keys), _classify(sliced, spec, [*keys, SLICE], carried)])
+    borders = hot_key_borders(changes, keys, spec.order_key, skew) if skew else None
+    if borders is None:
+        return _classify(frame, spec, keys)
+    sliced = with_slice(frame, borders, keys, ORDER)
+    carried = _carry(sliced.where(F.col(BORDERS).isNotNull()), spec, keys)
+    return _classify(sliced.drop(BORDERS, COARSE), spec, [*keys, SLICE], carried)
+
+
+def without_seeds(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.coalesce(F.col(KIND).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False)))
 
 
 def replay(
@@ -283,7 +242,6 @@ def replay(
     target: DataFrame | None = None,
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
-    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Input columns plus ``present``, ``outcome``, ``detail`` and ``effective`` per change.
 
@@ -291,16 +249,16 @@ def replay(
     were not skipped.
     """
     changes = spec.canonical(changes)
-    return outcomes_of(classify(changes, spec, target, quarantine, skew, scratch), changes.columns, spec)
+    return outcomes_of(classify(changes, spec, target, quarantine, skew), changes.columns, spec)
 
 
-def outcomes_of(frames: Frames, columns: list[str], spec: ChangeSpec) -> DataFrame:
+def outcomes_of(rows: DataFrame, columns: list[str], spec: ChangeSpec) -> DataFrame:
     """``columns`` of the change rows and what became of each."""
     # An unknown operation is settled before its key is even read.
     known = F.col(KIND).isNotNull()
     # The order key travels once: its own column is rebuilt from the sort column.
     kept = [F.col(ORDER).alias(c) if c == spec.order_key else F.col(f"`{c}`") for c in columns]
-    return frames.changes().select(
+    return without_seeds(rows).select(
         *kept,
         F.when(known, F.col(KIND)).alias("kind"),
         F.col(OP).alias("op"),

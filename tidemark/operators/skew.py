@@ -1,4 +1,4 @@
-"""Business keys that hold too many changes for one task."""
+"""Business keys that hold too many changes for one task, and how to cut them up."""
 
 from __future__ import annotations
 
@@ -6,7 +6,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BORDERS, COARSE, SLICE = "_borders", "_coarse", "_slice"
+_POINTS_PER_SLICE = 32
 
 
 @dataclass(frozen=True)
@@ -15,36 +19,90 @@ class SkewPolicy:
 
     ``hot_rows``: estimated changes from which a key counts as hot.
     ``sample``: share of rows looked at to estimate. It steers layout only, never results.
-    ``max_hot``: bound on the list of hot keys, so that it is always safe to broadcast. A key
-    beyond it holds less than 1/max_hot of the sampled log and takes the ordinary path.
-    ``slice_rows``: changes per task for hot keys.
+    ``max_hot``: bound on the list of hot keys. A key beyond it holds less than 1/max_hot of
+    the log and takes the ordinary path.
+    ``slice_rows``: changes per slice of a hot key.
+    ``max_slices``: bound on the slices of all hot keys together, beyond one for each; slices
+    grow where it is reached.
     """
 
-    hot_rows: int = 2_000_000
-    sample: float = 0.002
+    hot_rows: int = 10_000_000
+    sample: float = 0.001
     max_hot: int = 10_000
-    slice_rows: int = 2_000_000
+    slice_rows: int = 5_000_000
+    max_slices: int = 4_096
 
 
 DEFAULT_SKEW = SkewPolicy()
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    keys: DataFrame
-    rows: int
+def _bernoulli(rows: DataFrame, share: float, seed: int) -> DataFrame:
+    return rows.sample(fraction=share, seed=seed) if share < 1 else rows
+
 
+def hot_key_borders(
+    rows: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy
+) -> DataFrame | None:
+    """Hot keys with the order keys at which their changes are cut; None if no key is hot.
 
-def find_hot_keys(rows: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> HotKeys | None:
-    """Estimate the hot keys; reads the key columns of a sample and returns a bounded list."""
-    sample = rows.select(*keys)
-    if policy.sample < 1:
-        sample = sample.sample(fraction=policy.sample, seed=17)
+    Two passes over samples of the key columns. Only borders come from the samples, so any
+    draw gives the same results. They are fixed here, as a local table of at most
+    ``max_hot`` rows and ``max_hot + max_slices`` borders, so that every later use of them,
+    and every retry, cuts alike.
+    """
+    sample = _bernoulli(rows.select(*keys), policy.sample, seed=17)
     least = max(1, math.ceil(policy.hot_rows * policy.sample))
-    counts = sample.groupBy(*keys).count()
-    top = counts.where(counts["count"] >= least).orderBy(counts["count"].desc()).limit(policy.max_hot).collect()
+    counts = sample.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    top = counts.orderBy(F.desc("_n")).limit(policy.max_hot).collect()
     if not top:
         return None
-    spark = rows.sparkSession
-    hot = spark.createDataFrame([tuple(r)[:-1] for r in top], schema=sample.schema)
-    return HotKeys(hot, math.ceil(sum(r["count"] for r in top) / policy.sample))
+    hot_rows = sum(r["_n"] for r in top) / policy.sample
+    size = max(policy.slice_rows, hot_rows / policy.max_slices)
+
+    spark, columns = rows.sparkSession, rows.select(*keys, F.col(order).alias("_at"))
+    key_schema = columns.drop("_at").schema
+    listed = spark.createDataFrame([tuple(r)[:-1] for r in top], key_schema)
+    per_slice = max(1, min(_POINTS_PER_SLICE, int(size)))
+    points = match_keys(columns.where(F.col("_at").isNotNull()), listed, keys, "inner")
+    # A hot key contributes about `per_slice` points per slice: bounded like the slices.
+    drawn = _bernoulli(points, per_slice / size, seed=23).groupBy(*keys)
+    cuts = F.filter(F.sort_array(F.collect_list("_at")), _every(F.lit(per_slice)))
+    borders = drawn.agg(cuts.alias(BORDERS))
+    fixed = spark.createDataFrame([tuple(r) for r in borders.collect()], borders.schema)
+    return fixed.withColumn(BORDERS, F.sort_array(BORDERS)).withColumn(COARSE, F.filter(BORDERS, _every(_step())))
+
+
+def _every(n: Column):
+    return lambda _, i: F.pmod(i + 1, n) == 0
+
+
+def _step() -> Column:
+    return F.floor(F.sqrt(F.size(BORDERS))).cast("int") + 1
+
+
+def match_keys(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join a small table on the key columns, null equal to null.
+
+    ``small`` is broadcast; its callers bound it by the skew policy.
+    """
+    renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return rows.join(F.broadcast(renamed), condition, how).drop(*[f"_s_{k}" for k in keys])
+
+
+def with_slice(rows: DataFrame, borders: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Add the slice number: how many of the key's borders are at or below the order key.
+
+    Ordinary keys have the one slice 0. The search takes two steps of about the square root
+    of the number of borders: first over every n-th border, then between two of those.
+    """
+    rows = match_keys(rows, borders, keys, "left")
+    at = F.col(order)
+    step = _step()
+    block = F.size(F.filter(COARSE, lambda b: b <= at))
+    within = F.filter(F.slice(BORDERS, block * step + 1, step), lambda b: b <= at)
+    position = block * step + F.size(within)
+    found = F.when(F.col(BORDERS).isNotNull() & at.isNotNull(), position).otherwise(0)
+    return rows.withColumn(SLICE, found)

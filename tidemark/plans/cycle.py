@@ -98,14 +98,14 @@ def run_cycle(
 
         target = store.read("target", base)
         held = store.read("quarantine", base) if spec.quarantine else None
-        frames = classify(page, spec, target, held, skew, scratch)
+        rows = classify(page, spec, target, held, skew)
 
-        commit, records = _write_history(store, base, commit, spec, frames, page, as_of, stats, scratch)
+        commit, records = _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch)
         done("history")
         counts = audit.run_counts(records).first().asDict()
         commit, held_after = _write_quarantine(store, base, commit, spec, records, held, as_of)
         done("quarantine")
-        commit = _write_target(store, base, commit, spec, frames, target, scratch, done)
+        commit = _write_target(store, base, commit, spec, rows, target, scratch, done)
         if queue:
             commit = _write_marks(store, base, commit, spec, records, held_after)
             done("marks")
@@ -123,14 +123,14 @@ def run_cycle(
     return CycleResult(commit.version, total=commit.rows, last_key=commit.last_key, **counts)
 
 
-def _write_history(store, base, commit, spec, frames, page, as_of, stats, scratch):
+def _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch):
     """Outcome of every row: a new segment. Everything else the cycle books reads it back.
 
     Only segments whose key range meets the new one can hold the same change ids, and they
     are rewritten only if one does.
     """
     wanted = list(dict.fromkeys([spec.order_key, *spec.business_keys]))
-    fresh = audit.history_rows(outcomes_of(frames, wanted, spec), spec, as_of)
+    fresh = audit.history_rows(outcomes_of(rows, wanted, spec), spec, as_of)
     if not spec.history:
         return commit, scratch.write(fresh)
     commit, records, segment = store.write_segment(commit, "history", fresh)
@@ -186,9 +186,9 @@ def _write_quarantine(store, base, commit, spec, records, held, as_of):
     return commit, key_types_of(held, written, names).unionByName(written.select(*names))
 
 
-def _write_target(store, base, commit, spec, frames, target, scratch, done):
+def _write_target(store, base, commit, spec, rows, target, scratch, done):
     keys = list(spec.business_keys)
-    image = image_of(frames, spec, target is not None)
+    image = image_of(rows, spec, target is not None)
     # Read four times below: twice for the buckets it touches, once per table.
     image = scratch.write(image.withColumn(BUCKET, store.bucket_of(commit, *keys)))
     touched = [r[0] for r in image.select(BUCKET).distinct().collect()]  # at most `buckets`

@@ -71,8 +71,17 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("case", CASES, ids=lambda c: "-".join(str(v) for v in c.values()))
-@pytest.mark.parametrize("skew", [None, SOME_HOT, ALL_HOT], ids=["plain", "some_hot", "all_hot"])
+RUNS = [(case, None) for case in CASES]
+RUNS += [(case, (ALL_HOT, SOME_HOT)[(i + i // 2) % 2]) for i, case in enumerate(CASES)]
+
+
+def run_name(value):
+    if isinstance(value, dict):
+        return "-".join(str(v) for v in value.values())
+    return {None: "plain", SOME_HOT: "some_hot", ALL_HOT: "all_hot"}[value]
+
+
+@pytest.mark.parametrize("case, skew", RUNS, ids=run_name)
 def test_random_logs(spark, case, skew):
     seed = CASES.index(case)
     rows = log(seed, 260, 9)

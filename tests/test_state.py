@@ -58,7 +58,7 @@ def check_links(store):
 
 
 @pytest.mark.parametrize("quarantine", [True, False])
-@pytest.mark.parametrize("batch", [2, 10, 12, None])
+@pytest.mark.parametrize("batch", [4, 12, None])
 def test_seed_keyset(spark, store, batch, quarantine):
     log = seed(spark)
     results = run_keyset(store, spec_for(quarantine=quarantine), log, batch)
@@ -79,7 +79,7 @@ def test_seed_keyset(spark, store, batch, quarantine):
 
 @pytest.mark.parametrize(
     "batch, recorded",
-    [(None, range(1, 18)), (12, range(1, 13)), (10, range(1, 11)), (2, range(1, 11))],
+    [(None, range(1, 18)), (12, range(1, 13)), (10, range(1, 11)), (5, range(1, 11))],
 )
 def test_seed_queue_with_quarantine(spark, store, batch, recorded):
     spec, log = spec_for(queue=True), seed(spark)
@@ -237,7 +237,7 @@ def test_timestamp_order_key_resumes(spark, store):
 
 def test_vacuum_keeps_what_the_last_commits_use(spark, store):
     spec, log = spec_for(), seed(spark)
-    run_keyset(store, spec, log, 4)
+    run_keyset(store, spec, log, 7)
     history = history_of(store)
     assert store.vacuum(keep=1)
     assert len(store.versions()) == 1

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,7 +165,7 @@ def check_violations(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
         F.count_if(F.col(spec.order_key).isNull()).alias("null_order"),
     ]
     if spec.processed_column:
-        flag = F.col(spec.processed_column)
-        allowed = reduce(lambda a, b: a | b, [flag == F.lit(v) for v in (spec.pending, spec.done)])
+        flag, kept = F.col(spec.processed_column), changes.schema[spec.processed_column].dataType
+        allowed = flag.isin(*[F.lit(v).cast(kept) for v in (spec.pending, spec.done)])
         counts.append(F.count_if(~F.coalesce(allowed, F.lit(False))).alias("bad_flag"))
     return changes.agg(*counts)

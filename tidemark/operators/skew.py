@@ -101,8 +101,10 @@ def with_slice(rows: DataFrame, borders: DataFrame, keys: Sequence[str], order:
     rows = match_keys(rows, borders, keys, "left")
     at = F.col(order)
     step = _step()
-    block = F.size(F.filter(COARSE, lambda b: b <= at))
-    within = F.filter(F.slice(BORDERS, block * step + 1, step), lambda b: b <= at)
-    position = block * step + F.size(within)
-    found = F.when(F.col(BORDERS).isNotNull() & at.isNotNull(), position).otherwise(0)
-    return rows.withColumn(SLICE, found)
+    # Kept apart so that the first search runs once: its result is used twice.
+    rows = rows.withColumn(
+        "_passed", F.when(F.col(BORDERS).isNotNull(), F.size(F.filter(COARSE, lambda b: b <= at)) * step)
+    )
+    within = F.filter(F.slice(BORDERS, F.col("_passed") + 1, step), lambda b: b <= at)
+    found = F.when(F.col("_passed").isNotNull() & at.isNotNull(), F.col("_passed") + F.size(within))
+    return rows.withColumn(SLICE, F.coalesce(found, F.lit(0))).drop("_passed")

@@ -96,7 +96,7 @@ def run_cycle(
             store.publish(commit)
             return CycleResult(commit.version, 0, 0, 0, 0, 0, commit.rows, commit.last_key)
 
-        target = store.read("target", base)
+        target, page = _target_near(store, base, spec, page)
         held = store.read("quarantine", base) if spec.quarantine else None
         rows = classify(page, spec, target, held, skew)
 
@@ -123,6 +123,19 @@ def run_cycle(
     return CycleResult(commit.version, total=commit.rows, last_key=commit.last_key, **counts)
 
 
+def _target_near(
+    store: Store, base: Commit, spec: ChangeSpec, page: DataFrame
+) -> tuple[DataFrame | None, DataFrame]:
+    """The target's buckets that the page's keys fall into, and the page with stored key types."""
+    target = store.read("target", base, only=[])
+    if target is None:
+        return None, page
+    types = {k: target.schema[k].dataType for k in spec.business_keys}
+    page = page.withColumns({k: F.col(k).cast(t) for k, t in types.items() if page.schema[k].dataType != t})
+    found = page.select(store.bucket_of(base, *types)).distinct().collect()  # at most `buckets`
+    return store.read("target", base, [r[0] for r in found]), page
+
+
 def _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch):
     """Outcome of every row: a new segment. Everything else the cycle books reads it back.
 
@@ -135,38 +148,36 @@ def _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch)
         return commit, scratch.write(fresh)
     commit, records, segment = store.write_segment(commit, "history", fresh)
     segment |= {"low": stats["low"], "high": stats["high"]}
-    kept, meeting = [], []
-    for old in base.segments.get("history", []):
-        (meeting if _ranges_meet(store, page, spec, old, stats) else kept).append(old)
+    old = base.segments.get("history", [])
+    met, widest = _meeting(store, page, spec, old, stats)
+    kept, meeting = [s for i, s in enumerate(old) if i not in met], [old[i] for i in sorted(met)]
     if meeting:
-        old = store.read_segments(base, "history", meeting)
-        again = key_join(old, records, [spec.order_key], "left_semi", null_safe=False)
+        before = store.read_segments(base, "history", meeting)
+        again = key_join(before, records, [spec.order_key], "left_semi", null_safe=False)
         if again.limit(1).count():
-            rest = key_join(old, records, [spec.order_key], "left_anti", null_safe=False)
+            rest = key_join(before, records, [spec.order_key], "left_anti", null_safe=False)
             commit, _, merged = store.write_segment(commit, "history", rest, "rest")
-            merged |= _widest(store, page, spec, meeting)
-            meeting = [merged]
+            meeting = [merged | widest]
     return store.with_segments(commit, "history", [*kept, *meeting, segment]), records
 
 
-def _typed(page: DataFrame, spec: ChangeSpec, text: str):
-    return F.lit(text).cast(page.schema[spec.order_key].dataType)
-
-
-def _ranges_meet(store, page, spec, old, stats) -> bool:
-    """Compare in the key's own type; a one-row query without data."""
-    low, high = _typed(page, spec, stats["low"]), _typed(page, spec, stats["high"])
-    old_low, old_high = _typed(page, spec, old["low"]), _typed(page, spec, old["high"])
-    return store.spark.range(1).select((old_low <= high) & (low <= old_high)).first()[0]
+def _meeting(store, page, spec, segments, stats) -> tuple[set[int], dict[str, str]]:
+    """Segments whose key range meets that of the page, and the range they span together.
 
-
-def _widest(store, page, spec, segments) -> dict[str, str]:
-    lows = [_typed(page, spec, s["low"]) for s in segments]
-    highs = [_typed(page, spec, s["high"]) for s in segments]
-    low = F.least(*lows) if len(lows) > 1 else lows[0]
-    high = F.greatest(*highs) if len(highs) > 1 else highs[0]
-    row = store.spark.range(1).select(low.cast("string"), high.cast("string")).first()
-    return {"low": row[0], "high": row[1]}
+    The texts are compared in the key's own type, in one query over the commit's list.
+    """
+    if not segments:
+        return set(), {}
+    key_type = page.schema[spec.order_key].dataType
+    listed = [(i, s["low"], s["high"]) for i, s in enumerate(segments)]
+    ranges = store.spark.createDataFrame(listed, "i int, low string, high string").select(
+        "i", F.col("low").cast(key_type).alias("low"), F.col("high").cast(key_type).alias("high")
+    )
+    low, high = F.lit(stats["low"]).cast(key_type), F.lit(stats["high"]).cast(key_type)
+    row = ranges.where((F.col("low") <= high) & (low <= F.col("high"))).agg(
+        F.collect_list("i"), F.min("low").cast("string"), F.max("high").cast("string")
+    ).first()
+    return set(row[0]), {"low": row[1], "high": row[2]}
 
 
 def _write_quarantine(store, base, commit, spec, records, held, as_of):

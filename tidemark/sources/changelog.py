@@ -67,7 +67,8 @@ def queue_page(
     if not spec.processed_column:
         raise SpecError("queue mode needs processed_column")
     log = spec.canonical(changes)
-    log = log.where(F.col(spec.processed_column) == F.lit(spec.pending))
+    flag = log.schema[spec.processed_column].dataType
+    log = log.where(F.col(spec.processed_column) == F.lit(spec.pending).cast(flag))
     if done is not None:
         log = key_join(log, done, [spec.order_key], "left_anti", null_safe=False)
     if quarantine is not None and spec.quarantine:

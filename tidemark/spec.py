@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from .functions.binds import bind_names, clean
 
@@ -159,11 +158,3 @@ class ChangeSpec:
             named[self.processed_column.lower()] = self.processed_column
         renames = {c: named[c.lower()] for c in changes.columns if named.get(c.lower(), c) != c}
         return changes.withColumnsRenamed(renames) if renames else changes
-
-    def target_schema(self, changes: DataFrame) -> T.StructType:
-        """Schema of the target table for this change log."""
-        names = self.check_source(changes)
-        fields = [T.StructField(self.id_column, changes.schema[names[self.order_key.lower()]].dataType)]
-        fields += [T.StructField(k, changes.schema[names[k.lower()]].dataType) for k in self.business_keys]
-        fields += [T.StructField(c, T.DataType.fromDDL(d.type)) for c, d in self.target.items()]
-        return T.StructType(fields)

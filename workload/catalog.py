@@ -15,6 +15,7 @@ from tidemark.operators.replay import flag_quarantined, replay
 from tidemark.operators.skew import SkewPolicy
 from tidemark.sources.changelog import keyset_page, late_changes, queue_page, scan_changes
 from tidemark.sources.generate import generate_from
+from tidemark.sources.scratch import Scratch
 from tidemark.spec import Mapping
 
 from .logs import BAD_LINK, event_log, event_spec, line_log, line_spec, order_log, order_spec, table
@@ -344,7 +345,11 @@ WHERE order_id IN (SELECT order_id FROM done WHERE ifail)"""))
 def history_for_keys(spark, sf_dir):
     """Records of all keys that were quarantined."""
     spec = order_spec()
-    outcomes = replay(order_log(spark, sf_dir), spec)
+    outcomes = Scratch(spark).write(
+        replay(order_log(spark, sf_dir), spec).select(
+            "change_id", "order_id", "op", "outcome", "detail", "insert_failed"
+        )
+    )
     history = audit.history_rows(outcomes, spec)
     return audit.history_for_keys(history, audit.quarantine_new(outcomes, spec), spec)
 
@@ -389,6 +394,8 @@ def _cycle(spark, sf_dir):
     spec, log = event_spec(processed_column="processed"), event_log(spark, sf_dir)
     held = audit.quarantine_keys(_earlier_quarantine(log), spec)
     outcomes = replay(queue_page(log, spec, held), spec, quarantine=held)
+    # Used twice from here on: for the new quarantine and for the marks.
+    outcomes = Scratch(spark).write(outcomes.select("change_id", "user_id", "outcome", "insert_failed"))
     after = audit.quarantine_merge(held, audit.quarantine_new(outcomes, spec), spec)
     return spec, log, outcomes, after
 

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import Store, read_change_stream, requeue, run_keyset, run_queue, run_stream
 from tidemark.operators import audit, mapping
 from tidemark.operators.image import apply_final, final_image, merge_image
 from tidemark.operators.links import dense_ids, link_failures, links_cascade, links_new, new_ids
 from tidemark.operators.replay import flag_quarantined, replay
 from tidemark.operators.skew import SkewPolicy
+from tidemark.plans.cycle import pending
 from tidemark.sources.changelog import keyset_page, late_changes, queue_page, scan_changes
 from tidemark.sources.generate import generate_from
-from tidemark.sources.scratch import Scratch
+from tidemark.sources.scratch import Scratch, shared_dir
 from tidemark.spec import Mapping
 
-from .logs import BAD_LINK, event_log, event_spec, line_log, line_spec, order_log, order_spec, table
+from .logs import BAD_LINK, event_columns, event_log, event_spec, line_log, line_spec, order_log, order_spec, table
 from .sql import EVENT_LOG, LINE_LOG, ORDER_LOG, imaged, replayed, with_
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,7 +425,7 @@ def still_pending(spark, sf_dir):
 SELECT change_id, user_id FROM elog
 WHERE processed = 0 AND change_id NOT IN (SELECT change_id FROM marked)
   AND user_id NOT IN (SELECT user_id FROM done WHERE ifail)"""))
-def requeue(spark, sf_dir):
+def requeue_query(spark, sf_dir):
     """Clearing the keys held from earlier makes their pending rows eligible again."""
     spec, log, outcomes, after = _cycle(spark, sf_dir)
     stamped = audit.mark_done(log, audit.marks(outcomes, after, spec), spec)
@@ -540,3 +543,92 @@ def gen_changes(spark, sf_dir):
     step = ids.agg(F.max("order_id")).first()[0] + 1
     priced = F.coalesce(F.col("unit_price").between(1, 500) & F.col("quantity").between(1, 9), F.lit(False))
     return generate_from(ids, step).withColumn("priced", priced).drop("unit_price", "quantity")
+
+
+# -- whole runs: stored state, commits, streaming ------------------------------------------
+
+
+def _store(spark) -> Store:
+    return Store(spark, f"{shared_dir(spark)}/tidemark/runs/{uuid.uuid4().hex}", buckets=8)
+
+
+def _half(log) -> int:
+    return (log.count() + 1) // 2
+
+
+@query(with_(ORDER_IMAGE, f"SELECT row_id AS summary_id, order_id, {ORDER_VALUES} FROM img"))
+def keyset_run_target(spark, sf_dir):
+    """Target after two committed cycles."""
+    store, log = _store(spark), order_log(spark, sf_dir)
+    run_keyset(store, order_spec(), log, batch_size=_half(log))
+    return store.read("target")
+
+
+@query(with_(ORDER_IMAGE, """
+SELECT row_id AS link_id, row_id AS summary_id, 'u-100' AS user_id, 'orders' AS user_section FROM img"""))
+def keyset_run_links(spark, sf_dir):
+    store, log = _store(spark), order_log(spark, sf_dir)
+    run_keyset(store, order_spec(), log, batch_size=_half(log))
+    return store.read("links")
+
+
+@query(with_(EVENT_ON, HISTORY.format("done")))
+def keyset_run_history(spark, sf_dir):
+    """History and quarantine of a keyset run do not depend on where it is cut."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    run_keyset(store, event_spec(), log, batch_size=_half(log))
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
+
+
+# The whole log again, placed behind itself: what a restart over the finished state does.
+AGAIN = f"""{EVENT_LOG},
+twice AS (SELECT * FROM elog
+          UNION ALL SELECT * REPLACE (change_id + 1000000000000000 AS change_id) FROM elog),
+{replayed("", "user_id", source="twice")},
+second AS (SELECT * REPLACE (change_id - 1000000000000000 AS change_id) FROM done
+           WHERE change_id >= 1000000000000000)"""
+
+
+@query(with_(AGAIN, HISTORY.format("second")))
+def restart_run_history(spark, sf_dir):
+    """A restart meets its own target and quarantine; each record shows the latest run."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    run_keyset(store, event_spec(), log)
+    run_keyset(store, event_spec(), log, restart=True)
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
+
+
+QUEUE = f"""{EVENT_LOG},
+page AS (SELECT * FROM elog WHERE processed = 0),
+{replayed("", "user_id", source="page")},
+held AS (SELECT DISTINCT user_id FROM done WHERE ifail)"""
+
+
+@query(with_(QUEUE, """
+SELECT change_id, user_id FROM page WHERE op <> 'X' AND user_id IN (SELECT user_id FROM held)"""))
+def queue_run_pending(spark, sf_dir):
+    """After a queue run, rows of quarantined keys wait; everything else is stamped."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    spec = event_spec(processed_column="processed")
+    run_queue(store, spec, log)
+    return pending(store, spec, log).select("change_id", "user_id")
+
+
+@query(with_(QUEUE, "SELECT user_id FROM held WHERE user_id % 2 = 1"))
+def requeue_run(spark, sf_dir):
+    """Quarantine after a queue run and the clearing of the even keys."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    spec = event_spec(processed_column="processed")
+    run_queue(store, spec, log)
+    requeue(store, spec, store.read("quarantine").where("user_id % 2 = 0"))
+    return store.read("quarantine").select("user_id")
+
+
+@query(with_(EVENT_ON, HISTORY.format("done")))
+def stream_run_history(spark, sf_dir):
+    """The event table as a stream of change files: all that are there make one micro-batch."""
+    store, schema = _store(spark), table(spark, sf_dir, "events").schema
+    stream = read_change_stream(spark, f"{sf_dir}/events*.parquet", schema)
+    run = run_stream(store, event_spec(), event_columns(stream), f"{store.files.root}/checkpoint")
+    run.awaitTermination()
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")

@@ -26,6 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_columns(table(spark, sf_dir, "events"))
+
+
+def event_columns(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     op = (
         F.when(kind == "signup", "I")
@@ -33,7 +37,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", "D")
         .otherwise("X")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("change_id"),
         op.alias("operation"),
         F.col("user_id"),

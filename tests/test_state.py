@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.seed import TARGET, good, order_row, seed, SCHEMA
 from tidemark import OrderKeyError, Store, apply_batch, requeue, run_cycle, run_keyset, run_queue
 from tidemark.examples.orders import orders_spec
-from tidemark.operators.replay import OUTCOMES
+from tidemark.operators.names import OUTCOMES
 from tidemark.plans.cycle import pending
 from tidemark.plans.store import CommitConflict
 

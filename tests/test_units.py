@@ -103,6 +103,13 @@ def test_two_columns_of_one_name(spark):
         replay(df.withColumn("x", F.lit(1)).toDF("change_id", "operation", "k", "a", "A"), spec(), skew=None)
 
 
+def test_log_columns_may_be_called_like_results(spark):
+    log = good(spark, (1, "I", 7), (2, "I", 7)).withColumns({c: F.lit("mine") for c in ("detail", "present", "kind")})
+    assert apply_final(log, orders_spec()).count() == 1
+    with pytest.raises(SpecError):
+        replay(log, orders_spec())
+
+
 def test_equal_flags_take_the_first_match(spark):
     same = orders_spec(op_update="I", op_delete="D")
     rows = replay(good(spark, (1, "I", 7), (2, "D", 7)), same).orderBy("change_id").collect()

@@ -11,18 +11,19 @@ from ..functions.scalars import DETAIL_LENGTH
 from ..sources.scratch import Scratch
 from ..spec import ChangeSpec
 from .keys import key_join, key_types_of
-from .ranks import with_rank
-from .replay import (
+from .names import (
     DELETED,
     DETAIL,
     FAILED,
     INSERT_FAILED,
     INSERTED,
     LINK_FAILED,
+    OP,
     OUTCOME,
     SKIPPED_BADROW,
     UPDATED,
 )
+from .ranks import with_rank
 
 RECORDED_AT = "recorded_at"
 
@@ -36,7 +37,7 @@ def history_rows(outcomes: DataFrame, spec: ChangeSpec, as_of: datetime | None =
     out = [
         F.col(spec.order_key).alias(spec.order_key),
         *[F.when(known, F.col(k)).alias(k) for k in spec.business_keys],
-        F.col("op").alias("operation"),
+        F.col(OP).alias("operation"),
         F.col(OUTCOME).alias(OUTCOME),
         F.substring(DETAIL, 1, DETAIL_LENGTH).alias(DETAIL),
     ]

@@ -7,8 +7,21 @@ from pyspark.sql import functions as F
 
 from ..spec import ChangeSpec
 from .keys import key_join
-from .mapping import INSERT, KIND, ORDER, UPDATE, value_column
-from .replay import CREATES, DELETED, EFFECTIVE, OLD_ID, OUTCOME, TARGET_SEED, classify
+from .names import (
+    CREATES,
+    DELETED,
+    EFFECTIVE,
+    INSERT,
+    KIND,
+    OLD_ID,
+    ORDER,
+    OUTCOME,
+    TARGET_SEED,
+    UPDATE,
+    own,
+    value_column,
+)
+from .replay import classify
 from .skew import DEFAULT_SKEW, SkewPolicy
 
 ALIVE, BORN, REMOVED_ID = "_alive", "_born", "_removed_id"
@@ -35,21 +48,21 @@ def _summary(rows: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     before it moves.
     """
     aggregates = [
-        F.max(F.when(F.col(OUTCOME) == DELETED, F.col(ORDER))).alias("_gone"),
-        F.max(F.when(F.col(CREATES), F.col(ORDER))).alias("_made"),
+        F.max(F.when(F.col(own(OUTCOME)) == DELETED, F.col(ORDER))).alias("_gone"),
+        F.max(F.when(F.col(own(CREATES)), F.col(ORDER))).alias("_made"),
     ]
     for i, ((by_insert, by_update), columns) in enumerate(_writers(spec).items()):
-        writes = F.col(EFFECTIVE) & F.lit(False)
+        writes = F.col(own(EFFECTIVE)) & F.lit(False)
         if by_insert:
-            writes = writes | (F.col(EFFECTIVE) & (F.col(KIND) == INSERT))
+            writes = writes | (F.col(own(EFFECTIVE)) & (F.col(own(KIND)) == INSERT))
         if by_update:
-            writes = writes | (F.col(EFFECTIVE) & (F.col(KIND) == UPDATE))
+            writes = writes | (F.col(own(EFFECTIVE)) & (F.col(own(KIND)) == UPDATE))
         at = F.when(writes, F.col(ORDER))
         aggregates.append(F.max(at).alias(f"_at{i}"))
         aggregates.append(F.max_by(_packed(columns), at).alias(f"_set{i}"))
     if keep_old:
         old = F.struct(F.col(OLD_ID).alias("_id"), *[F.col(value_column(c)).alias(c) for c in spec.target])
-        aggregates.append(F.first(F.when(F.col(KIND) == TARGET_SEED, old), ignorenulls=True).alias("_old"))
+        aggregates.append(F.first(F.when(F.col(own(KIND)) == TARGET_SEED, old), ignorenulls=True).alias("_old"))
     return rows.groupBy(*spec.business_keys).agg(*aggregates)
 
 

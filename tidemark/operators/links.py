@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..sources.scratch import Scratch
 from ..spec import ChangeSpec, SpecError
 from .image import BORN, REMOVED_ID
+from .names import INSERTED, LINK_FAILED, OUTCOME
 from .ranks import with_rank
-from .replay import INSERTED, LINK_FAILED, OUTCOME, link_reason
+from .replay import link_values
 
 
 def _need_link(spec: ChangeSpec):
@@ -21,7 +22,7 @@ def _need_link(spec: ChangeSpec):
 def _link_rows(rows: DataFrame, spec: ChangeSpec, id_column: str) -> DataFrame:
     link = _need_link(spec)
     rows = rows.select(F.col(id_column).alias("_new_id"))
-    rows, values, broken = link_reason(spec, rows, "_new_id")
+    rows, values, broken = link_values(spec, rows, "_new_id")
     return rows.where(broken.isNull()).select(
         F.col("_new_id").alias(link.id_column), *[v.alias(name) for name, v in values.items()]
     )

@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.binds import bind
 from ..spec import ChangeSpec, Mapping
 from .keys import any_null
-
-ORDER, OP, KIND, REASON = "_order", "_op", "_kind", "_reason"
-INSERT, UPDATE, DELETE = "I", "U", "D"
-
-
-def value_column(name: str) -> str:
-    return f"_v_{name}"
+from .names import DELETE, INSERT, KIND, OP, ORDER, REASON, UPDATE, own, value_column
 
 
 def op_text(spec: ChangeSpec) -> Column:
@@ -55,7 +49,7 @@ def _bound(expression: str, names: dict[str, str]) -> Column:
 
 
 def _raw(name: str, kind: str) -> str:
-    return f"_raw_{kind}_{name}"
+    return own(f"raw_{kind}_{name}")
 
 
 def _reason(mapping: Mapping, spec: ChangeSpec, names: dict[str, str], values: dict[str, str]) -> Column:
@@ -85,8 +79,8 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     rows = changes.select(
         *[F.col(f"`{c}`") for c in changes.columns],
         F.col(spec.order_key).alias(ORDER),
-        op_text(spec).alias(OP),
-    ).withColumn(KIND, kind_of(F.col(OP), spec))
+        op_text(spec).alias(own(OP)),
+    ).withColumn(own(KIND), kind_of(F.col(own(OP)), spec))
 
     raw: dict[str, Column] = {}
     at: dict[str, dict[str, str]] = {INSERT: {}, UPDATE: {}}
@@ -94,13 +88,13 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
         ins, upd = spec.insert.columns.get(name), spec.update.columns.get(name)
         if ins is not None and ins == upd:
             both = _raw(name, "IU")
-            raw[both] = F.when(F.col(KIND).isin(INSERT, UPDATE), _bound(ins, names))
+            raw[both] = F.when(F.col(own(KIND)).isin(INSERT, UPDATE), _bound(ins, names))
             at[INSERT][name] = at[UPDATE][name] = both
             continue
         for kind, expression in ((INSERT, ins), (UPDATE, upd)):
             if expression is not None:
                 only = _raw(name, kind)
-                raw[only] = F.when(F.col(KIND) == kind, _bound(expression, names))
+                raw[only] = F.when(F.col(own(KIND)) == kind, _bound(expression, names))
                 at[kind][name] = only
     rows = rows.withColumns(raw) if raw else rows
 
@@ -114,19 +108,19 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     if not spec.nullable_keys:
         blank = [F.when(F.col(k).isNull(), F.lit(f"invalid:{k}")) for k in spec.business_keys]
         insert_reason = F.coalesce(*blank, insert_reason)
-    reason = F.when(F.col(KIND) == INSERT, insert_reason).when(
-        F.col(KIND) == UPDATE, _reason(spec.update, spec, names, at[UPDATE])
+    reason = F.when(F.col(own(KIND)) == INSERT, insert_reason).when(
+        F.col(own(KIND)) == UPDATE, _reason(spec.update, spec, names, at[UPDATE])
     )
-    return rows.withColumns({**values, REASON: reason}).drop(*raw)
+    return rows.withColumns({**values, own(REASON): reason}).drop(*raw)
 
 
 def _mapped(changes: DataFrame, spec: ChangeSpec, kind: str, mapping: Mapping) -> DataFrame:
-    rows = prepare(changes, spec).where(F.col(KIND) == kind)
+    rows = prepare(changes, spec).where(F.col(own(KIND)) == kind)
     return rows.select(
         F.col(ORDER).alias(spec.order_key),
         *[F.col(k).alias(k) for k in spec.business_keys],
         *[F.col(value_column(c)).alias(c) for c in spec.target if c in mapping.columns],
-        F.col(REASON).isNull().alias("ok"),
+        F.col(own(REASON)).isNull().alias("ok"),
     )
 
 
@@ -151,7 +145,9 @@ def map_delete(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
 def row_validity(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Order key, kind and the rule each row breaks (null where it is valid)."""
     return prepare(changes, spec).select(
-        F.col(ORDER).alias(spec.order_key), F.col(KIND).alias("kind"), F.col(REASON).alias("reason")
+        F.col(ORDER).alias(spec.order_key),
+        F.col(own(KIND)).alias(KIND),
+        F.col(own(REASON)).alias(REASON),
     )
 
 

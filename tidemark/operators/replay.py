@@ -23,27 +23,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binds import bind
-from ..spec import ChangeSpec
+from ..spec import ChangeSpec, SpecError
 from .keys import key_join, key_types_of
-from .mapping import DELETE, INSERT, KIND, OP, ORDER, REASON, UPDATE, prepare, unknown_op, value_column
+from .mapping import prepare, unknown_op
+from .names import (
+    CREATES,
+    DELETE,
+    DELETED,
+    DETAIL,
+    EFFECTIVE,
+    FAILED,
+    INSERT,
+    INSERT_FAILED,
+    INSERTED,
+    KIND,
+    LINK_FAILED,
+    OLD_ID,
+    OP,
+    ORDER,
+    OUTCOME,
+    PRESENT,
+    QUARANTINE_SEED,
+    QUARANTINED,
+    REASON,
+    RESULT,
+    SKIPPED_BADROW,
+    SKIPPED_QUARANTINED,
+    TARGET_SEED,
+    UPDATE,
+    UPDATED,
+    own,
+    value_column,
+)
 from .skew import BORDERS, COARSE, DEFAULT_SKEW, SLICE, SkewPolicy, hot_key_borders, match_keys, with_slice
 
-INSERTED, UPDATED, DELETED = "INSERTED", "UPDATED", "DELETED"
-FAILED, LINK_FAILED = "FAILED", "LINK_FAILED"
-SKIPPED_BADROW, SKIPPED_QUARANTINED = "SKIPPED_BADROW", "SKIPPED_QUARANTINED"
-OUTCOMES = (INSERTED, UPDATED, DELETED, FAILED, LINK_FAILED, SKIPPED_BADROW, SKIPPED_QUARANTINED)
-
-TARGET_SEED, QUARANTINE_SEED = "T", "Q"
-OLD_ID = "_old_id"
-PRESENT, INSERT_FAILED, QUARANTINED = "present", "insert_failed", "quarantined"
-OUTCOME, DETAIL, EFFECTIVE, CREATES = "outcome", "detail", "effective", "creates"
 QUARANTINED_DETAIL = "business key is quarantined"
+DECISIVE, LINK_REASON = own("decisive"), own("link_reason")
+PRESENT_IN, FAILED_IN = own("present_in"), own("failed_in")
+
+
+def _params(spec: ChangeSpec) -> dict[str, str]:
+    """Columns that hold the link parameters while link expressions are evaluated."""
+    return {name.lower(): own(f"link_{name}") for name in spec.link.params}
 
 
-def link_reason(spec: ChangeSpec, df: DataFrame, new_id: str) -> tuple[DataFrame, dict[str, Column], Column]:
-    """Link values for the id column ``new_id``, and the rule they break (null if none)."""
-    link = spec.link
-    held = {name.lower(): f"_link_{name}" for name in link.params}
+def link_values(spec: ChangeSpec, df: DataFrame, new_id: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    """``df`` with the link parameters, the link values for the id column ``new_id``, and the
+    rule they break (null if none).
+    """
+    link, held = spec.link, _params(spec)
     df = df.withColumns({held[n.lower()]: F.lit(v) for n, v in link.params.items()}) if held else df
     held[link.new_id.lower()] = new_id
     values, found = {}, []
@@ -66,8 +94,8 @@ def _decisive(spec: ChangeSpec) -> Column:
     about presence is never used. With it off, an insert that failed as a duplicate found
     the row there, and one that failed as invalid settles nothing.
     """
-    ok = F.col(REASON).isNull()
-    kind = F.col(KIND)
+    ok = F.col(own(REASON)).isNull()
+    kind = F.col(own(KIND))
     rule = F.when(kind == DELETE, F.lit(False)).when(kind == TARGET_SEED, F.lit(True))
     if spec.quarantine:
         rule = rule.when(kind == INSERT, F.lit(True))
@@ -79,12 +107,12 @@ def _decisive(spec: ChangeSpec) -> Column:
 
 
 def _insert_fails(spec: ChangeSpec, present: Column) -> Column:
-    fails = F.col(REASON).isNotNull()
+    fails = F.col(own(REASON)).isNotNull()
     if spec.on_duplicate == "fail":
         fails = fails | present
     # A quarantine seed acts as an insert that failed before the first change.
     return F.coalesce(
-        ((F.col(KIND) == INSERT) & fails) | (F.col(KIND) == QUARANTINE_SEED), F.lit(False)
+        ((F.col(own(KIND)) == INSERT) & fails) | (F.col(own(KIND)) == QUARANTINE_SEED), F.lit(False)
     )
 
 
@@ -94,8 +122,8 @@ def _before(partition: list[str]):
 
 
 def _local_presence(rows: DataFrame, spec: ChangeSpec, partition: list[str]) -> DataFrame:
-    rows = rows.withColumn("_decisive", _decisive(spec))
-    return rows.withColumn(PRESENT, F.last("_decisive", ignorenulls=True).over(_before(partition)))
+    rows = rows.withColumn(DECISIVE, _decisive(spec))
+    return rows.withColumn(own(PRESENT), F.last(DECISIVE, ignorenulls=True).over(_before(partition)))
 
 
 def _classify(
@@ -107,12 +135,12 @@ def _classify(
     if carried is not None:
         # At most one row per slice of a hot key: bounded by the skew policy.
         rows = match_keys(rows, carried, partition, "left")
-        rows = rows.withColumn(PRESENT, F.coalesce(F.col(PRESENT), F.col("_present_in")))
-        inherited = F.coalesce(F.col("_failed_in"), F.lit(False))
-    rows = rows.withColumn(PRESENT, F.coalesce(F.col(PRESENT), F.lit(False)))
-    rows = rows.withColumn(INSERT_FAILED, _insert_fails(spec, F.col(PRESENT)))
+        rows = rows.withColumn(own(PRESENT), F.coalesce(F.col(own(PRESENT)), F.col(PRESENT_IN)))
+        inherited = F.coalesce(F.col(FAILED_IN), F.lit(False))
+    rows = rows.withColumn(own(PRESENT), F.coalesce(F.col(own(PRESENT)), F.lit(False)))
+    rows = rows.withColumn(own(INSERT_FAILED), _insert_fails(spec, F.col(own(PRESENT))))
     if spec.quarantine:
-        earlier = F.max(INSERT_FAILED).over(_before(partition))
+        earlier = F.max(own(INSERT_FAILED)).over(_before(partition))
         rows = rows.withColumn(QUARANTINED, F.coalesce(earlier, F.lit(False)) | inherited)
     else:
         rows = rows.withColumn(QUARANTINED, F.lit(False))
@@ -120,36 +148,34 @@ def _classify(
 
 
 def _outcomes(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
-    kind, reason, present = F.col(KIND), F.col(REASON), F.col(PRESENT)
+    kind, reason, present = F.col(own(KIND)), F.col(own(REASON)), F.col(own(PRESENT))
     touches = present if spec.on_missing == "noop" else F.lit(True)
     inserted, link_detail = F.lit(INSERTED), F.lit(None).cast("string")
     if spec.link is not None:
-        rows, _, broken = link_reason(spec, rows, ORDER)
-        rows = rows.withColumn("_link_reason", broken)
-        rows = rows.drop(*[c for c in rows.columns if c.startswith("_link_") and c != "_link_reason"])
-        inserted = F.when(F.col("_link_reason").isNull(), INSERTED).otherwise(LINK_FAILED)
-        link_detail = F.col("_link_reason")
+        rows, _, broken = link_values(spec, rows, ORDER)
+        rows = rows.withColumn(LINK_REASON, broken).drop(*_params(spec).values())
+        link_detail = F.col(LINK_REASON)
+        inserted = F.when(link_detail.isNull(), INSERTED).otherwise(LINK_FAILED)
     outcome = (
         F.when(kind.isNull(), SKIPPED_BADROW)
         .when(F.col(QUARANTINED), SKIPPED_QUARANTINED)
-        .when(F.col(INSERT_FAILED), FAILED)
+        .when(F.col(own(INSERT_FAILED)), FAILED)
         .when((kind == UPDATE) & touches & reason.isNotNull(), FAILED)
         .when(kind == INSERT, inserted)
         .when(kind == DELETE, DELETED)
         .when(kind == UPDATE, UPDATED)
     )
-    rows = rows.withColumn(OUTCOME, outcome)
-    done = F.col(OUTCOME)
+    rows = rows.withColumn(own(OUTCOME), outcome)
+    done = F.col(own(OUTCOME))
     detail = (
-        F.when(done == SKIPPED_BADROW, unknown_op(F.col(OP), spec))
+        F.when(done == SKIPPED_BADROW, unknown_op(F.col(own(OP)), spec))
         .when(done == SKIPPED_QUARANTINED, QUARANTINED_DETAIL)
         .when(done == LINK_FAILED, link_detail)
         .when(done == FAILED, F.coalesce(reason, F.lit("duplicate:" + ",".join(spec.business_keys))))
     )
     effective = F.coalesce(done.isin(INSERTED, LINK_FAILED) | ((done == UPDATED) & touches), F.lit(False))
-    return rows.withColumn(DETAIL, detail).withColumn(EFFECTIVE, effective).withColumn(
-        CREATES, F.col(EFFECTIVE) & ~present
-    )
+    rows = rows.withColumn(own(DETAIL), detail).withColumn(own(EFFECTIVE), effective)
+    return rows.withColumn(own(CREATES), F.col(own(EFFECTIVE)) & ~present)
 
 
 def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
@@ -158,22 +184,22 @@ def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
     # How the slice ends depends on how it starts only while no row has settled presence.
     at = F.struct(F.col(ORDER).isNotNull(), F.col(ORDER))
     summary = local.groupBy(*keys, SLICE).agg(
-        F.max_by("_decisive", F.when(F.col("_decisive").isNotNull(), at)).alias("_ends"),
-        F.max(_insert_fails(spec, F.coalesce(F.col(PRESENT), F.lit(True)))).alias("_fails_if_there"),
-        F.max(_insert_fails(spec, F.coalesce(F.col(PRESENT), F.lit(False)))).alias("_fails_if_absent"),
+        F.max_by(DECISIVE, F.when(F.col(DECISIVE).isNotNull(), at)).alias("_ends"),
+        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(True)))).alias("_fails_if_there"),
+        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(False)))).alias("_fails_if_absent"),
     )
     earlier = (
         Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = F.coalesce(F.last("_ends", ignorenulls=True).over(earlier), F.lit(False))
-    chained = summary.withColumn("_present_in", starts).withColumn(
-        "_failed", F.when(F.col("_present_in"), F.col("_fails_if_there")).otherwise(F.col("_fails_if_absent"))
+    chained = summary.withColumn(PRESENT_IN, starts).withColumn(
+        "_failed", F.when(F.col(PRESENT_IN), F.col("_fails_if_there")).otherwise(F.col("_fails_if_absent"))
     )
     return chained.select(
         *keys,
         SLICE,
-        "_present_in",
-        F.coalesce(F.max("_failed").over(earlier), F.lit(False)).alias("_failed_in"),
+        PRESENT_IN,
+        F.coalesce(F.max("_failed").over(earlier), F.lit(False)).alias(FAILED_IN),
     )
 
 
@@ -185,21 +211,21 @@ def _seeds(
     out = []
     if target is None and quarantine is None:
         return out
-    touched = rows.where(F.col(KIND).isNotNull()).select(*keys).distinct()
+    touched = rows.where(F.col(own(KIND)).isNotNull()).select(*keys).distinct()
     if target is not None:
         there = key_join(target, touched, keys, "left_semi", null_safe=spec.nullable_keys)
         out.append(
             there.select(
                 *keys,
                 F.col(spec.id_column).alias(OLD_ID),
-                F.lit(TARGET_SEED).alias(KIND),
+                F.lit(TARGET_SEED).alias(own(KIND)),
                 *[F.col(c).alias(value_column(c)) for c in spec.target],
             )
         )
     if quarantine is not None and spec.quarantine:
         blocked = key_types_of(quarantine, rows, keys).distinct()
         blocked = key_join(blocked, touched, keys, "left_semi")
-        out.append(blocked.select(*keys, F.lit(QUARANTINE_SEED).alias(KIND)))
+        out.append(blocked.select(*keys, F.lit(QUARANTINE_SEED).alias(own(KIND))))
     return out
 
 
@@ -219,7 +245,7 @@ def classify(
     keys = list(spec.business_keys)
     rows = prepare(changes, spec)
     if known_only:
-        rows = rows.where(F.col(KIND).isNotNull())
+        rows = rows.where(F.col(own(KIND)).isNotNull())
     frame = rows.withColumn(OLD_ID, F.lit(None).cast(rows.schema[ORDER].dataType))
     for seed in _seeds(rows, spec, target, quarantine):
         frame = frame.unionByName(seed, allowMissingColumns=True)
@@ -233,7 +259,7 @@ def classify(
 
 
 def without_seeds(rows: DataFrame) -> DataFrame:
-    return rows.where(~F.coalesce(F.col(KIND).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False)))
+    return rows.where(~F.coalesce(F.col(own(KIND)).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False)))
 
 
 def replay(
@@ -254,22 +280,18 @@ def replay(
 
 def outcomes_of(rows: DataFrame, columns: list[str], spec: ChangeSpec) -> DataFrame:
     """``columns`` of the change rows and what became of each."""
+    taken = [c for c in columns if c.lower() in RESULT]
+    if taken:
+        raise SpecError(f"rename {taken} of the change log: results have columns of that name")
     # An unknown operation is settled before its key is even read.
-    known = F.col(KIND).isNotNull()
+    known = F.col(own(KIND)).isNotNull()
+    special = {
+        PRESENT: F.when(known, F.col(own(PRESENT))),
+        INSERT_FAILED: F.col(own(INSERT_FAILED)) & ~F.col(QUARANTINED),
+    }
     # The order key travels once: its own column is rebuilt from the sort column.
     kept = [F.col(ORDER).alias(c) if c == spec.order_key else F.col(f"`{c}`") for c in columns]
-    return without_seeds(rows).select(
-        *kept,
-        F.when(known, F.col(KIND)).alias("kind"),
-        F.col(OP).alias("op"),
-        F.col(REASON).alias("reason"),
-        F.when(known, F.col(PRESENT)).alias(PRESENT),
-        (F.col(INSERT_FAILED) & ~F.col(QUARANTINED)).alias(INSERT_FAILED),
-        OUTCOME,
-        DETAIL,
-        EFFECTIVE,
-        CREATES,
-    )
+    return without_seeds(rows).select(*kept, *[special.get(c, F.col(own(c))).alias(c) for c in RESULT])
 
 
 def flag_quarantined(
@@ -279,7 +301,7 @@ def flag_quarantined(
     **options,
 ) -> DataFrame:
     """Order key, business key and whether the change met a quarantined key."""
-    rows = replay(changes, spec, None, quarantine, **options).where(F.col("kind").isNotNull())
+    rows = replay(changes, spec, None, quarantine, **options).where(F.col(KIND).isNotNull())
     return rows.select(
-        spec.order_key, *spec.business_keys, (F.col(OUTCOME) == SKIPPED_QUARANTINED).alias(QUARANTINED)
+        spec.order_key, *spec.business_keys, (F.col(OUTCOME) == SKIPPED_QUARANTINED).alias("quarantined")
     )

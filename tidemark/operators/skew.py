@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BORDERS, COARSE, SLICE = "_borders", "_coarse", "_slice"
+from .names import own
+
+BORDERS, COARSE, SLICE, _PASSED = own("borders"), own("coarse"), own("slice"), own("passed")
 _POINTS_PER_SLICE = 32
 
 
@@ -85,11 +87,11 @@ def match_keys(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str)
 
     ``small`` is broadcast; its callers bound it by the skew policy.
     """
-    renamed = small.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    renamed = small.withColumnsRenamed({k: own(f"s_{k}") for k in keys})
     condition = F.lit(True)
     for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return rows.join(F.broadcast(renamed), condition, how).drop(*[f"_s_{k}" for k in keys])
+        condition = condition & F.col(k).eqNullSafe(F.col(own(f"s_{k}")))
+    return rows.join(F.broadcast(renamed), condition, how).drop(*[own(f"s_{k}") for k in keys])
 
 
 def with_slice(rows: DataFrame, borders: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -103,8 +105,8 @@ def with_slice(rows: DataFrame, borders: DataFrame, keys: Sequence[str], order:
     step = _step()
     # Kept apart so that the first search runs once: its result is used twice.
     rows = rows.withColumn(
-        "_passed", F.when(F.col(BORDERS).isNotNull(), F.size(F.filter(COARSE, lambda b: b <= at)) * step)
+        _PASSED, F.when(F.col(BORDERS).isNotNull(), F.size(F.filter(COARSE, lambda b: b <= at)) * step)
     )
-    within = F.filter(F.slice(BORDERS, F.col("_passed") + 1, step), lambda b: b <= at)
-    found = F.when(F.col("_passed").isNotNull() & at.isNotNull(), F.col("_passed") + F.size(within))
-    return rows.withColumn(SLICE, F.coalesce(found, F.lit(0))).drop("_passed")
+    within = F.filter(F.slice(BORDERS, F.col(_PASSED) + 1, step), lambda b: b <= at)
+    found = F.when(F.col(_PASSED).isNotNull() & at.isNotNull(), F.col(_PASSED) + F.size(within))
+    return rows.withColumn(SLICE, F.coalesce(found, F.lit(0))).drop(_PASSED)

@@ -14,7 +14,8 @@ from ..operators import audit
 from ..operators.image import ALIVE, BORN, REMOVED_ID, image_of, merge_image
 from ..operators.keys import key_join, key_types_of
 from ..operators.links import merge_links
-from ..operators.replay import FAILED, OUTCOME, classify, outcomes_of
+from ..operators.names import FAILED, OUTCOME
+from ..operators.replay import classify, outcomes_of
 from ..operators.skew import DEFAULT_SKEW, SkewPolicy
 from ..sources.changelog import keyset_page, queue_page
 from ..sources.scratch import Scratch

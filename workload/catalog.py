@@ -350,7 +350,7 @@ def history_for_keys(spark, sf_dir):
     spec = order_spec()
     outcomes = Scratch(spark).write(
         replay(order_log(spark, sf_dir), spec).select(
-            "change_id", "order_id", "op", "outcome", "detail", "insert_failed"
+            "change_id", "order_id", "op_text", "outcome", "detail", "insert_failed"
         )
     )
     history = audit.history_rows(outcomes, spec)

@@ -196,7 +196,12 @@ def test_two_writers_conflict(spark, store):
     base = store.latest()
     run_cycle(store, spec, log, base=base)
     with pytest.raises(CommitConflict):
-        run_cycle(store, spec, log, base=base)
+        run_cycle(store, spec, good(spark, (1, "I", 7)), base=base)
+    assert target_of(store) == TARGET and len(store.read("history").collect()) == 17
+    # What the loser wrote goes with the next clean-up.
+    assert len(store.vacuum(keep=1)) == 4
+    assert target_of(store) == TARGET
+    check_links(store)
 
 
 def test_committed_batch_is_skipped(spark, store):
@@ -245,6 +250,15 @@ def test_vacuum_keeps_what_the_last_commits_use(spark, store):
     check_links(store)
 
 
+def test_rows_carry_the_time_of_their_last_write(spark, store):
+    spec = spec_for(stamped=True)
+    run_keyset(store, spec, good(spark, (1, "I", 7), (2, "I", 8)))
+    first = {r.order_id: r.synced_at for r in store.read("target").collect()}
+    run_keyset(store, spec, good(spark, (3, "U", 7)))
+    second = {r.order_id: r.synced_at for r in store.read("target").collect()}
+    assert second[7] > first[7] and second[8] == first[8]
+
+
 def test_history_off(spark, store):
     spec = spec_for(history=False)
     run_keyset(store, spec, seed(spark), 9)

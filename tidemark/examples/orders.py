@@ -50,13 +50,19 @@ def user_link(user_id: Any, section: Any) -> Link:
     )
 
 
-def orders_spec(**changed: Any) -> ChangeSpec:
-    """Spec of the example; keyword arguments override its fields."""
+def orders_spec(stamped: bool = False, **changed: Any) -> ChangeSpec:
+    """Spec of the example; keyword arguments override its fields.
+
+    ``stamped`` adds the time of the last write to each target row.
+    """
+    columns, target = dict(ORDER_COLUMNS), dict(ORDER_TARGET)
+    if stamped:
+        columns["synced_at"], target["synced_at"] = "current_timestamp()", Column("timestamp")
     settings: dict[str, Any] = {
         "business_keys": ("order_id",),
-        "target": ORDER_TARGET,
-        "insert": Mapping(ORDER_COLUMNS),
-        "update": Mapping(ORDER_COLUMNS),
+        "target": target,
+        "insert": Mapping(columns),
+        "update": Mapping(columns),
         "id_column": "summary_id",
         "link": user_link("u-100", "orders"),
     }

@@ -10,14 +10,22 @@ from pyspark.sql import functions as F
 
 
 def key_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    null_safe: bool = True,
+    small: bool = False,
 ) -> DataFrame:
     """Semi or anti join of ``left`` on the key columns.
 
-    No broadcast is forced: Catalyst and AQE choose by the measured size of the right side,
-    and AQE splits partitions of ``left`` that a hot key has made too large.
+    Catalyst and AQE choose how by the measured size of the right side, and AQE splits
+    partitions of ``left`` that a hot key has made too large. ``small`` asks for a broadcast;
+    the caller has counted the right side.
     """
     l, r = left.alias("l"), right.select(*keys).alias("r")
+    if small:
+        r = F.broadcast(r)
     parts = []
     for k in keys:
         a, b = F.col(f"l.`{k}`"), F.col(f"r.`{k}`")

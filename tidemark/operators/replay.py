@@ -204,7 +204,7 @@ def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
 
 
 def _seeds(
-    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None
+    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None, few: bool
 ) -> list[DataFrame]:
     """Starting state of the keys that occur in the log."""
     keys = list(spec.business_keys)
@@ -213,7 +213,7 @@ def _seeds(
         return out
     touched = rows.where(F.col(own(KIND)).isNotNull()).select(*keys).distinct()
     if target is not None:
-        there = key_join(target, touched, keys, "left_semi", null_safe=spec.nullable_keys)
+        there = key_join(target, touched, keys, "left_semi", spec.nullable_keys, small=few)
         out.append(
             there.select(
                 *keys,
@@ -224,7 +224,7 @@ def _seeds(
         )
     if quarantine is not None and spec.quarantine:
         blocked = key_types_of(quarantine, rows, keys).distinct()
-        blocked = key_join(blocked, touched, keys, "left_semi")
+        blocked = key_join(blocked, touched, keys, "left_semi", small=few)
         out.append(blocked.select(*keys, F.lit(QUARANTINE_SEED).alias(own(KIND))))
     return out
 
@@ -236,10 +236,13 @@ def classify(
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
     known_only: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Outcome of every change; the seed rows of the starting state are still among them.
 
-    ``known_only`` leaves out rows with an unknown operation, which change nothing.
+    ``known_only`` leaves out rows with an unknown operation, which change nothing. ``few``
+    says that the caller has counted the changes and their keys can be broadcast, which
+    spares a large target its shuffle.
     """
     changes = spec.canonical(changes)
     keys = list(spec.business_keys)
@@ -247,7 +250,7 @@ def classify(
     if known_only:
         rows = rows.where(F.col(own(KIND)).isNotNull())
     frame = rows.withColumn(OLD_ID, F.lit(None).cast(rows.schema[ORDER].dataType))
-    for seed in _seeds(rows, spec, target, quarantine):
+    for seed in _seeds(rows, spec, target, quarantine, few):
         frame = frame.unionByName(seed, allowMissingColumns=True)
 
     borders = hot_key_borders(changes, keys, spec.order_key, skew) if skew else None

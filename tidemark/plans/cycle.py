@@ -24,6 +24,9 @@ from .store import BUCKET, Commit, Store
 
 Step = Callable[[str], None]
 
+# Up to this many changes, their keys are broadcast to find the rows they belong to.
+FEW_ROWS = 500_000
+
 
 class OrderKeyError(ValueError):
     """The order key is null or repeated; paging over it would lose or repeat rows."""
@@ -83,14 +86,14 @@ def run_cycle(
     """
     base = base or store.latest()
     done = on_step or (lambda _: None)
-    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    as_of = as_of or datetime.now(timezone.utc)
     page = spec.canonical(page)
     scratch = Scratch(store.spark)
     try:
         stats = _key_stats(page, spec, verify_unique)
         if not stats["rows"] and not late:
             return None
-        commit = replace(base, version=base.version + 1, late=base.late + late)
+        commit = replace(base.next(), late=base.late + late)
         if stream is not None:
             commit = replace(commit, streams={**base.streams, stream[0]: stream[1]})
         if not stats["rows"]:
@@ -99,7 +102,7 @@ def run_cycle(
 
         target, page = _target_near(store, base, spec, page)
         held = store.read("quarantine", base) if spec.quarantine else None
-        rows = classify(page, spec, target, held, skew)
+        rows = classify(page, spec, target, held, skew, few=stats["rows"] <= FEW_ROWS)
 
         commit, records = _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch)
         done("history")
@@ -270,6 +273,26 @@ def run_keyset(
     return results
 
 
+def _waiting(store, base, spec, changes, batch_size, scratch) -> DataFrame:
+    """Rows of the next queue cycle.
+
+    Once there are stamps, the log is matched with them on its key columns alone. What is
+    left is usually little: whole rows are then fetched by their keys, which are broadcast if
+    they are few, and only from the key range they span.
+    """
+    marks = store.read("marks", base)
+    page = queue_page(changes, spec, store.read("quarantine", base), batch_size, scratch, marks)
+    if marks is None:
+        return page
+    key = spec.order_key
+    waiting = scratch.write(page.select(key))
+    span = waiting.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if not span["n"]:
+        return page.limit(0)
+    log = spec.canonical(changes).where(F.col(key).between(F.lit(span["low"]), F.lit(span["high"])))
+    return key_join(log, waiting, [key], "left_semi", null_safe=False, small=span["n"] <= FEW_ROWS)
+
+
 def run_queue(
     store: Store,
     spec: ChangeSpec,
@@ -290,9 +313,7 @@ def run_queue(
         base = store.latest()
         scratch = Scratch(store.spark)
         try:
-            page = queue_page(
-                changes, spec, store.read("quarantine", base), batch_size, scratch, store.read("marks", base)
-            )
+            page = _waiting(store, base, spec, changes, batch_size, scratch)
             page = _pinned(page, scratch, batch_size, pin)
             result = run_cycle(store, spec, page, base=base, queue=True, **options)
         finally:
@@ -314,7 +335,7 @@ def requeue(store: Store, spec: ChangeSpec, cleared: DataFrame) -> Commit:
     held = store.read("quarantine", base)
     if held is None:
         return base
-    commit = replace(base, version=base.version + 1)
+    commit = base.next()
     rest = audit.quarantine_clear(held, cleared, spec)
     commit, _, segment = store.write_segment(commit, "quarantine", rest)
     commit = store.with_segments(commit, "quarantine", [segment])

@@ -2,7 +2,8 @@
 
 A cycle writes new Parquet folders and then one commit record that names, for each table,
 the folders in force. Readers follow the highest record only, so a cycle that stops
-half-way leaves nothing visible and its folders are overwritten by the next attempt.
+half-way leaves nothing visible. Every attempt has folders of its own: one that lost the
+race to commit cannot touch what the winner wrote.
 
 Target and links are cut into hash buckets; a cycle rewrites just the buckets it touches.
 History, quarantine and processed marks grow by segments.
@@ -11,6 +12,7 @@ History, quarantine and processed marks grow by segments.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -33,6 +35,7 @@ class CommitConflict(RuntimeError):
 @dataclass(frozen=True)
 class Commit:
     version: int = 0
+    attempt: str = ""
     buckets: int = 64
     last_key: str | None = None
     key_type: str | None = None
@@ -48,8 +51,16 @@ class Commit:
         """The resume point with its own type."""
         return None if self.last_key is None else F.lit(self.last_key).cast(self.key_type)
 
+    def next(self) -> Commit:
+        """A new attempt at the following version."""
+        return replace(self, version=self.version + 1, attempt=uuid.uuid4().hex[:12])
+
+    def folder(self, table: str) -> str:
+        """Where this attempt writes a table."""
+        return f"{table}/v={self.version}-{self.attempt}"
+
     def folders(self) -> set[str]:
-        """``table/v=N`` of everything this commit needs."""
+        """The folders this commit needs."""
         used = {path for table in self.parts.values() for path in table.values()}
         used |= {s["path"] for table in self.segments.values() for s in table}
         return {"/".join(path.split("/")[:2]) for path in used}
@@ -114,9 +125,9 @@ class Store:
         Rebalancing puts a bucket into as few files as its size allows: AQE splits large
         buckets over several tasks and packs small ones together.
         """
-        folder = f"{table}/v={commit.version}"
+        folder = commit.folder(table)
         placed = rows.withColumn(BUCKET, self.bucket_of(commit, *keys)).hint("rebalance", BUCKET)
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(self.files.path(folder))
+        placed.write.partitionBy(BUCKET).parquet(self.files.path(folder))
         found = {n.split("=")[1] for n in self.files.names(folder) if n.startswith(f"{BUCKET}=")}
         parts = {b: p for b, p in commit.parts.get(table, {}).items() if int(b) not in set(touched)}
         parts |= {b: f"{folder}/{BUCKET}={b}" for b in found}
@@ -130,8 +141,8 @@ class Store:
         self, commit: Commit, table: str, rows: DataFrame, name: str = "new"
     ) -> tuple[Commit, DataFrame, dict[str, Any]]:
         """Write rows as a segment of the commit being built; not yet part of its list."""
-        path = f"{table}/v={commit.version}/{name}"
-        rows.write.mode("overwrite").parquet(self.files.path(path))
+        path = f"{commit.folder(table)}/{name}"
+        rows.write.parquet(self.files.path(path))
         commit = replace(commit, schemas={**commit.schemas, table: rows.schema.json()})
         written = self.spark.read.schema(rows.schema).parquet(self.files.path(path))
         return commit, written, {"path": path}
@@ -141,12 +152,15 @@ class Store:
         return replace(commit, segments={**commit.segments, table: segments})
 
     def vacuum(self, keep: int = 2) -> list[str]:
-        """Drop commits older than the last ``keep`` and the folders only they used."""
+        """Drop commits older than the last ``keep``, and folders that no kept commit uses.
+
+        Folders of a version still to come belong to a cycle at work and stay.
+        """
         if keep < 1:
             raise ValueError("keep must be at least 1")
         versions = self.versions()
         kept, old = versions[-keep:], versions[:-keep]
-        if not old:
+        if not versions:
             return []
         used = set().union(*[self.commit_of(v).folders() for v in kept])
         dropped = []
@@ -154,7 +168,8 @@ class Store:
             self.files.delete(COMMITS, f"{version:012d}.json")
         for table in (*BUCKETED, *SEGMENTED):
             for name in self.files.names(table):
-                if int(name.split("=")[1]) <= versions[-1] and f"{table}/{name}" not in used:
+                written = int(name.removeprefix("v=").split("-")[0])
+                if written <= versions[-1] and f"{table}/{name}" not in used:
                     self.files.delete(table, name)
                     dropped.append(f"{table}/{name}")
         return dropped

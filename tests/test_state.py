@@ -290,3 +290,33 @@ def test_commit_record_is_plain_json(spark, store, tmp_path):
     record = json.loads(store.files.read_text("_commits", name))
     assert record["last_key"] == "17" and record["rows"] == 17
     assert uuid.uuid4().hex not in name
+
+
+@pytest.mark.parametrize("quarantine", [True, False])
+def test_random_log_in_cycles_with_hot_keys(spark, store, quarantine):
+    """Stored cycles over a skewed log against the sequential model."""
+    from tests import model
+    from tests.test_replay import SOME_HOT, frame, log, spec_for as random_spec
+    from tidemark import Column, Link
+
+    link = Link({"parent": ":NEW_ID", "who": ":WHO"}, {"parent": Column("bigint"), "who": Column("string")}, {"WHO": "x"})
+    spec = random_spec(link=link, quarantine=quarantine)
+    rows = sorted(log(5, 300, 12), key=lambda r: r["id"])
+    outcomes, target, blocked, links = model.run(rows, quarantine_on=quarantine)
+    results = run_keyset(store, spec, frame(spark, rows), 170, skew=SOME_HOT)
+    assert [r.rows_read for r in results] == [170, 130]
+    assert {r.id: r.outcome for r in store.read("history").collect()} == outcomes
+    got = {(r.k1, r.k2): {"id": r.row_id, "a": r.a, "b": r.b} for r in store.read("target").collect()}
+    assert got == target
+    assert {r.parent: r.link_id for r in store.read("links").collect()} == links
+    if quarantine:
+        assert {(r.k1, r.k2) for r in store.read("quarantine").collect()} == blocked
+
+
+def test_key_type_of_a_later_page_may_differ(spark, store):
+    spec = spec_for()
+    run_keyset(store, spec, good(spark, (1, "I", 7)))
+    later = good(spark, (2, "U", 7), (3, "D", 8)).withColumn("order_id", F.col("order_id").cast("int"))
+    run_keyset(store, spec, later)
+    assert sorted(target_of(store)) == [7]
+    assert history_of(store) == {1: "INSERTED", 2: "UPDATED", 3: "DELETED"}

@@ -285,6 +285,30 @@ def test_keyset_page(spark):
     assert keyset_page(log, orders_spec(), 17).count() == 0
 
 
+@pytest.mark.parametrize("slices", [1, 2, 5, 90])
+def test_slices_keep_the_order(spark, slices):
+    """Each row of a hot key gets the slice its order key falls into; others get none."""
+    from bisect import bisect_right
+
+    from tidemark.operators.skew import SLICE, find_hot_keys, with_slice
+
+    n = 1800
+    hot = F.col("id") % 2 == 0
+    rows = spark.range(n).select(
+        F.when(hot, F.lit(None)).when(F.col("id") % 10 == 1, 7).otherwise(F.col("id") + 100).alias("k"),
+        F.when(F.col("id") % 97 != 0, F.col("id") * 37 % 1000).alias("at"),
+    )
+    found = find_hot_keys(rows, ["k"], "at", SkewPolicy(hot_rows=100, sample=1.0, slice_rows=max(1, 900 // slices)))
+    assert found.null_safe
+    borders = {r.k: r[1] for r in found.table.collect()}
+    assert set(borders) == {None, 7}
+    for r in with_slice(rows, found, ["k"], "at").collect():
+        if r.k not in borders:
+            assert r[SLICE] is None
+        else:
+            assert r[SLICE] == (0 if r["at"] is None else bisect_right(borders[r.k], r["at"]))
+
+
 # -- generator -------------------------------------------------------------------
 
 

@@ -55,7 +55,7 @@ from .names import (
     own,
     value_column,
 )
-from .skew import BORDERS, COARSE, DEFAULT_SKEW, SLICE, SkewPolicy, hot_key_borders, match_keys, with_slice
+from .skew import DEFAULT_SKEW, SLICE, SkewPolicy, find_hot_keys, match_keys, with_slice
 
 QUARANTINED_DETAIL = "business key is quarantined"
 DECISIVE, LINK_REASON = own("decisive"), own("link_reason")
@@ -126,15 +126,22 @@ def _local_presence(rows: DataFrame, spec: ChangeSpec, partition: list[str]) ->
     return rows.withColumn(own(PRESENT), F.last(DECISIVE, ignorenulls=True).over(_before(partition)))
 
 
+@dataclass(frozen=True)
+class Carried:
+    """What each slice of a hot key inherits; one row per slice, bounded by the skew policy."""
+
+    states: DataFrame
+    null_safe: bool
+
+
 def _classify(
-    rows: DataFrame, spec: ChangeSpec, partition: list[str], carried: DataFrame | None = None
+    rows: DataFrame, spec: ChangeSpec, partition: list[str], carried: Carried | None = None
 ) -> DataFrame:
-    """Outcome of every row; ``carried`` is what each (key, slice) inherits."""
+    """Outcome of every row, from windows over ``partition``."""
     rows = _local_presence(rows, spec, partition)
     inherited = F.lit(False)
     if carried is not None:
-        # At most one row per slice of a hot key: bounded by the skew policy.
-        rows = match_keys(rows, carried, partition, "left")
+        rows = match_keys(rows, carried.states, partition, "left", carried.null_safe)
         rows = rows.withColumn(own(PRESENT), F.coalesce(F.col(own(PRESENT)), F.col(PRESENT_IN)))
         inherited = F.coalesce(F.col(FAILED_IN), F.lit(False))
     rows = rows.withColumn(own(PRESENT), F.coalesce(F.col(own(PRESENT)), F.lit(False)))
@@ -253,12 +260,13 @@ def classify(
     for seed in _seeds(rows, spec, target, quarantine, few):
         frame = frame.unionByName(seed, allowMissingColumns=True)
 
-    borders = hot_key_borders(changes, keys, spec.order_key, skew) if skew else None
-    if borders is None:
+    hot = find_hot_keys(changes, keys, spec.order_key, skew) if skew else None
+    if hot is None:
         return _classify(frame, spec, keys)
-    sliced = with_slice(frame, borders, keys, ORDER)
-    carried = _carry(sliced.where(F.col(BORDERS).isNotNull()), spec, keys)
-    return _classify(sliced.drop(BORDERS, COARSE), spec, [*keys, SLICE], carried)
+    sliced = with_slice(frame, hot, keys, ORDER)
+    carried = _carry(sliced.where(F.col(SLICE).isNotNull()), spec, keys)
+    sliced = sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0)))
+    return _classify(sliced, spec, [*keys, SLICE], Carried(carried, hot.null_safe))
 
 
 def without_seeds(rows: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from .names import own
 
-BORDERS, COARSE, SLICE, _PASSED = own("borders"), own("coarse"), own("slice"), own("passed")
+SLICE, _BLOCK, _OF_BLOCK = own("slice"), own("block"), own("of_block")
+_BORDERS, _LOW, _HIGH, _COUNT, _STEP = own("borders"), own("low"), own("high"), own("count"), own("step")
 _POINTS_PER_SLICE = 32
 
 
@@ -38,19 +39,31 @@ class SkewPolicy:
 DEFAULT_SKEW = SkewPolicy()
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Hot keys with the sorted order keys at which their changes are cut.
+
+    ``null_safe`` tells whether a key with a null is among them; a plain comparison of key
+    columns is a good deal faster.
+    """
+
+    table: DataFrame
+    null_safe: bool
+
+
 def _bernoulli(rows: DataFrame, share: float, seed: int) -> DataFrame:
     return rows.sample(fraction=share, seed=seed) if share < 1 else rows
 
 
-def hot_key_borders(
+def find_hot_keys(
     rows: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy
-) -> DataFrame | None:
-    """Hot keys with the order keys at which their changes are cut; None if no key is hot.
+) -> HotKeys | None:
+    """Hot keys and their borders; None if no key is hot.
 
     Two passes over samples of the key columns. Only borders come from the samples, so any
     draw gives the same results. They are fixed here, as a local table of at most
-    ``max_hot`` rows and ``max_hot + max_slices`` borders, so that every later use of them,
-    and every retry, cuts alike.
+    ``max_hot`` rows and about ``max_hot + max_slices`` borders, so that every later use of
+    them, and every retry, cuts alike.
     """
     sample = _bernoulli(rows.select(*keys), policy.sample, seed=17)
     least = max(1, math.ceil(policy.hot_rows * policy.sample))
@@ -58,6 +71,7 @@ def hot_key_borders(
     top = counts.orderBy(F.desc("_n")).limit(policy.max_hot).collect()
     if not top:
         return None
+    null_safe = any(value is None for r in top for value in tuple(r)[:-1])
     hot_rows = sum(r["_n"] for r in top) / policy.sample
     size = max(policy.slice_rows, hot_rows / policy.max_slices)
 
@@ -65,48 +79,61 @@ def hot_key_borders(
     key_schema = columns.drop("_at").schema
     listed = spark.createDataFrame([tuple(r)[:-1] for r in top], key_schema)
     per_slice = max(1, min(_POINTS_PER_SLICE, int(size)))
-    points = match_keys(columns.where(F.col("_at").isNotNull()), listed, keys, "inner")
+    points = match_keys(columns.where(F.col("_at").isNotNull()), listed, keys, "inner", null_safe)
     # A hot key contributes about `per_slice` points per slice: bounded like the slices.
     drawn = _bernoulli(points, per_slice / size, seed=23).groupBy(*keys)
-    cuts = F.filter(F.sort_array(F.collect_list("_at")), _every(F.lit(per_slice)))
-    borders = drawn.agg(cuts.alias(BORDERS))
+    cuts = F.filter(F.sort_array(F.collect_list("_at")), lambda _, i: F.pmod(i + 1, F.lit(per_slice)) == 0)
+    borders = drawn.agg(cuts.alias(_BORDERS))
     fixed = spark.createDataFrame([tuple(r) for r in borders.collect()], borders.schema)
-    return fixed.withColumn(BORDERS, F.sort_array(BORDERS)).withColumn(COARSE, F.filter(BORDERS, _every(_step())))
-
+    return HotKeys(fixed.withColumn(_BORDERS, F.sort_array(_BORDERS)), null_safe)
 
-def _every(n: Column):
-    return lambda _, i: F.pmod(i + 1, n) == 0
 
-
-def _step() -> Column:
-    return F.floor(F.sqrt(F.size(BORDERS))).cast("int") + 1
-
-
-def match_keys(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join a small table on the key columns, null equal to null.
+def match_keys(
+    rows: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    null_safe: bool,
+    also: Column | None = None,
+) -> DataFrame:
+    """Join a small table on the key columns, and on ``also`` if given.
 
     ``small`` is broadcast; its callers bound it by the skew policy.
     """
     renamed = small.withColumnsRenamed({k: own(f"s_{k}") for k in keys})
-    condition = F.lit(True)
+    condition = F.lit(True) if also is None else also
     for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(own(f"s_{k}")))
+        left, right = F.col(k), F.col(own(f"s_{k}"))
+        condition = condition & (left.eqNullSafe(right) if null_safe else left == right)
     return rows.join(F.broadcast(renamed), condition, how).drop(*[own(f"s_{k}") for k in keys])
 
 
-def with_slice(rows: DataFrame, borders: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Add the slice number: how many of the key's borders are at or below the order key.
+def with_slice(rows: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -> DataFrame:
+    """Add the slice number of each row of a hot key; null for ordinary keys.
 
-    Ordinary keys have the one slice 0. The search takes two steps of about the square root
-    of the number of borders: first over every n-th border, then between two of those.
+    Slice n holds the rows from border n - 1 up to border n; rows without an order key come
+    first. The right one is found by two broadcast joins with about the square root of the
+    number of slices as candidates each: a block of slices, then a slice of that block.
     """
-    rows = match_keys(rows, borders, keys, "left")
-    at = F.col(order)
-    step = _step()
-    # Kept apart so that the first search runs once: its result is used twice.
-    rows = rows.withColumn(
-        _PASSED, F.when(F.col(BORDERS).isNotNull(), F.size(F.filter(COARSE, lambda b: b <= at)) * step)
+    slices = F.size(_BORDERS) + 1
+    cut = hot.table.withColumn(_COUNT, slices).withColumn(_STEP, F.ceil(F.sqrt(slices)).cast("int"))
+    step, block, number = F.col(_STEP), F.col(_BLOCK), F.col(SLICE)
+    last_block = F.floor((F.col(_COUNT) - 1) / step).cast("int")
+    blocks = cut.withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), last_block)))
+    blocks = blocks.select(*keys, _BLOCK, *_range(block * step, (block + 1) * step))
+    parts = cut.withColumn(SLICE, F.explode(F.sequence(F.lit(0), F.col(_COUNT) - 1)))
+    parts = parts.select(
+        *keys, SLICE, F.floor(number / step).cast("int").alias(_OF_BLOCK), *_range(number, number + 1)
     )
-    within = F.filter(F.slice(BORDERS, F.col(_PASSED) + 1, step), lambda b: b <= at)
-    found = F.when(F.col(_PASSED).isNotNull() & at.isNotNull(), F.col(_PASSED) + F.size(within))
-    return rows.withColumn(SLICE, F.coalesce(found, F.lit(0))).drop(_PASSED)
+
+    at, low, high = F.col(order), F.col(_LOW), F.col(_HIGH)
+    inside = low.isNull() | F.coalesce(at >= low, F.lit(False))
+    inside = inside & (high.isNull() | F.coalesce(at < high, F.lit(True)))
+    rows = match_keys(rows, blocks, keys, "left", hot.null_safe, inside).drop(_LOW, _HIGH)
+    rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside & (block == F.col(_OF_BLOCK)))
+    return rows.drop(_LOW, _HIGH, _BLOCK, _OF_BLOCK)
+
+
+def _range(first: Column, after: Column) -> list[Column]:
+    """Borders around the slices from ``first`` to before ``after``; null where it is open."""
+    return [F.get(_BORDERS, first - 1).alias(_LOW), F.get(_BORDERS, after - 1).alias(_HIGH)]

@@ -299,7 +299,8 @@ def test_random_log_in_cycles_with_hot_keys(spark, store, quarantine):
     from tests.test_replay import SOME_HOT, frame, log, spec_for as random_spec
     from tidemark import Column, Link
 
-    link = Link({"parent": ":NEW_ID", "who": ":WHO"}, {"parent": Column("bigint"), "who": Column("string")}, {"WHO": "x"})
+    schema = {"parent": Column("bigint"), "who": Column("string")}
+    link = Link({"parent": ":NEW_ID", "who": ":WHO"}, schema, {"WHO": "x"})
     spec = random_spec(link=link, quarantine=quarantine)
     rows = sorted(log(5, 300, 12), key=lambda r: r["id"])
     outcomes, target, blocked, links = model.run(rows, quarantine_on=quarantine)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, sentencepiece_bpe
+from . import context_tree, decontamination, language_id, sentencepiece_bpe, token_counts
 from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,55 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.token_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return context_tree.score(docs.withColumn("held_out", id_bucket(F.col("doc_id"), 10) == 0))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT item_id, least(len(w), 13) AS k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p, w FROM i WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS win FROM iw
+), dw AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS p, w FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+), hits AS (
+  SELECT doc_id, dw.k, p, item_id FROM dw JOIN windows ON dw.k = windows.k AND array_to_string(w[p : p + dw.k - 1], ' ') = win
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY 1
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+@query(OP4_SQL)
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )

@@ -51,10 +51,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Words:
     """Lower-cased words of many texts: where each begins and ends, whose it is, and its hash."""
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray):
+    def __init__(self, data: np.ndarray, starts: np.ndarray, letters: np.ndarray | None = None):
+        """``letters``: for each byte, whether it belongs to a word; digits, letters and all above ASCII by default."""
         self.data = _LOWER[data]
         inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = _WORD[self.data]
+        inside[1:-1] = (_WORD if letters is None else letters)[self.data]
         border = np.zeros(len(data) + 1, bool)  # a text begins here
         border[starts] = True
         self.begin = np.flatnonzero(inside[1:] & (~inside[:-1] | border))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, sentencepiece_bpe, token_counts
+from . import context_tree, decontamination, jaccard_join, language_id, repeated_spans, sentencepiece_bpe, token_counts
 from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,8 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 @query(OP7_SQL)
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.without_repeats(table(spark, sf_dir, "documents")).drop("kept")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, repeated_spans, sentencepiece_bpe, token_counts
+from . import context_tree, decontamination, jaccard_join, language_id, quality_rules, repeated_spans, sentencepiece_bpe, token_counts
 from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,77 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def _common_words() -> str:
+    rows = [(name, k, w) for name, own in quality_rules.COMMON_WORDS.items() for k, w in enumerate(own, 1)]
+    return ", ".join(f"('{name}', {k}, '{w}')" for name, k, w in rows)
+
+
+OP3_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (
+    SELECT doc_id, unnest(range(p, p + 3)) AS q
+    FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1) GROUP BY 1
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY 1
+), sizes AS (
+  SELECT doc_id, length(text) AS n,
+    length(regexp_replace(text, '[^a-z]+', '', 'g')) AS lower, length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS upper,
+    length(regexp_replace(text, '[\x00-\x7F]+', '', 'g')) AS high, length(regexp_replace(text, '[^0-9]+', '', 'g')) AS digits,
+    length(regexp_replace(text, '[^\x20\x09-\x0D]+', '', 'g')) AS space,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS symbols FROM d
+), base AS (
+  SELECT d.doc_id, len(w) AS n_words, sizes.n - space AS word_chars, symbols AS n_symbols,
+    coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+    len(w) < {quality_rules.MIN_WORDS} OR 100 * coalesce(repeats.n, 0) > 50 * len(w) AS base_failed
+  FROM d JOIN sizes USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+), common(language, bin, word) AS (
+  VALUES {_common_words()}
+), hits AS (
+  SELECT doc_id, lower(x) AS word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS x FROM d) GROUP BY 1, 2
+), best AS (
+  SELECT doc_id, language, sum(n) AS n FROM hits JOIN common USING (word) GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sum(n) DESC, language) = 1
+), named AS (
+  SELECT base.*, language, coalesce(best.n, 0) AS found FROM base LEFT JOIN best USING (doc_id)
+), bins AS (
+  SELECT doc_id, 'class' AS kind, unnest([1, 2, 3, 4, 5, 6]) AS bin,
+    unnest([lower + high, space, upper, digits, symbols, n - lower - high - space - upper - digits - symbols]) AS n FROM sizes
+  UNION ALL SELECT doc_id, 'word', 0, n_words - found FROM named WHERE language IS NOT NULL
+  UNION ALL SELECT doc_id, 'word', bin, coalesce(hits.n, 0) FROM named JOIN common USING (language)
+    LEFT JOIN hits USING (doc_id, word)
+), reference AS (
+  SELECT language, kind, bin, sum(n) AS n FROM bins JOIN named USING (doc_id)
+  WHERE language IS NOT NULL AND NOT base_failed GROUP BY ROLLUP (language), kind, bin
+), shares AS (
+  SELECT doc_id, language, kind, bin, n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0) AS p
+  FROM bins JOIN named USING (doc_id) WHERE n_words >= {quality_rules.MIN_HISTOGRAM_WORDS}
+), known AS (
+  SELECT language, kind, bin, n / sum(n) OVER (PARTITION BY language, kind) AS q FROM reference
+), distances AS (
+  SELECT doc_id, s.kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS js
+  FROM shares s JOIN known k ON s.language IS NOT DISTINCT FROM k.language AND s.kind = k.kind AND s.bin = k.bin
+  GROUP BY 1, 2
+), far AS (
+  SELECT DISTINCT doc_id FROM distances WHERE kind = 'class' AND js > {quality_rules.MAX_CLASS_DISTANCE}
+    OR kind = 'word' AND js > {quality_rules.MAX_WORD_DISTANCE}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM far) AS kept FROM base
+"""
+
+
+@query(OP3_SQL)
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )

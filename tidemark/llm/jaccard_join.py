@@ -58,7 +58,7 @@ def count_sketch(docs: DataFrame, n: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in pieces_of(batches, "text", 4 << 20):
+        for batch in pieces_of(batches, "text", 2 << 20):
             totals += np.bincount(_slots(grams_of(batch, n)[0], SKETCH_BITS), minlength=len(totals)).astype(np.uint32)
         for block, part in enumerate(totals.reshape(-1, 1 << BLOCK_BITS)):
             used = np.flatnonzero(part)
@@ -132,7 +132,7 @@ def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, ids = shared.value, row_ids()
-        for batch in pieces_of(batches, "text", 4 << 20):
+        for batch in pieces_of(batches, "text", 2 << 20):
             grams, starts = grams_of(batch, n)
             sizes, digests, entries = [], [], []
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -170,7 +170,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         member = np.unpackbits(shared.value).view(bool)
         for batch in batches:
             some = batch.filter(pa.array(member[batch.column(0).to_numpy()]))
-            for part in pieces_of(iter([some]), "text", 4 << 20):
+            for part in pieces_of(iter([some]), "text", 2 << 20):
                 grams, starts = grams_of(part, n)
                 own = [np.unique(grams[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
                 ends = np.cumsum([0] + [len(x) for x in own]).astype(np.int32)

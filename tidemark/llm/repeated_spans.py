@@ -103,7 +103,7 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
     """For each slot of anchors: whether one occurs twice, in different segments, in more than ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "text", 4 << 20):
+        for batch in pieces_of(batches, "text", 2 << 20):
             found = Segments(*flat_text(batch.column(0)))
             if not len(found.anchor):
                 continue
@@ -164,7 +164,7 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(zlib.decompress(shared.value), np.uint8)
-        for batch in pieces_of(batches, "text", 4 << 20):
+        for batch in pieces_of(batches, "text", 2 << 20):
             data, starts = flat_text(batch.column(1))
             found = Segments(data, starts)
             flags = table[_slot(found.anchor)]

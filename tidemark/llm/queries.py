@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, quality_rules, repeated_spans, sentencepiece_bpe, token_counts
+from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts
 from .common import id_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,3 +200,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query()
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.find(docs, personal_data.fit_field(docs))

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts
+from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts, tool_calls
 from .common import id_bucket, table
+from .tool_calls import Param, Tool
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,3 +207,77 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return personal_data.find(docs, personal_data.fit_field(docs))
+
+
+TOOLS = (
+    Tool("search", (Param("query", "string", True), Param("limit", "integer", True), Param("exact", "boolean"))),
+    Tool("fetch", (Param("query", "string", True), Param("url", "string", True), Param("limit", "number"))),
+    Tool("calculate", (Param("query", "string"), Param("exact", "boolean", True), Param("limit", "string"))),
+)
+
+
+def conversation_calls(turns: DataFrame) -> DataFrame:
+    """Each assistant turn read as a tool call: tool, arguments and the call it follows depend on turn and text."""
+    n = F.length("text")
+    name = F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn")
+    tool = F.get(F.array(*[F.lit(t) for t in ("search", "fetch", "calculate", "lookup")]), (n % 4).cast("int"))
+    query, exact = F.substring("text", 1, 40).alias("query"), (n % 2 == 0).alias("exact")
+    as_text = F.to_json(F.struct(query, F.col("turn").cast("string").alias("limit"), exact))
+    whole = F.when(n % 5 == 0, as_text).otherwise(F.to_json(F.struct(query, F.col("turn").alias("limit"), exact)))
+    arguments = F.when(n % 11 == 0, F.expr("left(whole, length(whole) - 1)")).otherwise(F.col("whole"))
+    step = F.when(n % 13 == 0, 2).when(n % 7 == 0, -4).otherwise(-2)
+    after = F.concat(F.lit("c"), "conv_id", F.lit("-"), (F.col("turn") + step).cast("string"))
+    calls = turns.filter("role = 'assistant' and text is not null").withColumn("whole", whole)
+    return calls.select("conv_id", name.alias("call_id"), "turn", tool.alias("tool"), arguments.alias("arguments"), after.alias("after"))
+
+
+def conversation_results(turns: DataFrame) -> DataFrame:
+    """Each turn of others read as the result of the turn before."""
+    name = F.concat(F.lit("c"), "conv_id", F.lit("-"), (F.col("turn") - 1).cast("string"))
+    others = turns.filter("role <> 'assistant'")
+    return others.select("conv_id", name.alias("call_id"), "turn", F.col("text").alias("content"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE a AS (
+  SELECT conv_id, turn, text, length(text) AS n FROM conversations WHERE role = 'assistant' AND text IS NOT NULL
+), raw AS (
+  SELECT conv_id, 'c' || conv_id || '-' || turn AS call_id, turn, n,
+    ['search', 'fetch', 'calculate', 'lookup'][n % 4 + 1] AS tool, left(text, 40) AS query,
+    CASE WHEN n % 5 = 0 THEN to_json(CAST(turn AS VARCHAR)) ELSE to_json(turn) END AS lim, n % 2 = 0 AS exact,
+    'c' || conv_id || '-' || (turn + CASE WHEN n % 13 = 0 THEN 2 WHEN n % 7 = 0 THEN -4 ELSE -2 END) AS after FROM a
+), calls AS (
+  SELECT conv_id, call_id, min(turn) AS turn, arg_min(n, turn) AS n, arg_min(tool, turn) AS tool, arg_min(query, turn) AS query,
+    arg_min(lim, turn) AS lim, arg_min(exact, turn) AS exact, arg_min(after, turn) AS after, count(*) AS copies
+  FROM raw GROUP BY 1, 2
+), depths AS (
+  SELECT conv_id, call_id, 0 AS depth FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, depth + 1 FROM depths d JOIN calls c ON c.conv_id = d.conv_id AND c.after = d.call_id
+), results AS (
+  SELECT conv_id, 'c' || conv_id || '-' || (turn - 1) AS call_id, min(turn) AS turn, arg_min(text, turn) AS content, count(*) AS n
+  FROM conversations WHERE role <> 'assistant' GROUP BY 1, 2
+), judged AS (
+  SELECT c.*, d.depth, r.turn AS result_turn, r.content, coalesce(r.n, 0) AS n_results,
+    CASE WHEN c.n % 11 = 0 THEN ['not_an_object'] WHEN tool = 'lookup' THEN ['unknown_tool']
+      WHEN tool = 'search' THEN CASE WHEN c.n % 5 = 0 THEN ['type:limit'] ELSE [] END
+      WHEN tool = 'fetch' THEN list_concat(['missing:url'],
+        list_concat(CASE WHEN c.n % 5 = 0 THEN ['type:limit'] ELSE [] END, ['unknown:exact']))
+      ELSE CASE WHEN c.n % 5 = 0 THEN [] ELSE ['type:limit'] END END AS errors
+  FROM calls c LEFT JOIN depths d USING (conv_id, call_id) LEFT JOIN results r USING (conv_id, call_id)
+)
+SELECT conv_id, call_id, row_number() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn, call_id) AS position,
+  depth, turn, tool, result_turn, n_results, copies,
+  array_to_string(CASE WHEN depth IS NULL THEN list_concat(errors, ['circular']) ELSE errors END, ',') AS errors,
+  '{' || CASE WHEN n % 11 = 0 THEN '' ELSE '"arguments":{"exact":' || exact || ',"limit":' || lim || ',"query":' || to_json(query) || '},' END
+  || '"id":"' || call_id || '","name":"' || tool || '"' || coalesce(',"result":' || to_json(content), '') || '}' AS message
+FROM judged
+"""
+
+
+@query(OP2_SQL)
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    linked = tool_calls.link_calls(conversation_calls(turns), conversation_results(turns), TOOLS)
+    return linked.withColumn("errors", F.array_join("errors", ","))

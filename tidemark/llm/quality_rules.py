@@ -75,8 +75,8 @@ def _is_one_of(words: list[str]):
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Counts and histograms of every row of ``docs`` (doc_id, text)."""
-    out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """Counts and histograms of every row of ``docs`` (text), which comes along whole as ``row``."""
+    out = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = out.withColumn("words", words_of(F.col("text"))).withColumn("lines", lines).withColumn("left", F.col("text"))
     sizes = [f"c{k}" for k in range(len(CLASSES) + 1)]
@@ -88,7 +88,7 @@ def measured(docs: DataFrame) -> DataFrame:
     every = sorted({w for words in COMMON_WORDS.values() for w in words})
     hits = F.transform(F.filter("words", lambda w: F.lower(w).isin(every)), lambda w: F.lower(w))
     out = out.select(
-        "doc_id",
+        "row",
         F.size("words").cast("long").alias("n_words"),
         sum(F.col(c) for k, c in enumerate(sizes) if k != SPACE).alias("word_chars"),
         F.col(sizes[SYMBOL]).alias("n_symbols"),
@@ -146,22 +146,14 @@ def distance(counts: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(value, F.lit(0.0)))
 
 
-def judge(
-    docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE
-) -> DataFrame:
-    """Counts, distances and verdict of every row of ``docs`` (doc_id, text): one row out for each row in.
-
-    A null text has no words and fails the base rules, as does any text of fewer than ``MIN_WORDS`` words.
-    Documents of fewer than ``MIN_HISTOGRAM_WORDS`` words are judged by the base rules alone; their distances
-    are null. Those without a common word of any language are held against the classes of all documents.
-    Repeated rows count each.
-    """
-    rows = stored(measured(docs))
-    known = references(rows).withColumnRenamed("language", "of")
-    known = F.broadcast(known)  # a row for each of the languages above, and one more
+def _judged(rows: DataFrame, known: DataFrame, max_class_distance: float, max_word_distance: float) -> DataFrame:
+    """``rows`` of :func:`measured` with distances to the ``known`` references and the verdict."""
+    known = F.broadcast(known.withColumnRenamed("language", "of"))  # a row for each language above, and one more
+    out = rows.join(known, F.col("language").eqNullSafe(F.col("of")), "left")
     long_enough = F.col("n_words") >= MIN_HISTOGRAM_WORDS
-    out = rows.join(known, F.col("language").eqNullSafe(F.col("of")), "left").select(
-        "doc_id",
+    of_words = long_enough & F.col("language").isNotNull()
+    out = out.select(
+        "row",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -170,9 +162,32 @@ def judge(
         "base_failed",
         "language",
         F.when(long_enough, distance(F.col("classes"), F.col("classes_sum"))).alias("class_distance"),
-        F.when(long_enough & F.col("language").isNotNull(), distance(F.col("common"), F.col("common_sum"))).alias("word_distance"),
+        F.when(of_words, distance(F.col("common"), F.col("common_sum"))).alias("word_distance"),
     )
     near = (F.coalesce("class_distance", F.lit(0.0)) <= max_class_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= max_word_distance
     )
     return out.withColumn("kept", ~F.col("base_failed") & near)
+
+
+def judge(
+    docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE
+) -> DataFrame:
+    """Counts, distances and verdict of every row of ``docs`` (doc_id, text): one row out for each row in.
+
+    A null text has no words and fails the base rules, as does any text of fewer than ``MIN_WORDS`` words.
+    Documents of fewer than ``MIN_HISTOGRAM_WORDS`` words are judged by the base rules alone; their distances
+    are null. Those without a common word of any language are held against the classes of all documents.
+    Repeated rows count each; other columns are not read.
+    """
+    rows = measured(docs.select("doc_id", "text"))
+    rows = stored(rows.withColumn("row", F.struct("row.doc_id")))
+    return _judged(rows, references(rows), max_class_distance, max_word_distance).select("row.*", "*").drop("row")
+
+
+def keep(
+    docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with all their columns. Texts are measured twice, never sent."""
+    known = stored(references(measured(docs.select("text"))))
+    return _judged(measured(docs), known, max_class_distance, max_word_distance).filter("kept").select("row.*")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -309,8 +310,8 @@ class Codec:
             hashlib.sha256(decoded.encode()).hexdigest(),
         )
 
-    def ids(self, text: str) -> list[int]:
-        return [int(i) for unit in self.units(text) for i in unit.split()]
+    def ids(self, text: str) -> np.ndarray:
+        return np.fromstring(" ".join(self.units(text)), np.int32, sep=" ")
 
 
 _codecs: dict[str, Codec] = {}
@@ -352,10 +353,12 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(model)
+        end = np.array([codec.pieces.end], np.int32)
         for column in columns:
-            yield pa.array(
-                [[*codec.ids(x), codec.pieces.end] for x in column.fill_null("").to_pylist()], pa.list_(pa.int32())
-            )
+            parts = [np.append(codec.ids(x), end) for x in column.fill_null("").to_pylist()]
+            ends = np.cumsum([0] + [len(x) for x in parts]).astype(np.int32)
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     return docs.withColumn(ids, F.arrow_udf(run, "array<int>")(F.col(text)))
 

@@ -143,7 +143,7 @@ def distance(counts: Column, reference: Column) -> Column:
         return F.aggregate(F.zip_with(counts, reference, one), F.lit(0.0), lambda a, b: a + b) / 2
 
     value = bind(total(counts), lambda n: bind(total(reference), lambda r: F.when((n > 0) & (r > 0), js(n, r))))
-    return F.sqrt(F.greatest(value, F.lit(0.0)))
+    return F.sqrt(F.abs(value))  # equal histograms may come out a hair below zero
 
 
 def _judged(rows: DataFrame, known: DataFrame, max_class_distance: float, max_word_distance: float) -> DataFrame:

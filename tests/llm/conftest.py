@@ -38,9 +38,10 @@ def build() -> list[tuple[int | None, str | None, str | None]]:
             near = words.copy()
             near[len(near) // 2] = "changed"
             far = [w if k % 9 else "other" + str(k) for k, w in enumerate(words)]
-            rows += [(len(rows), t, lang) for t in (text, text, " ".join(near), " ".join(far), text.upper())]
+            for t in (text, text, " ".join(near), " ".join(far), text.upper()):
+                rows.append((len(rows), t, lang))
             rows.append((len(rows), prose(rng, lang, 30) + " " + passage + " " + prose(rng, lang, 30), lang))
-    rows += [(len(rows) + k, t, "en") for k, t in enumerate((None, "", " \n ", "...", "one", "one two", "One TWO", "a b c", "é"))]
+    rows += [(100 + k, t, "en") for k, t in enumerate((None, "", " \n ", "...", "one", "one two", "One TWO", "a b c", "é"))]
     rows.append((rows[0][0], rows[0][1], None))  # a repeated row
     rows.append((None, base["en"][0], "en"))
     rows.append((None, None, None))

@@ -321,3 +321,54 @@ def test_key_type_of_a_later_page_may_differ(spark, store):
     run_keyset(store, spec, later)
     assert sorted(target_of(store)) == [7]
     assert history_of(store) == {1: "INSERTED", 2: "UPDATED", 3: "DELETED"}
+
+
+@pytest.mark.parametrize("size", [2, 3, None])
+@pytest.mark.parametrize("queue", [False, True])
+@pytest.mark.parametrize("keys", [(1, 2, 2, 3), (1, 2, None, 3)])
+def test_null_and_repeated_keys_are_refused(spark, store, size, queue, keys):
+    """Whatever the size of a page, and wherever its border falls."""
+    log = good(spark, *[(k or 0, "I", n) for n, k in enumerate(keys)])
+    log = log.withColumn("change_id", F.when(F.col("change_id") != 0, F.col("change_id")))
+    run = run_queue if queue else run_keyset
+    with pytest.raises(OrderKeyError):
+        run(store, spec_for(queue=queue), log, batch_size=size)
+
+
+def test_a_null_key_that_comes_later_is_refused(spark, store):
+    run_keyset(store, spec_for(), good(spark, (1, "I", 1)))
+    log = good(spark, (1, "I", 1), (2, "I", 2)).withColumn("change_id", F.when(F.col("change_id") == 1, F.col("change_id")))
+    with pytest.raises(OrderKeyError):
+        run_keyset(store, spec_for(), log)
+
+
+def test_timestamps_resume_in_any_time_zone(spark, store):
+    log = good(spark, *[(n, "I", n) for n in range(12)])
+    log = log.withColumn("change_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("change_id") * 3600))
+    spec = spec_for()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        run_keyset(store, spec, log, batch_size=4, max_cycles=1)
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        run_keyset(store, spec, log, batch_size=4)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert sorted(r.order_id for r in store.read("target").collect()) == list(range(12))
+
+
+def test_the_resume_key_does_not_go_back(spark, store):
+    spec = spec_for(queue=True)
+    run_queue(store, spec, good(spark, (9, "I", 1), (10, "I", 2)))
+    run_queue(store, spec, good(spark, (9, "I", 1), (10, "I", 2), (3, "I", 3)))
+    assert store.latest().last_key == "10"
+    assert sorted(target_of(store)) == [1, 2, 3]
+
+
+def test_a_new_checkpoint_counts_from_the_start(spark, store):
+    spec = spec_for()
+    assert apply_batch(store, spec, good(spark, (1, "I", 1)), "a:1", 5) is not None
+    assert apply_batch(store, spec, good(spark, (2, "I", 2)), "a:1", 5) is None
+    assert apply_batch(store, spec, good(spark, (3, "I", 3)), "a:2", 0) is not None
+    assert apply_batch(store, spec, good(spark, (2, "I", 2), (4, "I", 4)), "a:2", 1) is not None
+    assert sorted(target_of(store)) == [1, 3, 4]
+    assert [r.order_id for r in store.read("late").collect()] == [2]

@@ -1,5 +1,6 @@
 """Binds, spec checks, scalar helpers, row validity, ranks, generator, source options."""
 
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -14,7 +15,7 @@ from tidemark.functions import joined_text, rounded_product, text_or
 from tidemark.operators import audit, mapping
 from tidemark.operators.ranks import with_rank
 from tidemark.operators.skew import SkewPolicy
-from tidemark.sources.changelog import first_rows, keyset_page
+from tidemark.sources.changelog import first_rows, keyset_page, page_borders
 from tidemark.sources.generate import generate_changes
 from tidemark.sources.jdbc import jdbc_options
 from workload.logs import event_log, event_spec, line_log, line_spec, order_log, order_spec
@@ -259,6 +260,18 @@ def test_counts_of_the_line_log(spark):
     assert apply_final(log, line_spec()).count() == 13149
 
 
+def test_empty_text_is_null(spark):
+    log = good(spark, (1, "I", 1)).withColumn("cust_last_name", F.lit("")).withColumn("cust_first_name", F.lit(""))
+    spec = orders_spec(insert=Mapping({**orders_spec().insert.columns, "customer_name": ":CUST_FIRST_NAME"}))
+    assert [r.outcome for r in replay(log, spec).collect()] == ["FAILED"]
+    assert [r.outcome for r in replay(log, replace(spec, empty_is_null=False)).collect()] != ["FAILED"]
+
+
+def test_blank_link_parameters_are_refused():
+    with pytest.raises(SpecError):
+        orders_spec(link=user_link(" ", "orders"))
+
+
 # -- ranks and pages -------------------------------------------------------------
 
 
@@ -270,18 +283,22 @@ def test_rank_over_several_partitions(spark, partitions):
     assert {r.id: r["rank"] for r in got.collect()} == expected
 
 
-def test_large_page_is_cut_by_rank(spark, monkeypatch):
-    from tidemark.sources import changelog
-
-    monkeypatch.setattr(changelog, "TOP_K_ROWS", 10)
+def test_a_page_is_cut_at_a_border(spark):
     rows = spark.range(0, 1000).select((F.col("id") * 3).alias("change_id"))
     assert sorted(r[0] for r in first_rows(rows, "change_id", 400).collect()) == list(range(0, 1200, 3))
     assert first_rows(rows, "change_id", 5000).count() == 1000
+    borders = [rows.limit(1).select(b).first()[0] for b in page_borders(rows, "change_id", 400)]
+    assert borders == [399 * 3, 799 * 3, 999 * 3]
+
+
+def test_a_border_takes_all_rows_of_its_key(spark):
+    rows = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "k int")
+    assert sorted((r[0] or 0) for r in first_rows(rows, "k", 2).collect()) == [0, 1, 2, 2]
 
 
 def test_keyset_page(spark):
     log = seed(spark)
-    assert [r.change_id for r in keyset_page(log, orders_spec(), 5, 3).collect()] == [6, 7, 8]
+    assert sorted(r.change_id for r in keyset_page(log, orders_spec(), 5, 3).collect()) == [6, 7, 8]
     assert keyset_page(log, orders_spec(), 17).count() == 0
 
 

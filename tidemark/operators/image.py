@@ -9,6 +9,7 @@ from ..spec import ChangeSpec
 from .keys import key_join
 from .names import (
     CREATES,
+    DELETE,
     DELETED,
     EFFECTIVE,
     INSERT,
@@ -24,16 +25,21 @@ from .names import (
 from .replay import classify
 from .skew import DEFAULT_SKEW, SkewPolicy
 
-ALIVE, BORN, REMOVED_ID = "_alive", "_born", "_removed_id"
+ALIVE, LINKED, REMOVED_ID = "_alive", "_linked", "_removed_id"
 
 
-def _writers(spec: ChangeSpec) -> dict[tuple[bool, bool], list[str]]:
-    """Target columns by (set by inserts, set by updates); each group has one last writer."""
-    groups: dict[tuple[bool, bool], list[str]] = {}
+def _writers(spec: ChangeSpec) -> dict[tuple[tuple[str, bool], ...], list[str]]:
+    """Target columns by the kinds of changes that set them, and whether null leaves the column as it is.
+
+    Each group has one last writer, so a column that null leaves alone is a group by itself.
+    """
+    groups: dict[tuple, list[str]] = {}
+    mappings = {INSERT: spec.insert, UPDATE: spec.update} | ({DELETE: spec.delete} if spec.delete else {})
     for name in spec.target:
-        who = (name in spec.insert.columns, name in spec.update.columns)
-        groups.setdefault(who, []).append(name)
-    return groups
+        who = tuple((kind, name in m.keep_null) for kind, m in mappings.items() if name in m.columns)
+        alone = name if any(keeps for _, keeps in who) else None
+        groups.setdefault((who, alone), []).append(name)
+    return {(*who, *([(alone, True)] if alone else [])): names for (who, alone), names in groups.items()}
 
 
 def _packed(columns: list[str]) -> Column:
@@ -47,16 +53,17 @@ def _summary(rows: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     where no key is hot without another exchange. Otherwise each slice is reduced to one row
     before it moves.
     """
+    removes = (F.col(own(OUTCOME)) == DELETED) & F.lit(spec.delete is None)
     aggregates = [
-        F.max(F.when(F.col(own(OUTCOME)) == DELETED, F.col(ORDER))).alias("_gone"),
+        F.max(F.when(removes, F.col(ORDER))).alias("_gone"),
         F.max(F.when(F.col(own(CREATES)), F.col(ORDER))).alias("_made"),
+        F.max_by(F.col(own(KIND)) == INSERT, F.when(F.col(own(CREATES)), F.col(ORDER))).alias("_by_insert"),
     ]
-    for i, ((by_insert, by_update), columns) in enumerate(_writers(spec).items()):
-        writes = F.col(own(EFFECTIVE)) & F.lit(False)
-        if by_insert:
-            writes = writes | (F.col(own(EFFECTIVE)) & (F.col(own(KIND)) == INSERT))
-        if by_update:
-            writes = writes | (F.col(own(EFFECTIVE)) & (F.col(own(KIND)) == UPDATE))
+    for i, (who, columns) in enumerate(_writers(spec).items()):
+        writes = F.lit(False)
+        for kind, keeps in who:
+            sets = F.col(own(EFFECTIVE)) & (F.col(own(KIND)) == kind)
+            writes = writes | (sets & F.col(value_column(columns[0])).isNotNull() if keeps else sets)
         at = F.when(writes, F.col(ORDER))
         aggregates.append(F.max(at).alias(f"_at{i}"))
         aggregates.append(F.max_by(_packed(columns), at).alias(f"_set{i}"))
@@ -93,7 +100,8 @@ def _resolve(summary: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
         *spec.business_keys,
         *values,
         (born | kept).alias(ALIVE),
-        F.coalesce(born, F.lit(False)).alias(BORN),
+        # Only inserts are linked, not rows that an update has made.
+        F.coalesce(born & F.col("_by_insert"), F.lit(False)).alias(LINKED),
         removed.alias(REMOVED_ID),
     )
 

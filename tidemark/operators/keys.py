@@ -15,17 +15,13 @@ def key_join(
     keys: Sequence[str],
     how: str,
     null_safe: bool = True,
-    small: bool = False,
 ) -> DataFrame:
     """Semi or anti join of ``left`` on the key columns.
 
     Catalyst and AQE choose how by the measured size of the right side, and AQE splits
-    partitions of ``left`` that a hot key has made too large. ``small`` asks for a broadcast;
-    the caller has counted the right side.
+    partitions of ``left`` that a hot key has made too large.
     """
     l, r = left.alias("l"), right.select(*keys).alias("r")
-    if small:
-        r = F.broadcast(r)
     parts = []
     for k in keys:
         a, b = F.col(f"l.`{k}`"), F.col(f"r.`{k}`")
@@ -40,3 +36,14 @@ def key_types_of(df: DataFrame, like: DataFrame, keys: Sequence[str]) -> DataFra
 
 def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def key_to_text(key: Column, kind: str) -> Column:
+    """An order key as it is recorded: instants in microseconds, so that no time zone comes in."""
+    return F.unix_micros(key).cast("string") if kind == "timestamp" else key.cast("string")
+
+
+def text_to_key(text: Column | str, kind: str) -> Column:
+    """The order key that :func:`key_to_text` has written."""
+    text = F.lit(text) if isinstance(text, str) else text
+    return F.timestamp_micros(text.cast("long")) if kind == "timestamp" else text.cast(kind)

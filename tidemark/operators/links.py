@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch
 from ..spec import ChangeSpec, SpecError
-from .image import BORN, REMOVED_ID
+from .image import LINKED, REMOVED_ID
 from .names import INSERTED, LINK_FAILED, OUTCOME
 from .ranks import with_rank
 from .replay import link_values
@@ -47,7 +47,7 @@ def links_cascade(links: DataFrame, target: DataFrame, spec: ChangeSpec) -> Data
 
 def merge_links(links: DataFrame | None, image: DataFrame, spec: ChangeSpec) -> DataFrame:
     """New link snapshot from the image alone: old links of removed rows go, new ones come."""
-    fresh = _link_rows(image.where(F.col(BORN)), spec, spec.id_column)
+    fresh = _link_rows(image.where(F.col(LINKED)), spec, spec.id_column)
     if links is None:
         return fresh
     parent = _need_link(spec).parent_column

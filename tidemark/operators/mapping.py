@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binds import bind
 from ..spec import ChangeSpec, Mapping
+from ..spec import Column as ColumnRule
 from .keys import any_null
 from .names import DELETE, INSERT, KIND, OP, ORDER, REASON, UPDATE, own, value_column
 
@@ -48,6 +49,11 @@ def _bound(expression: str, names: dict[str, str]) -> Column:
     return F.expr(bind(expression, lambda n: names[n.lower()]))
 
 
+def given(value: Column, declared: ColumnRule, spec: ChangeSpec) -> Column:
+    """A value as the rules see it: empty text counts as null, unless the spec says otherwise."""
+    return F.nullif(value, F.lit("")) if spec.empty_is_null and declared.type == "string" else value
+
+
 def _raw(name: str, kind: str) -> str:
     return own(f"raw_{kind}_{name}")
 
@@ -59,7 +65,8 @@ def _reason(mapping: Mapping, spec: ChangeSpec, names: dict[str, str], values: d
         declared = spec.target[name]
         raw = F.col(values[name])
         value = raw.try_cast(declared.type)
-        bad = value.isNull() if not declared.nullable else (raw.isNotNull() & value.isNull())
+        may_be_null = declared.nullable or name in mapping.keep_null
+        bad = (raw.isNotNull() & value.isNull()) if may_be_null else value.isNull()
         if declared.length is not None:
             bad = bad | (F.char_length(value) > declared.length)
         found.append(F.when(bad, F.lit(f"invalid:{name}")))
@@ -83,24 +90,26 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     ).withColumn(own(KIND), kind_of(F.col(own(OP)), spec))
 
     raw: dict[str, Column] = {}
-    at: dict[str, dict[str, str]] = {INSERT: {}, UPDATE: {}}
+    at: dict[str, dict[str, str]] = {INSERT: {}, UPDATE: {}, DELETE: {}}
+    deletes = spec.delete.columns if spec.delete else {}
     for name in spec.target:
         ins, upd = spec.insert.columns.get(name), spec.update.columns.get(name)
         if ins is not None and ins == upd:
             both = _raw(name, "IU")
-            raw[both] = F.when(F.col(own(KIND)).isin(INSERT, UPDATE), _bound(ins, names))
+            value = given(_bound(ins, names), spec.target[name], spec)
+            raw[both] = F.when(F.col(own(KIND)).isin(INSERT, UPDATE), value)
             at[INSERT][name] = at[UPDATE][name] = both
-            continue
-        for kind, expression in ((INSERT, ins), (UPDATE, upd)):
+            ins = upd = None
+        for kind, expression in ((INSERT, ins), (UPDATE, upd), (DELETE, deletes.get(name))):
             if expression is not None:
                 only = _raw(name, kind)
-                raw[only] = F.when(F.col(own(KIND)) == kind, _bound(expression, names))
+                raw[only] = F.when(F.col(own(KIND)) == kind, given(_bound(expression, names), spec.target[name], spec))
                 at[kind][name] = only
     rows = rows.withColumns(raw) if raw else rows
 
     values = {}
     for name, declared in spec.target.items():
-        sources = dict.fromkeys(at[kind][name] for kind in (INSERT, UPDATE) if name in at[kind])
+        sources = dict.fromkeys(at[kind][name] for kind in at if name in at[kind])
         casts = [F.col(s).try_cast(declared.type) for s in sources]
         values[value_column(name)] = F.coalesce(*casts) if casts else F.lit(None).cast(declared.type)
 
@@ -111,6 +120,8 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     reason = F.when(F.col(own(KIND)) == INSERT, insert_reason).when(
         F.col(own(KIND)) == UPDATE, _reason(spec.update, spec, names, at[UPDATE])
     )
+    if spec.delete:
+        reason = reason.when(F.col(own(KIND)) == DELETE, _reason(spec.delete, spec, names, at[DELETE]))
     return rows.withColumns({**values, own(REASON): reason}).drop(*raw)
 
 

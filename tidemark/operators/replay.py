@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.binds import bind
 from ..spec import ChangeSpec, SpecError
 from .keys import key_join, key_types_of
-from .mapping import prepare, unknown_op
+from .mapping import given, prepare, unknown_op
 from .names import (
     CREATES,
     DELETE,
@@ -77,7 +77,7 @@ def link_values(spec: ChangeSpec, df: DataFrame, new_id: str) -> tuple[DataFrame
     values, found = {}, []
     for name, expression in link.columns.items():
         declared = link.schema[name]
-        raw = F.expr(bind(expression, lambda n: held[n.lower()]))
+        raw = given(F.expr(bind(expression, lambda n: held[n.lower()])), declared, spec)
         value = raw.try_cast(declared.type)
         bad = value.isNull() if not declared.nullable else (raw.isNotNull() & value.isNull())
         if declared.length is not None:
@@ -96,7 +96,9 @@ def _decisive(spec: ChangeSpec) -> Column:
     """
     ok = F.col(own(REASON)).isNull()
     kind = F.col(own(KIND))
-    rule = F.when(kind == DELETE, F.lit(False)).when(kind == TARGET_SEED, F.lit(True))
+    rule = F.when(kind == TARGET_SEED, F.lit(True))
+    if spec.delete is None:
+        rule = rule.when(kind == DELETE, F.lit(False))
     if spec.quarantine:
         rule = rule.when(kind == INSERT, F.lit(True))
     else:
@@ -168,6 +170,7 @@ def _outcomes(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
         .when(F.col(QUARANTINED), SKIPPED_QUARANTINED)
         .when(F.col(own(INSERT_FAILED)), FAILED)
         .when((kind == UPDATE) & touches & reason.isNotNull(), FAILED)
+        .when((kind == DELETE) & present & reason.isNotNull(), FAILED)
         .when(kind == INSERT, inserted)
         .when(kind == DELETE, DELETED)
         .when(kind == UPDATE, UPDATED)
@@ -180,7 +183,10 @@ def _outcomes(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
         .when(done == LINK_FAILED, link_detail)
         .when(done == FAILED, F.coalesce(reason, F.lit("duplicate:" + ",".join(spec.business_keys))))
     )
-    effective = F.coalesce(done.isin(INSERTED, LINK_FAILED) | ((done == UPDATED) & touches), F.lit(False))
+    effective = done.isin(INSERTED, LINK_FAILED) | ((done == UPDATED) & touches)
+    if spec.delete is not None:
+        effective = effective | ((done == DELETED) & present)
+    effective = F.coalesce(effective, F.lit(False))
     rows = rows.withColumn(own(DETAIL), detail).withColumn(own(EFFECTIVE), effective)
     return rows.withColumn(own(CREATES), F.col(own(EFFECTIVE)) & ~present)
 
@@ -211,7 +217,7 @@ def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
 
 
 def _seeds(
-    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None, few: bool
+    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None
 ) -> list[DataFrame]:
     """Starting state of the keys that occur in the log."""
     keys = list(spec.business_keys)
@@ -220,7 +226,7 @@ def _seeds(
         return out
     touched = rows.where(F.col(own(KIND)).isNotNull()).select(*keys).distinct()
     if target is not None:
-        there = key_join(target, touched, keys, "left_semi", spec.nullable_keys, small=few)
+        there = key_join(target, touched, keys, "left_semi", spec.nullable_keys)
         out.append(
             there.select(
                 *keys,
@@ -231,7 +237,7 @@ def _seeds(
         )
     if quarantine is not None and spec.quarantine:
         blocked = key_types_of(quarantine, rows, keys).distinct()
-        blocked = key_join(blocked, touched, keys, "left_semi", small=few)
+        blocked = key_join(blocked, touched, keys, "left_semi")
         out.append(blocked.select(*keys, F.lit(QUARANTINE_SEED).alias(own(KIND))))
     return out
 
@@ -243,13 +249,10 @@ def classify(
     quarantine: DataFrame | None = None,
     skew: SkewPolicy | None = DEFAULT_SKEW,
     known_only: bool = False,
-    few: bool = False,
 ) -> DataFrame:
     """Outcome of every change; the seed rows of the starting state are still among them.
 
-    ``known_only`` leaves out rows with an unknown operation, which change nothing. ``few``
-    says that the caller has counted the changes and their keys can be broadcast, which
-    spares a large target its shuffle.
+    ``known_only`` leaves out rows with an unknown operation, which change nothing.
     """
     changes = spec.canonical(changes)
     keys = list(spec.business_keys)
@@ -257,7 +260,7 @@ def classify(
     if known_only:
         rows = rows.where(F.col(own(KIND)).isNotNull())
     frame = rows.withColumn(OLD_ID, F.lit(None).cast(rows.schema[ORDER].dataType))
-    for seed in _seeds(rows, spec, target, quarantine, few):
+    for seed in _seeds(rows, spec, target, quarantine):
         frame = frame.unionByName(seed, allowMissingColumns=True)
 
     hot = find_hot_keys(changes, keys, spec.order_key, skew) if skew else None

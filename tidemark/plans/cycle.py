@@ -11,23 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import audit
-from ..operators.image import ALIVE, BORN, REMOVED_ID, image_of, merge_image
-from ..operators.keys import key_join, key_types_of
+from ..operators.image import ALIVE, LINKED, REMOVED_ID, image_of, merge_image
+from ..operators.keys import key_join, key_to_text, key_types_of, text_to_key
 from ..operators.links import merge_links
 from ..operators.names import FAILED, OUTCOME
 from ..operators.replay import classify, outcomes_of
 from ..operators.skew import DEFAULT_SKEW, SkewPolicy
-from ..sources.changelog import keyset_page, queue_page
+from ..sources.changelog import keyset_page, page_borders, queue_page, up_to
 from ..sources.scratch import Scratch
 from ..spec import ChangeSpec
 from .store import BUCKET, Commit, Store
 
 Step = Callable[[str], None]
 
-# Up to this many changes, their keys are broadcast to find the rows they belong to.
-FEW_ROWS = 500_000
-
-
 class OrderKeyError(ValueError):
     """The order key is null or repeated; paging over it would lose or repeat rows."""
 
@@ -47,13 +43,14 @@ class CycleResult:
 
 
 def _key_stats(page: DataFrame, spec: ChangeSpec, verify_unique: bool) -> dict[str, Any]:
-    """Size and range of the page; null or repeated order keys are refused."""
+    """Size and range of the rows; null or repeated order keys are refused."""
     key = F.col(spec.order_key)
+    kind = page.schema[spec.order_key].dataType.simpleString()
     row = page.agg(
         F.count("*").alias("rows"),
         F.count_if(key.isNull()).alias("blank"),
-        F.min(key).cast("string").alias("low"),
-        F.max(key).cast("string").alias("high"),
+        key_to_text(F.min(key), kind).alias("low"),
+        key_to_text(F.max(key), kind).alias("high"),
     ).first()
     if row["blank"]:
         raise OrderKeyError(f"{row['blank']} change rows have no {spec.order_key}")
@@ -75,7 +72,7 @@ def run_cycle(
     as_of: datetime | None = None,
     verify_unique: bool = True,
     stream: tuple[str, int] | None = None,
-    late: int = 0,
+    late: DataFrame | None = None,
     on_step: Step | None = None,
 ) -> CycleResult | None:
     """Replay ``page`` over the latest state and commit target, links, quarantine, history,
@@ -91,9 +88,13 @@ def run_cycle(
     scratch = Scratch(store.spark)
     try:
         stats = _key_stats(page, spec, verify_unique)
-        if not stats["rows"] and not late:
+        commit = base.next()
+        if late is not None:
+            commit, too_late = _write_late(store, base, commit, late)
+            if not too_late and not stats["rows"]:
+                return None
+        elif not stats["rows"]:
             return None
-        commit = replace(base.next(), late=base.late + late)
         if stream is not None:
             commit = replace(commit, streams={**base.streams, stream[0]: stream[1]})
         if not stats["rows"]:
@@ -102,7 +103,7 @@ def run_cycle(
 
         target, page = _target_near(store, base, spec, page)
         held = store.read("quarantine", base) if spec.quarantine else None
-        rows = classify(page, spec, target, held, skew, few=stats["rows"] <= FEW_ROWS)
+        rows = classify(page, spec, target, held, skew)
 
         commit, records = _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch)
         done("history")
@@ -117,7 +118,7 @@ def run_cycle(
         commit = replace(
             commit,
             rows=base.rows + stats["rows"],
-            last_key=stats["high"],
+            last_key=_furthest(store, base, page, spec, stats["high"]),
             key_type=page.schema[spec.order_key].dataType.simpleString(),
             counts=counts,
         )
@@ -127,6 +128,15 @@ def run_cycle(
     return CycleResult(commit.version, total=commit.rows, last_key=commit.last_key, **counts)
 
 
+def _furthest(store: Store, base: Commit, page: DataFrame, spec: ChangeSpec, high: str) -> str:
+    """The resume key after a cycle: it never goes back, though a queue may take late rows."""
+    kind = page.schema[spec.order_key].dataType.simpleString()
+    if base.last_key is None or base.key_type != kind:
+        return high
+    keys = F.greatest(text_to_key(high, kind), text_to_key(base.last_key, kind))
+    return store.spark.range(1).select(key_to_text(keys, kind)).first()[0]
+
+
 def _target_near(
     store: Store, base: Commit, spec: ChangeSpec, page: DataFrame
 ) -> tuple[DataFrame | None, DataFrame]:
@@ -172,18 +182,28 @@ def _meeting(store, page, spec, segments, stats) -> tuple[set[int], dict[str, st
     """
     if not segments:
         return set(), {}
-    key_type = page.schema[spec.order_key].dataType
+    kind = page.schema[spec.order_key].dataType.simpleString()
     listed = [(i, s["low"], s["high"]) for i, s in enumerate(segments)]
     ranges = store.spark.createDataFrame(listed, "i int, low string, high string").select(
-        "i", F.col("low").cast(key_type).alias("low"), F.col("high").cast(key_type).alias("high")
+        "i", text_to_key(F.col("low"), kind).alias("low"), text_to_key(F.col("high"), kind).alias("high")
     )
-    low, high = F.lit(stats["low"]).cast(key_type), F.lit(stats["high"]).cast(key_type)
+    low, high = text_to_key(stats["low"], kind), text_to_key(stats["high"], kind)
     row = ranges.where((F.col("low") <= high) & (low <= F.col("high"))).agg(
-        F.collect_list("i"), F.min("low").cast("string"), F.max("high").cast("string")
+        F.collect_list("i"), key_to_text(F.min("low"), kind), key_to_text(F.max("high"), kind)
     ).first()
     return set(row[0]), {"low": row[1], "high": row[2]}
 
 
+def _write_late(store, base, commit, late):
+    """Rows that came after their key had been passed, as they came; and how many."""
+    commit, written, segment = store.write_segment(commit, "late", late)
+    count = written.count()
+    if not count:
+        return commit, 0
+    commit = store.with_segments(commit, "late", [*base.segments.get("late", []), segment])
+    return replace(commit, late=base.late + count), count
+
+
 def _write_quarantine(store, base, commit, spec, records, held, as_of):
     """Keys whose insert failed in this cycle; they cannot be held already."""
     if not spec.quarantine:
@@ -217,7 +237,7 @@ def _write_target(store, base, commit, spec, rows, target, scratch, done):
     links = store.read("links", base)
     parent = spec.link.parent_column
     parent_type = spec.link.schema[parent].type
-    moved = image.where(F.col(BORN) & F.col(ALIVE)).select(F.col(spec.id_column).cast(parent_type).alias("id"))
+    moved = image.where(F.col(LINKED) & F.col(ALIVE)).select(F.col(spec.id_column).cast(parent_type).alias("id"))
     moved = moved.unionByName(
         image.where(F.col(REMOVED_ID).isNotNull()).select(F.col(REMOVED_ID).cast(parent_type).alias("id"))
     )
@@ -257,19 +277,34 @@ def run_keyset(
     only pages cut by ``batch_size`` are pinned.
     """
     results: list[CycleResult] = []
+    key = spec.order_key
+    after = None if restart else store.latest().last_key_literal()
     while max_cycles is None or len(results) < max_cycles:
-        base = store.latest()
-        after = None if restart and not results else base.last_key_literal()
-        scratch = Scratch(store.spark)
+        rest = keyset_page(changes, spec, after)
+        stats = _key_stats(rest, spec, options.get("verify_unique", True))
+        if not stats["rows"]:
+            break
+        # Rows that arrive while the run is on, behind its last border, are the next round's.
+        kind = rest.schema[key].dataType.simpleString()
+        end = text_to_key(stats["high"], kind)
+        borders = Scratch(store.spark)
         try:
-            page = keyset_page(changes, spec, after, batch_size, scratch)
-            page = _pinned(page, scratch, batch_size, pin)
-            result = run_cycle(store, spec, page, base=base, **options)
+            pages = page_borders(rest.where(up_to(key, end)), key, batch_size, borders) if batch_size is not None else [end]
+            for border in pages:
+                scratch = Scratch(store.spark)
+                try:
+                    page = keyset_page(changes, spec, after).where(up_to(key, border))
+                    page = _pinned(page, scratch, batch_size, pin)
+                    result = run_cycle(store, spec, page, **{**options, "verify_unique": False})
+                finally:
+                    scratch.drop()
+                after = border
+                if result is not None:
+                    results.append(result)
+                if max_cycles is not None and len(results) >= max_cycles:
+                    break
         finally:
-            scratch.drop()
-        if result is None:
-            break
-        results.append(result)
+            borders.drop()
     return results
 
 
@@ -277,8 +312,8 @@ def _waiting(store, base, spec, changes, batch_size, scratch) -> DataFrame:
     """Rows of the next queue cycle.
 
     Once there are stamps, the log is matched with them on its key columns alone. What is
-    left is usually little: whole rows are then fetched by their keys, which are broadcast if
-    they are few, and only from the key range they span.
+    left is usually little: whole rows are then fetched by their keys, and only from the key
+    range they span. Rows without a key come along, to be refused.
     """
     marks = store.read("marks", base)
     page = queue_page(changes, spec, store.read("quarantine", base), batch_size, scratch, marks)
@@ -289,8 +324,9 @@ def _waiting(store, base, spec, changes, batch_size, scratch) -> DataFrame:
     span = waiting.agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).first()
     if not span["n"]:
         return page.limit(0)
-    log = spec.canonical(changes).where(F.col(key).between(F.lit(span["low"]), F.lit(span["high"])))
-    return key_join(log, waiting, [key], "left_semi", null_safe=False, small=span["n"] <= FEW_ROWS)
+    within = F.col(key).between(F.lit(span["low"]), F.lit(span["high"])) | F.col(key).isNull()
+    log = spec.canonical(changes).where(within)
+    return key_join(log, waiting, [key], "left_semi")
 
 
 def run_queue(

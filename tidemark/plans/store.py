@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.keys import text_to_key
 from .files import Files
 
 BUCKET = "bucket"
 BUCKETED = ("target", "links")
-SEGMENTED = ("history", "quarantine", "marks")
+SEGMENTED = ("history", "quarantine", "marks", "late")
 COMMITS = "_commits"
 
 
@@ -49,7 +50,7 @@ class Commit:
 
     def last_key_literal(self) -> Column | None:
         """The resume point with its own type."""
-        return None if self.last_key is None else F.lit(self.last_key).cast(self.key_type)
+        return None if self.last_key is None else text_to_key(self.last_key, self.key_type)
 
     def next(self) -> Commit:
         """A new attempt at the following version."""

@@ -2,39 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keys import key_join, key_types_of
+from ..operators.keys import key_join, key_to_text, key_types_of, text_to_key
 from ..operators.ranks import with_rank
 from ..spec import ChangeSpec, SpecError
 from .scratch import Scratch
 
-# Up to this many rows a page is a top-k; a larger one is cut by rank, so that no single
-# task has to hold it.
-TOP_K_ROWS = 100_000
-
-
 def scan_changes(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """The whole change log; every column can be bound, and unused ones are pruned."""
     return spec.canonical(changes)
 
 
+def up_to(key: str, border: Any) -> Column:
+    """Rows of a page: keys up to its border. Rows without a key are in every page, to be refused there."""
+    return (F.col(key) <= F.lit(border)) | F.col(key).isNull()
+
+
+def page_borders(
+    changes: DataFrame, key: str, rows: int, scratch: Scratch | None = None
+) -> Iterator[Column]:
+    """The last key of each page of ``rows`` rows, in key order.
+
+    One range exchange of the key column finds all of them; they are kept as a table with a row
+    per page and read one partition at a time.
+    """
+    if rows <= 0:
+        raise ValueError("batch_size must be positive")
+    ranked = with_rank(changes.select(key).where(F.col(key).isNotNull()), [key], scratch)
+    page = F.ceil(F.col("rank") / rows).alias("page")
+    kind = changes.schema[key].dataType.simpleString()
+    borders = ranked.groupBy(page).agg(key_to_text(F.max(key), kind).alias("border"))
+    for row in borders.orderBy("page").toLocalIterator():
+        yield text_to_key(row["border"], kind)
+
+
 def first_rows(
     changes: DataFrame, key: str, rows: int | None, scratch: Scratch | None = None
 ) -> DataFrame:
-    """The first ``rows`` rows in key order; all of them where ``rows`` is None."""
+    """The page of the first ``rows`` keys; all rows where ``rows`` is None.
+
+    Keys are unique where a log is replayed. If one repeats at the border, all its rows are in the
+    page, and the cycle refuses them.
+    """
     if rows is None:
         return changes
     if rows <= 0:
         raise ValueError("batch_size must be positive")
-    if rows <= TOP_K_ROWS:
-        return changes.orderBy(key).limit(rows)
-    ranked = with_rank(changes.select(key), [key], scratch)
-    last = ranked.where(F.col("rank") <= rows).agg(F.max(key)).first()[0]
-    return changes.where(F.col(key) <= F.lit(last)) if last is not None else changes
+    ranked = with_rank(changes.select(key).where(F.col(key).isNotNull()), [key], scratch)
+    kind = changes.schema[key].dataType.simpleString()
+    last = ranked.where(F.col("rank") <= rows).agg(key_to_text(F.max(key), kind)).first()[0]
+    return changes.where(up_to(key, text_to_key(last, kind))) if last is not None else changes
 
 
 def keyset_page(
@@ -44,10 +66,11 @@ def keyset_page(
     rows: int | None = None,
     scratch: Scratch | None = None,
 ) -> DataFrame:
-    """Rows after ``last_key`` in key order; the comparison reaches the Parquet or JDBC scan."""
+    """Rows after ``last_key`` in key order, and those without a key; the comparison reaches the scan."""
     log = spec.canonical(changes)
     if last_key is not None:
-        log = log.where(F.col(spec.order_key) > F.lit(last_key))
+        key = F.col(spec.order_key)
+        log = log.where((key > F.lit(last_key)) | key.isNull())
     return first_rows(log, spec.order_key, rows, scratch)
 
 

@@ -6,6 +6,8 @@ and they survive the loss of an executor.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,15 +17,18 @@ _local_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder in local mode only."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, in local mode only, a temporary
+    folder that goes when Python ends.
+    """
     global _local_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 

@@ -28,11 +28,13 @@ class Column:
 class Mapping:
     """Target column -> Spark SQL expression over the change row, written with ``:NAME``.
 
-    ``checks`` adds conditions that reject a row: reason -> boolean expression.
+    ``checks`` adds conditions that reject a row: reason -> boolean expression. ``keep_null`` names
+    columns of an update that stay as they are where its expression gives null.
     """
 
     columns: MappingABC[str, str]
     checks: MappingABC[str, str] = field(default_factory=dict)
+    keep_null: tuple[str, ...] = ()
 
     def expressions(self) -> list[str]:
         return [*self.columns.values(), *self.checks.values()]
@@ -60,6 +62,9 @@ class Link:
         raise SpecError(f"no link column is set to :{self.new_id}")
 
     def validate(self) -> None:
+        for name, value in self.params.items():
+            if value is None or isinstance(value, str) and not value.strip():
+                raise SpecError(f"the link parameter '{name}' is blank")
         given = {name.lower() for name in self.params}
         for name, expression in self.columns.items():
             if name not in self.schema:
@@ -76,6 +81,8 @@ class ChangeSpec:
     target: MappingABC[str, Column]
     insert: Mapping
     update: Mapping
+    # What a delete sets in its row, which then stays; None removes the row.
+    delete: Mapping | None = None
     order_key: str = "change_id"
     op_column: str = "operation"
     op_insert: str = "I"
@@ -83,6 +90,7 @@ class ChangeSpec:
     op_delete: str = "D"
     id_column: str = "id"
     nullable_keys: bool = False
+    empty_is_null: bool = True
     link: Link | None = None
     quarantine: bool = True
     history: bool = True
@@ -104,7 +112,9 @@ class ChangeSpec:
         if self.mark_policy not in ("keep_quarantined", "applied_done"):
             raise SpecError("mark_policy must be 'keep_quarantined' or 'applied_done'")
         reserved = {k.lower() for k in self.business_keys} | {self.id_column.lower()}
-        for what, mapping in (("insert", self.insert), ("update", self.update)):
+        for what, mapping in self.mappings().items():
+            if what == "insert" and mapping.keep_null or set(mapping.keep_null) - set(mapping.columns):
+                raise SpecError(f"{what}: keep_null must name columns that an update sets")
             for name, expression in mapping.columns.items():
                 if name.lower() in reserved:
                     raise SpecError(f"the {what} mapping must not set '{name}'")
@@ -115,7 +125,8 @@ class ChangeSpec:
                 except ValueError:
                     raise SpecError(f"{what} column '{name}' has an empty expression") from None
         if self.on_missing == "upsert":
-            unset = [c for c, d in self.target.items() if not d.nullable and c not in self.update.columns]
+            sets = set(self.update.columns) - set(self.update.keep_null)
+            unset = [c for c, d in self.target.items() if not d.nullable and c not in sets]
             if unset:
                 raise SpecError(f"on_missing='upsert' needs update expressions for {unset}")
         if self.link is not None:
@@ -123,6 +134,11 @@ class ChangeSpec:
                 raise SpecError("a link needs on_duplicate='fail': an upsert returns no new id")
             self.link.validate()
 
+    def mappings(self) -> dict[str, Mapping]:
+        """The mappings by the operation that uses them."""
+        found = {"insert": self.insert, "update": self.update}
+        return found if self.delete is None else {**found, "delete": self.delete}
+
     @property
     def columns(self) -> list[str]:
         """Target columns other than the business key and the id."""
@@ -143,7 +159,7 @@ class ChangeSpec:
             for column in columns:
                 if column.lower() not in names:
                     raise SpecError(f"{label}: the change log has no column '{column}'")
-        for what, mapping in (("insert", self.insert), ("update", self.update)):
+        for what, mapping in self.mappings().items():
             for expression in mapping.expressions():
                 for name in bind_names(clean(expression)):
                     if name.lower() not in names:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.cycle import CycleResult, run_cycle
+from ..plans.files import Files
 from ..plans.store import Store
 from ..spec import ChangeSpec
 
@@ -34,22 +36,28 @@ def read_change_stream(
 def apply_batch(
     store: Store, spec: ChangeSpec, batch: DataFrame, name: str, batch_id: int, **options: Any
 ) -> CycleResult | None:
-    """One micro-batch. A batch that is committed already is left alone.
+    """One micro-batch. A batch of this stream that is committed already is left alone.
 
     Rows inside the batch are put in key order by the replay. Rows at or below the committed
-    key came too late for keyset paging: they are counted, not applied.
+    key came too late for keyset paging: they are not applied, but kept in the table ``late``.
     """
     base = store.latest()
     if base.streams.get(name, -1) >= batch_id:
         return None
     batch = spec.canonical(batch)
-    last, late = base.last_key_literal(), 0
+    last, late = base.last_key_literal(), None
     if last is not None:
-        late = batch.where(F.col(spec.order_key) <= last).count()
+        late = batch.where(F.col(spec.order_key) <= last)
         batch = batch.where((F.col(spec.order_key) > last) | F.col(spec.order_key).isNull())
     return run_cycle(store, spec, batch, base=base, stream=(name, batch_id), late=late, **options)
 
 
+def stream_id(spark: SparkSession, checkpoint: str, name: str) -> str:
+    """A stream is known by its name and the id in its checkpoint: a new checkpoint counts from 0 again."""
+    text = Files(spark, checkpoint).read_text("metadata")
+    return f"{name}:{json.loads(text)['id']}"
+
+
 def run_stream(
     store: Store,
     spec: ChangeSpec,
@@ -62,7 +70,7 @@ def run_stream(
     """Start the stream: once through what is there, or a cycle ``every`` so often."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, spec, batch, name, batch_id, **options)
+        apply_batch(store, spec, batch, stream_id(store.spark, checkpoint, name), batch_id, **options)
 
     writer = changes.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tidemark.operators.links import dense_ids, link_failures, links_cascade, li
 from tidemark.operators.replay import flag_quarantined, replay
 from tidemark.operators.skew import SkewPolicy
 from tidemark.plans.cycle import pending
-from tidemark.sources.changelog import keyset_page, late_changes, queue_page, scan_changes
+from tidemark.sources.changelog import keyset_page, late_changes, page_borders, queue_page, scan_changes, up_to
 from tidemark.sources.generate import generate_from
 from tidemark.sources.scratch import Scratch, shared_dir
 from tidemark.spec import Mapping
@@ -477,6 +478,43 @@ def keyset_first(spark, sf_dir):
     return keyset_page(event_log(spark, sf_dir), event_spec(), rows=BATCH)
 
 
+PAGES = """
+SELECT (row_number() OVER (ORDER BY change_id) - 1) // {0} + 1 AS page, change_id, user_id FROM elog {1}"""
+
+
+def _paged(rows, pages):
+    """Each row with the number of its page; one page after the other is read from ``pages``."""
+    out = [page.select(F.lit(n).cast("long").alias("page"), "change_id", "user_id") for n, page in enumerate(pages, 1)]
+    return reduce(DataFrame.unionByName, out, rows.limit(0).select(F.lit(0).cast("long").alias("page"), "change_id", "user_id"))
+
+
+def _fifth(log) -> int:
+    return (log.count() + 4) // 5
+
+
+@query(with_(EVENT_LOG, PAGES.format("(SELECT (count(*) + 4) // 5 FROM elog)", "")))
+def keyset_pages(spark, sf_dir):
+    """The whole log in five pages, cut at borders that one pass finds."""
+    log, pages, last = event_log(spark, sf_dir), [], None
+    for border in page_borders(log, "change_id", _fifth(log)):
+        pages.append(keyset_page(log, event_spec(), last).where(up_to("change_id", border)))
+        last = border
+    return _paged(log, pages)
+
+
+@query(with_(EVENT_LOG, PAGES.format("(SELECT (count(*) + 4) // 5 FROM elog WHERE processed = 0)", "WHERE processed = 0")))
+def queue_pages(spark, sf_dir):
+    """All pending rows in five pages."""
+    log, pages = event_log(spark, sf_dir), []
+    waiting = queue_page(log, event_spec(processed_column="processed"))
+    last = F.lit(None)
+    for border in page_borders(waiting, "change_id", _fifth(waiting)):
+        after = F.coalesce(F.col("change_id") > last, F.lit(True))
+        pages.append(waiting.where(up_to("change_id", border) & after))
+        last = border
+    return _paged(log, pages)
+
+
 @query(with_(EVENT_LOG, f"""
 SELECT {LOG_COLUMNS} FROM elog WHERE change_id > {MIDDLE} ORDER BY change_id LIMIT {BATCH}"""))
 def keyset_next(spark, sf_dir):
@@ -507,13 +545,14 @@ def queue_pending_clean(spark, sf_dir):
 @query(with_(EVENT_LOG, """
 SELECT change_id, op AS operation, user_id FROM elog WHERE op = 'I'
 UNION ALL SELECT change_id, op, user_id FROM elog WHERE op = 'U'
-UNION ALL SELECT change_id, op, user_id FROM elog WHERE op = 'D'"""))
+UNION ALL SELECT change_id, op, user_id FROM elog WHERE op = 'D'
+UNION ALL SELECT change_id, op, user_id FROM elog WHERE op NOT IN ('I', 'U', 'D')"""))
 def union_changes(spark, sf_dir):
-    """Change rows appended from several selects; deletes carry only the key."""
+    """Change rows appended from several selects; deletes and unknown ones carry only the key."""
     log = event_log(spark, sf_dir)
     inserts, updates = log.where("operation = 'I'"), log.where("operation = 'U'")
-    deletes = log.where("operation = 'D'").select("change_id", "operation", "user_id")
-    whole = inserts.unionByName(updates).unionByName(deletes, allowMissingColumns=True)
+    others = log.where("coalesce(operation, '') not in ('I', 'U')").select("change_id", "operation", "user_id")
+    whole = inserts.unionByName(updates).unionByName(others, allowMissingColumns=True)
     return whole.select("change_id", "operation", "user_id")
 
 
@@ -545,6 +584,61 @@ def gen_changes(spark, sf_dir):
     return generate_from(ids, step).withColumn("priced", priced).drop("unit_price", "quantity")
 
 
+# -- updates and deletes of other shapes ---------------------------------------------------
+
+# Generations end with the deletes that remove a row; a column has its own last writer.
+SHAPED = """,
+g1 AS (SELECT *, count(*) FILTER (WHERE {gone}) OVER (PARTITION BY user_id ORDER BY change_id) AS gen FROM done),
+g2 AS (SELECT *, max(gen) OVER (PARTITION BY user_id) AS last_gen FROM g1)"""
+
+
+@query(with_(EVENT_OFF + SHAPED.format(gone="outcome = 'DELETED'"), """
+SELECT min(change_id) FILTER (WHERE outcome = 'INSERTED') AS profile_id, user_id,
+       CAST(last(k ORDER BY change_id) FILTER (WHERE effective AND (op = 'I' OR k IS NOT NULL)) AS VARCHAR) AS k,
+       last(CASE WHEN op = 'I' OR k % 2 = 0 THEN amount END ORDER BY change_id)
+         FILTER (WHERE effective AND (op = 'I' OR k % 2 = 0 AND amount IS NOT NULL)) AS amount
+FROM g2 WHERE gen = last_gen GROUP BY user_id HAVING count(*) FILTER (WHERE effective) > 0"""))
+def keep_null_update(spark, sf_dir):
+    """An update leaves a column alone where its expression gives null: here for every odd k."""
+    columns = {"k": ":K", "amount": "if(:K % 2 = 0, :VALUE, null)"}
+    update = Mapping(columns, {"k": "coalesce(:K, 99) >= 98"}, keep_null=("k", "amount"))
+    spec = event_spec(quarantine=False, update=update)
+    return text_key(apply_final(event_log(spark, sf_dir), spec), "k")
+
+
+SOFT = EVENT_LOG + """,
+s1 AS (
+  SELECT *, coalesce(bool_or(op = 'I' AND reason IS NULL) OVER (PARTITION BY user_id ORDER BY change_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS present FROM elog),
+s2 AS (
+  SELECT *, CASE WHEN op NOT IN ('I', 'U', 'D') THEN 'SKIPPED_BADROW'
+                 WHEN op = 'I' AND (reason IS NOT NULL OR present) THEN 'FAILED'
+                 WHEN op = 'U' AND present AND reason IS NOT NULL THEN 'FAILED'
+                 WHEN op = 'D' AND present AND k >= 90 THEN 'FAILED'
+                 WHEN op = 'I' THEN 'INSERTED' WHEN op = 'D' THEN 'DELETED' ELSE 'UPDATED' END AS outcome
+  FROM s1),
+s3 AS (SELECT *, outcome = 'INSERTED' OR outcome IN ('UPDATED', 'DELETED') AND present AS effective FROM s2)"""
+
+
+def _soft_spec():
+    """A delete marks its row instead of removing it, and may itself be rejected."""
+    return event_spec(quarantine=False, delete=Mapping({"k": "-1"}, {"k": ":K >= 90"}))
+
+
+@query(with_(SOFT, """
+SELECT min(change_id) FILTER (WHERE outcome = 'INSERTED') AS profile_id, user_id,
+       CAST(last(CASE WHEN op = 'D' THEN -1 ELSE k END ORDER BY change_id) FILTER (WHERE effective) AS VARCHAR) AS k,
+       last(amount ORDER BY change_id) FILTER (WHERE effective AND op <> 'D') AS amount
+FROM s3 GROUP BY user_id HAVING count(*) FILTER (WHERE effective) > 0"""))
+def soft_delete(spark, sf_dir):
+    return text_key(apply_final(event_log(spark, sf_dir), _soft_spec()), "k")
+
+
+@query(with_(SOFT, "SELECT change_id, user_id, outcome FROM s3"))
+def soft_delete_outcomes(spark, sf_dir):
+    return replay(event_log(spark, sf_dir), _soft_spec()).select("change_id", "user_id", "outcome")
+
+
 # -- whole runs: stored state, commits, streaming ------------------------------------------
 
 
@@ -580,6 +674,35 @@ def keyset_run_history(spark, sf_dir):
     return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
 
 
+SOME = f"""{ORDER_LOG},
+page AS (SELECT * FROM elog WHERE NOT (op = 'I' AND order_id % 30 = 0)),
+{replayed("", "order_id", quarantine=False, source="page", on_missing="upsert")},
+{imaged("order_id", ORDER_NAMES)}"""
+
+
+@query(with_(SOME, """
+SELECT row_id AS link_id, row_id AS summary_id, 'u-100' AS user_id, 'orders' AS user_section
+FROM img WHERE row_id IN (SELECT change_id FROM page WHERE op = 'I')"""))
+def upsert_run_links(spark, sf_dir):
+    """Rows that an update has made get no link."""
+    store, log = _store(spark), order_log(spark, sf_dir)
+    log = log.where("not (operation = 'I' and order_id % 30 = 0)")
+    run_keyset(store, order_spec(quarantine=False, on_missing="upsert"), log, batch_size=_half(log))
+    return store.read("links")
+
+
+@query(with_(EVENT_LOG, f"SELECT change_id, user_id FROM elog WHERE change_id <= {MIDDLE}"))
+def stream_late_rows(spark, sf_dir):
+    """The upper half of the log comes first; what follows is late, and kept."""
+    store, log, folder = _store(spark), event_log(spark, sf_dir), f"{shared_dir(spark)}/tidemark/runs/{uuid.uuid4().hex}"
+    spec, late = event_spec(), F.col("change_id") <= _middle(log)
+    for part in (log.where(~late), log.where(late)):
+        part.write.mode("append").parquet(folder)
+        stream = read_change_stream(spark, folder, log.schema)
+        run_stream(store, spec, stream, f"{store.files.root}/checkpoint").awaitTermination()
+    return store.read("late").select("change_id", "user_id")
+
+
 # The whole log again, placed behind itself: what a restart over the finished state does.
 AGAIN = f"""{EVENT_LOG},
 twice AS (SELECT * FROM elog

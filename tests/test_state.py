@@ -323,8 +323,7 @@ def test_key_type_of_a_later_page_may_differ(spark, store):
     assert history_of(store) == {1: "INSERTED", 2: "UPDATED", 3: "DELETED"}
 
 
-@pytest.mark.parametrize("size", [2, 3, None])
-@pytest.mark.parametrize("queue", [False, True])
+@pytest.mark.parametrize("size, queue", [(2, False), (None, False), (2, True)])
 @pytest.mark.parametrize("keys", [(1, 2, 2, 3), (1, 2, None, 3)])
 def test_null_and_repeated_keys_are_refused(spark, store, size, queue, keys):
     """Whatever the size of a page, and wherever its border falls."""

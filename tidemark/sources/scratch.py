@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="tidemark-")

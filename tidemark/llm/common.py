@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,14 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder where it is unset in local mode."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset, in local mode only, a temporary
+    folder that goes when Python ends.
+    """
     global _local
     if configured := spark.conf.get("spark.checkpoint.dir", None):
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local is None:
         _local = tempfile.mkdtemp(prefix="tidemark-llm-")
+        atexit.register(shutil.rmtree, _local, ignore_errors=True)
     return _local
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 Split = Callable[[str], Iterable[bytes]]
 
-HELD = 300_000  # distinct tokens that a task holds before it passes them on
+HELD = 100_000  # distinct tokens that a task holds before it passes them on
 
 
 def merged_totals(texts: Iterator[list[str]], split: Split) -> Iterator[Counter]:

@@ -76,7 +76,7 @@ def pretoken_totals(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter_of(path).parts
-        texts = (b.column(0).fill_null("").to_pylist() for b in pieces_of(batches, "text", 8 << 20))
+        texts = (b.column(0).fill_null("").to_pylist() for b in pieces_of(batches, "text", 2 << 20))
         for totals in merged_totals(texts, lambda text: split(text)[0]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([t.encode() for t in totals], pa.binary()), pa.array(totals.values(), pa.int64())],
@@ -106,7 +106,7 @@ def with_pieces(totals: DataFrame, path: str) -> DataFrame:
     return totals.mapInArrow(run, "token binary, n long, pieces long")
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 512, most: int = 300_000) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 512, most: int = 150_000) -> DataFrame:
     """Tokens of every row of ``docs`` (doc_id, text): one row out for each row in.
 
     ``path`` is a tokenizers file that every executor can open. A null text is empty: 0 tokens. Special
@@ -120,7 +120,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, most: int = 300_0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known, ids = splitter_of(path).parts, shared.value, row_ids()
-        for batch in pieces_of(batches, "text", 8 << 20):
+        for batch in pieces_of(batches, "text", 2 << 20):
             tokens, rest = [], []
             for text in batch.column(1).fill_null("").to_pylist():
                 found, total = split(text)

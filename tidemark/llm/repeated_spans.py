@@ -20,6 +20,7 @@ windows are dealt by their own hash instead.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,12 @@ from pyspark.sql import functions as F
 from .common import flat_text, pieces_of, stored
 from .decontamination import _mixed, _powers
 
-WINDOW, GRAM = 200, 32
+WINDOW, GRAM = 200, 100
 SPAN = WINDOW - GRAM + 1  # grams in a window, and windows that a gram can be in
-SLOT_BITS, BLOCK_BITS = 25, 16
+SLOT_BITS, BLOCK_BITS = 27, 16
 PLACE_BITS = 28
 COLLECTION = 20_000
-REPEATED, MIXED, HOT = 1, 2, 4
+REPEATED, MIXED, HOT = FLAGS = 1, 2, 4
 MISSING = 0xFF  # in no UTF-8 text
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -100,7 +101,8 @@ def _slot(anchor: np.ndarray) -> np.ndarray:
 
 
 def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
-    """For each slot of anchors: whether one occurs twice, in different segments, in more than ``most``."""
+    """A row of packed bits for each flag: which slots hold an anchor that occurs twice, in different segments,
+    and so in more than ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", 2 << 20):
@@ -111,17 +113,16 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
             anchor, content = found.anchor[order], found.content[order]
             new = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
             ends = np.append(new[1:], len(anchor))
-            columns = [anchor[new].view(np.int64), ends - new, content[new].view(np.int64), content[ends - 1].view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "times", "low", "high"])
+            times = np.where(content[new] == content[ends - 1], ends - new, new - ends)  # below zero: mixed
+            columns = [anchor[new].view(np.int64), times.astype(np.int32), content[new].view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "times", "content"])
 
-    sent = docs.select("text").mapInArrow(run, "anchor long, times long, low long, high long")
-    # low and high come from an unsigned order; what counts is whether all are one
+    sent = docs.select("text").mapInArrow(run, "anchor long, times int, content long")
     known = sent.groupBy("anchor").agg(
-        F.sum("times").alias("times"),
-        F.least(F.min("low"), F.min("high")).alias("low"),
-        F.greatest(F.max("low"), F.max("high")).alias("high"),
+        F.sum(F.abs("times")).alias("times"),
+        ((F.min("times") < 0) | (F.min("content") != F.max("content"))).alias("mixed"),
     )
-    mixed = F.col("low") != F.col("high")
+    mixed = F.col("mixed")
     bits = (
         F.lit(REPEATED)
         .bitwiseOR(F.when(mixed, MIXED).otherwise(0))
@@ -131,18 +132,26 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
     slots = known.filter("times > 1").select(slot, bits.alias("bits")).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
 
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(1 << BLOCK_BITS, np.uint8)
+        out = np.zeros((len(FLAGS), 1 << BLOCK_BITS), bool)
         block = 0
         for part in rows:
             block = part.column(0)[0].as_py()
-            out[part.column(1).to_numpy() & ((1 << BLOCK_BITS) - 1)] = part.column(2).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([out.tobytes()])], names=["block", "bits"])
+            for row, flag in zip(out, FLAGS, strict=True):
+                row[part.column(1).to_numpy() & ((1 << BLOCK_BITS) - 1)] = part.column(2).to_numpy() & flag > 0
+        packed = zlib.compress(np.packbits(out, axis=1, bitorder="little").tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed])], names=["block", "bits"])
 
     blocks = slots.select(F.shiftright("slot", BLOCK_BITS).alias("block"), "slot", "bits")
-    table = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.uint8)
-    for r in blocks.groupBy("block").applyInArrow(pack, "block long, bits binary").toLocalIterator():
-        table[r.block] = np.frombuffer(r.bits, np.uint8)
-    return table.ravel()
+    table = np.zeros((len(FLAGS), 1 << (SLOT_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    for r in blocks.groupBy("block").applyInArrow(pack, "block long, bits binary").collect():
+        table[:, r.block] = np.frombuffer(zlib.decompress(r.bits), np.uint8).reshape(len(FLAGS), -1)
+    return table.reshape(len(FLAGS), -1)
+
+
+def flags_of(table: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    slot = _slot(anchor)
+    at, bit = slot >> 3, (slot & 7).astype(np.uint8)
+    return sum(((row[at] >> bit) & 1) * np.uint8(flag) for row, flag in zip(table, FLAGS, strict=True))
 
 
 OCCURS, SEGMENT, LONE_WINDOW = 0, 1, 2
@@ -152,8 +161,6 @@ ROWS = "kind int, text_key binary, anchor long, content long, begin long, size i
 def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """Segments whose anchor occurs elsewhere, of ``docs`` (text_key, text): one row for each occurrence, and
     for those of mixed anchors one with the bytes, sent once per batch. Hot anchors give windows instead."""
-    import zlib
-
     shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
 
     def rows(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -163,11 +170,11 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *filled], names=["kind", *types])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        table = np.frombuffer(zlib.decompress(shared.value), np.uint8).reshape(len(FLAGS), -1)
         for batch in pieces_of(batches, "text", 2 << 20):
             data, starts = flat_text(batch.column(1))
             found = Segments(data, starts)
-            flags = table[_slot(found.anchor)]
+            flags = flags_of(table, found.anchor)
             at = np.flatnonzero((flags & REPEATED > 0) & (flags & HOT == 0))
             if len(at):
                 yield rows(

@@ -5,14 +5,18 @@ hash. Two sets of a high Jaccard share n-grams at the start of that order. So a
 first of its n-grams: rare ones each by itself, frequent ones by pairs within classes of n-grams. Each
 class whose first pair needs two n-grams makes the prefix one n-gram longer. Sets that meet are verified.
 
-Equal sets are one vertex. Of the sets that share an index entry, each is verified against the least one
+Equal sets are one vertex. Of the sets that share an index entry, each is paired with the least one
 first; after the links found that way are merged, only sets of different components are paired. So a
 group of copies costs links in proportion to its size, and no link between components is missed.
+
+Pairs are thinned by bits before sets are compared: each n-gram flips one bit of its set's parity bits, so
+two sets differ in at least as many n-grams as in bits. No close pair is lost by that.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,7 @@ from .frequencies import row_ids
 SKETCH_BITS, BLOCK_BITS = 22, 16
 MEMBER_BITS = 22
 CLASS_SIZE = 8
+MOST_PARITY_BITS = 1 << 16
 
 _SPACE = np.ones(256, bool)
 _SPACE[[32, *range(9, 14)]] = False
@@ -64,7 +69,11 @@ def count_sketch(docs: DataFrame, n: int) -> np.ndarray:
             used = np.flatnonzero(part)
             if len(used):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([used.astype(np.uint16).tobytes()]), pa.array([part[used].tobytes()])],
+                    [
+                        pa.array([block]),
+                        pa.array([zlib.compress(np.diff(used, prepend=0).astype(np.uint16).tobytes(), 1)]),
+                        pa.array([zlib.compress(part[used].tobytes(), 1)]),
+                    ],
                     names=["block", "used", "n"],
                 )
 
@@ -74,7 +83,8 @@ def count_sketch(docs: DataFrame, n: int) -> np.ndarray:
         for part in parts:
             for b, used, n_ in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 block = b
-                total[np.frombuffer(used, np.uint16)] += np.frombuffer(n_, np.uint32)
+                at = np.cumsum(np.frombuffer(zlib.decompress(used), np.uint16).astype(np.int64))
+                total[at] += np.frombuffer(zlib.decompress(n_), np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()])], names=["block", "n"]
         )
@@ -125,8 +135,15 @@ def signatures(ordered: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarra
     return np.unique(np.concatenate(out))
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """Which of about two bits per n-gram are hit an odd number of times, as 64-bit numbers."""
+    bits = min(max(256, 1 << (2 * len(own)).bit_length()), MOST_PARITY_BITS)
+    slots = ((own * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=bits) & 1).view(np.int64)
+
+
 def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Every row of ``docs`` with the size and digest of its set, and the set's index entries."""
+    """Every row of ``docs`` with its set's size, digest, parity bits and index entries."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     limit = 2 * int(sketch.mean()) + 32
 
@@ -134,31 +151,36 @@ def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFr
         counts, ids = shared.value, row_ids()
         for batch in pieces_of(batches, "text", 2 << 20):
             grams, starts = grams_of(batch, n)
-            sizes, digests, entries = [], [], []
+            sizes, digests, parities, entries = [], [], [], []
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 own = np.unique(grams[a:b])
                 often = counts[_slots(own, SKETCH_BITS)]
                 order = np.argsort(often, kind="stable")
                 sizes.append(len(own))
                 digests.append(hashlib.md5(own.tobytes(), usedforsecurity=False).digest())
+                parities.append(parity(own))
                 entries.append(signatures(own[order], often[order] <= limit, percent).view(np.int64))
-            ends = np.cumsum([0] + [len(x) for x in entries]).astype(np.int32)
-            flat = np.concatenate(entries) if entries else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.fromiter(ids, np.int64, len(sizes))),
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    _lists(parities),
+                    _lists(entries),
                 ],
-                names=["row", "doc_id", "n", "digest", "entries"],
+                names=["row", "doc_id", "n", "digest", "parity", "entries"],
             )
 
-    schema = "row long, doc_id long, n long, digest binary, entries array<bigint>"
+    schema = "row long, doc_id long, n long, digest binary, parity array<bigint>, entries array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in rows]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """The sets of the vertices in ``wanted`` (vertex, digest, doc_id of one row): vertex and n-gram hashes."""
     slots = wanted.select((F.xxhash64("doc_id").bitwiseAND((1 << MEMBER_BITS) - 1)).alias("slot")).distinct().toArrow()
@@ -173,12 +195,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             for part in pieces_of(iter([some]), "text", 2 << 20):
                 grams, starts = grams_of(part, n)
                 own = [np.unique(grams[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-                ends = np.cumsum([0] + [len(x) for x in own]).astype(np.int32)
-                flat = np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)
                 digests = [hashlib.md5(x.tobytes(), usedforsecurity=False).digest() for x in own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["digest", "grams"],
+                    [pa.array(digests, pa.binary()), _lists([x.view(np.int64) for x in own])], names=["digest", "grams"]
                 )
 
     slot = F.xxhash64("doc_id").bitwiseAND((1 << MEMBER_BITS) - 1).alias("slot")
@@ -187,17 +206,41 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return named.groupBy("vertex").agg(F.first("grams").alias("grams"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are close enough."""
+def bits_apart(x: str, y: str) -> Column:
+    """In how many parity bits two sets differ; the longer row of bits is folded onto the shorter one."""
+
+    def folded(long_: Column, short: Column) -> Column:
+        half = F.zip_with(
+            F.slice(long_, 1, F.greatest(F.size(short), F.lit(1))),
+            F.slice(long_, F.size(short) + 1, F.greatest(F.size(short), F.lit(1))),
+            lambda a, b: a.bitwiseXOR(b),
+        )
+        return F.when(F.size(long_) > F.size(short), half).otherwise(long_)
+
+    apart = F.zip_with(folded(F.col(x), F.col(y)), folded(F.col(y), F.col(x)), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
+
+
+def may_link(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) but for those that sizes or parity bits rule out."""
+    a = vertices.select(F.col("vertex").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    b = vertices.select(F.col("vertex").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    bits = bits_apart("pa", "pb") * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    return pairs.join(a, "a").join(b, "b").filter(sizes & bits).select("a", "b")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets, found again from the texts, are close enough."""
+    pairs = stored(may_link(pairs, vertices, percent))
+    met = pairs.select(F.col("a").alias("vertex")).union(pairs.select("b")).distinct()
+    wanted = stored(vertices.select("vertex", "digest", "doc_id").join(met, "vertex", "left_semi"))
+    sets = stored(sets_of(docs, wanted, n))
     a = sets.select(F.col("vertex").alias("a"), F.col("grams").alias("ga"))
     b = sets.select(F.col("vertex").alias("b"), F.col("grams").alias("gb"))
     common = F.size(F.array_intersect("ga", "gb")).cast("long")
     united = F.size("ga") + F.size("gb") - common
-    return pairs.join(a, "a").join(b, "b").filter(common * 100 >= united * percent).select("a", "b")
-
-
-def _sizes_fit(x: str, y: str, percent: int) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    return stored(pairs.join(a, "a").join(b, "b").filter(common * 100 >= united * percent).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -211,31 +254,27 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     sketch = count_sketch(docs, n)
     rows = stored(indexed(docs, sketch, n, percent))
     filled = rows.filter("n > 0")
-    vertices = filled.groupBy("digest").agg(
-        F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("entries").alias("entries")
-    )
-    vertices = stored(vertices)
-    entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n").repartition("entry")
+    same = [F.first(c).alias(c) for c in ("n", "parity", "entries")]
+    vertices = stored(filled.groupBy("digest").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), *same))
+    entries = vertices.select(F.explode("entries").alias("entry"), "vertex").repartition("entry")
     shared = entries.groupBy("entry").agg(F.count("*").alias("times"), F.min("vertex").alias("hub")).filter("times > 1")
     entries = stored(entries.join(shared.select("entry", "hub"), "entry"))
-    size = vertices.select(F.col("vertex").alias("hub"), F.col("n").alias("hub_n"))
-    stars = entries.filter("vertex <> hub").select("hub", "vertex", "n").distinct().join(size, "hub")
-    stars = stored(stars.filter(_sizes_fit("n", "hub_n", percent)).select(F.col("hub").alias("a"), F.col("vertex").alias("b")))
-    # The sets are found again from the texts: of all vertices that share an entry with another.
-    wanted = vertices.join(entries.select("vertex").distinct(), "vertex", "left_semi").select("vertex", "digest", "doc_id")
-    sets = stored(sets_of(docs, wanted, n))
-    links = stored(verified(stars, sets, percent))
-    labels = stored(components(links))
-    label = F.coalesce("label", F.col("vertex")).alias("label")
-    left = entries.join(labels.withColumnRenamed("node", "vertex"), "vertex", "left").select("entry", "vertex", "n", label)
+    stars = entries.filter("vertex <> hub").select(F.col("hub").alias("a"), F.col("vertex").alias("b"))
+    stars = stored(stars.distinct())
+    links = verified(stars, docs, vertices, n, percent)
+    labels = stored(components(links)).withColumnRenamed("node", "vertex")
+    # Entries that sets of different components share: all their pairs, but for the ones done.
+    sizes = vertices.select("vertex", "n").join(labels, "vertex", "left")
+    sizes = sizes.select("vertex", "n", F.coalesce("label", "vertex").alias("label"))
+    left = entries.select("entry", "vertex").join(sizes, "vertex")
     mixed = left.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     left = stored(left.join(mixed.select("entry"), "entry", "left_semi"))
     right = left.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "label")])
     apart = (F.col("vertex") < F.col("vertex_b")) & (F.col("label") != F.col("label_b"))
-    pairs = left.join(right, "entry").filter(apart & _sizes_fit("n", "n_b", percent))
-    pairs = pairs.select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(pairs, sets, percent))
-    labels = components(links).withColumnRenamed("node", "vertex")
+    fit = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
+    pairs = left.join(right, "entry").filter(apart & fit).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
+    more = verified(pairs.distinct().join(stars, ["a", "b"], "left_anti"), docs, vertices, n, percent)
+    labels = components(links.unionByName(more)).withColumnRenamed("node", "vertex")
     named = vertices.select("digest", "vertex", "doc_id").join(labels, "vertex", "left")
     named = stored(named.select("digest", "doc_id", F.coalesce("label", "vertex").alias("label")))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -256,11 +256,12 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     filled = rows.filter("n > 0")
     same = [F.first(c).alias(c) for c in ("n", "parity", "entries")]
     vertices = stored(filled.groupBy("digest").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), *same))
-    entries = vertices.select(F.explode("entries").alias("entry"), "vertex").repartition("entry")
-    shared = entries.groupBy("entry").agg(F.count("*").alias("times"), F.min("vertex").alias("hub")).filter("times > 1")
-    entries = stored(entries.join(shared.select("entry", "hub"), "entry"))
-    stars = entries.filter("vertex <> hub").select(F.col("hub").alias("a"), F.col("vertex").alias("b"))
-    stars = stored(stars.distinct())
+    entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n").repartition("entry")
+    shared = entries.groupBy("entry").agg(F.count("*").alias("times"), F.min(F.struct("vertex", "n")).alias("hub"))
+    entries = stored(entries.join(shared.filter("times > 1").select("entry", "hub"), "entry"))
+    fit = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
+    stars = entries.filter((F.col("vertex") != F.col("hub.vertex")) & fit)
+    stars = stored(stars.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b")).distinct())
     links = verified(stars, docs, vertices, n, percent)
     labels = stored(components(links)).withColumnRenamed("node", "vertex")
     # Entries that sets of different components share: all their pairs, but for the ones done.

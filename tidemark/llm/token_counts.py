@@ -9,29 +9,20 @@ from __future__ import annotations
 
 import json
 import re
-import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import flat_text, head_of, pieces_of, stored
 from .frequencies import REST, add_rest, merged_totals, pairs_array, row_ids
 
-# The code points with the White_Space property.
-WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
-
-
-def category_class(first: str) -> str:
-    """The inside of a character class with all code points whose category begins with ``first``."""
-    points = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == first]
-    cuts = np.flatnonzero(np.diff(points) > 1)
-    low, high = [points[0], *(points[i + 1] for i in cuts)], [*(points[i] for i in cuts), points[-1]]
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(low, high, strict=True))
+# Fixed value: the pattern by which byte-level tokenizers split text.
+PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Splitter:
@@ -47,12 +38,7 @@ class Splitter:
         if spec["normalizer"] or any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("normalizers and added tokens that take in their surroundings are not covered")
         self.special = re.compile("|".join(re.escape(t["content"]) for t in sorted(added, key=lambda t: -len(t["content"]))))
-        letters, numbers = category_class("L"), category_class("N")
-        # The contractions of the byte-level pattern.
-        self.pattern = re.compile(
-            f"'(?:s|t|re|ve|m|ll|d)| ?[{letters}]++| ?[{numbers}]++| ?[^{WHITE_SPACE}{letters}{numbers}]++"
-            f"|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
-        )
+        self.pattern = regex.compile(PATTERN)
         self.has_special = bool(added)
 
     def parts(self, text: str) -> tuple[list[str], int]:

@@ -35,8 +35,9 @@ WINDOW, GRAM = 200, 100
 SPAN = WINDOW - GRAM + 1  # grams in a window, and windows that a gram can be in
 SLOT_BITS, BLOCK_BITS = 27, 16
 PLACE_BITS = 28
+MEMBER_BITS = 22
 COLLECTION = 20_000
-REPEATED, MIXED, HOT = FLAGS = 1, 2, 4
+REPEATED, MIXED, HOT, SHARED = FLAGS = 1, 2, 4, 8
 MISSING = 0xFF  # in no UTF-8 text
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +103,7 @@ def _slot(anchor: np.ndarray) -> np.ndarray:
 
 def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
     """A row of packed bits for each flag: which slots hold an anchor that occurs twice, in different segments,
-    and so in more than ``most``."""
+    and so in more than ``most``; and which of them hold other anchors too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", 2 << 20):
@@ -118,7 +119,8 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "times", "content"])
 
     sent = docs.select("text").mapInArrow(run, "anchor long, times int, content long")
-    known = sent.groupBy("anchor").agg(
+    slot = F.shiftrightunsigned("anchor", 64 - SLOT_BITS)
+    known = sent.repartition(slot).withColumn("slot", slot).groupBy("slot", "anchor").agg(
         F.sum(F.abs("times")).alias("times"),
         ((F.min("times") < 0) | (F.min("content") != F.max("content"))).alias("mixed"),
     )
@@ -128,8 +130,10 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
         .bitwiseOR(F.when(mixed, MIXED).otherwise(0))
         .bitwiseOR(F.when(mixed & (F.col("times") > most), HOT).otherwise(0))
     )
-    slot = F.shiftrightunsigned("anchor", 64 - SLOT_BITS).alias("slot")
-    slots = known.filter("times > 1").select(slot, bits.alias("bits")).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    bits = F.when(F.col("times") > 1, bits).otherwise(0)
+    slots = known.select("slot", bits.alias("bits")).groupBy("slot")
+    slots = slots.agg(F.bit_or("bits").alias("bits"), F.count("*").alias("anchors")).filter("bits > 0")
+    slots = slots.select("slot", F.col("bits").bitwiseOR(F.when(F.col("anchors") > 1, SHARED).otherwise(0)).alias("bits"))
 
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((len(FLAGS), 1 << BLOCK_BITS), bool)
@@ -154,13 +158,14 @@ def flags_of(table: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     return sum(((row[at] >> bit) & 1) * np.uint8(flag) for row, flag in zip(table, FLAGS, strict=True))
 
 
-OCCURS, SEGMENT, LONE_WINDOW = 0, 1, 2
+OCCURS, SEGMENT, LONE_WINDOW, SURE = 0, 1, 2, 3
 ROWS = "kind int, text_key binary, anchor long, content long, begin long, size int, place int, times long, bytes binary"
 
 
 def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Segments whose anchor occurs elsewhere, of ``docs`` (text_key, text): one row for each occurrence, and
-    for those of mixed anchors one with the bytes, sent once per batch. Hot anchors give windows instead."""
+    """Segments whose anchor occurs elsewhere, of ``docs`` (text_key, text). Where that is sure, a row for each
+    run of them. Else a row for each occurrence, and for those of mixed anchors one with the bytes, sent once
+    per batch. Hot anchors give windows instead."""
     shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
 
     def rows(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -175,7 +180,21 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
             data, starts = flat_text(batch.column(1))
             found = Segments(data, starts)
             flags = flags_of(table, found.anchor)
-            at = np.flatnonzero((flags & REPEATED > 0) & (flags & HOT == 0))
+            at = np.flatnonzero(flags == REPEATED)
+            if len(at):
+                ends = found.begin[at] + found.size[at]
+                new = (found.text[at[1:]] != found.text[at[:-1]]) | (found.begin[at[1:]] > ends[:-1])
+                new = np.flatnonzero(np.concatenate(([True], new)))
+                last = np.append(new[1:], len(at)) - 1
+                some = at[new]
+                yield rows(
+                    SURE,
+                    len(some),
+                    text_key=batch.column(0).take(pa.array(found.text[some])),
+                    begin=pa.array(found.begin[some] - starts[found.text[some]]),
+                    size=pa.array(ends[last] - found.begin[some]),
+                )
+            at = np.flatnonzero((flags & REPEATED > 0) & (flags != REPEATED) & (flags & HOT == 0))
             if len(at):
                 yield rows(
                     OCCURS,
@@ -322,7 +341,8 @@ def repeated_spans(docs: DataFrame, most: int = 100_000) -> DataFrame:
     found = stored(shared_segments(docs, bits))
     plain = found.filter((F.col("kind") == OCCURS) & (F.col("place") == 0)).select("text_key", "anchor", "content", "begin", "size")
     twice = plain.groupBy("anchor", "content").count().filter("count > 1").select("anchor", "content")
-    whole = plain.join(twice, ["anchor", "content"], "left_semi")  # a slot may also hold anchors that occur once
+    whole = plain.join(twice, ["anchor", "content"], "left_semi")  # its slot also holds anchors that may occur once
+    whole = whole.unionByName(found.filter(F.col("kind") == SURE).select(plain.columns))
     whole = whole.select("text_key", F.col("begin").alias("a"), (F.col("begin") + F.col("size")).alias("b"))
     within = compared(found.filter(F.col("kind") == SEGMENT))
     mixed = found.filter((F.col("kind") == OCCURS) & (F.col("place") == 1)).select("text_key", "anchor", "content", "begin")
@@ -335,6 +355,22 @@ def repeated_spans(docs: DataFrame, most: int = 100_000) -> DataFrame:
     return whole.unionByName(part).unionByName(lone)
 
 
+def with_member(texts: DataFrame, spans: DataFrame, member: bool) -> DataFrame:
+    """The rows of ``texts`` whose key may be in ``spans``, or those whose key is not, by a table of bits."""
+    slot = (F.xxhash64("text_key").bitwiseAND((1 << MEMBER_BITS) - 1)).alias("slot")
+    bits = np.zeros(1 << MEMBER_BITS, bool)
+    bits[spans.select(slot).distinct().toArrow().column(0).to_numpy()] = True
+    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).view(bool)
+        for batch in batches:
+            some = batch.filter(pa.array(bits[batch.column(0).to_numpy()] == member))
+            yield some.select(["doc_id", "text_key", "text"])
+
+    return texts.select(slot, "doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key binary, text string")
+
+
 def text_key(doc_id: Column, text: Column) -> Column:
     """Stands for a row's id and text; equal rows share it."""
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), text)))
@@ -350,8 +386,10 @@ def without_repeats(docs: DataFrame, most: int = 100_000) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("text_key", text_key(F.col("doc_id"), F.col("text")))
     spans = repeated_spans(texts, most).distinct().groupBy("text_key")
-    spans = spans.agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
-    rows = texts.join(spans.hint("shuffle_hash"), "text_key", "left").select("doc_id", "text", "spans")
+    spans = stored(spans.agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
+    met, others = with_member(texts, spans, True), with_member(texts, spans, False)
+    rows = met.join(spans.hint("shuffle_hash"), "text_key", "left").select("doc_id", "text", "spans")
+    rows = rows.unionByName(others.select("doc_id", "text"), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,7 +33,7 @@ from .decontamination import _mixed, _powers
 
 WINDOW, GRAM = 200, 100
 SPAN = WINDOW - GRAM + 1  # grams in a window, and windows that a gram can be in
-SLOT_BITS, BLOCK_BITS = 27, 16
+SLOT_BITS, BLOCK_BITS = 26, 16
 PLACE_BITS = 28
 MEMBER_BITS = 22
 COLLECTION = 20_000
@@ -106,7 +106,7 @@ def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
     and so in more than ``most``; and which of them hold other anchors too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "text", 2 << 20):
+        for batch in pieces_of(batches, "text", 1 << 20):
             found = Segments(*flat_text(batch.column(0)))
             if not len(found.anchor):
                 continue
@@ -176,7 +176,7 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(zlib.decompress(shared.value), np.uint8).reshape(len(FLAGS), -1)
-        for batch in pieces_of(batches, "text", 2 << 20):
+        for batch in pieces_of(batches, "text", 1 << 20):
             data, starts = flat_text(batch.column(1))
             found = Segments(data, starts)
             flags = flags_of(table, found.anchor)
@@ -392,7 +392,7 @@ def without_repeats(docs: DataFrame, most: int = 100_000) -> DataFrame:
     rows = rows.unionByName(others.select("doc_id", "text"), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text", 4 << 20):
             n_bytes, removed, n_spans, kept, digest = [], [], [], [], []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = text.encode()

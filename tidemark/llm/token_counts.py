@@ -8,6 +8,7 @@ pre-tokens' counts are broadcast, all others joined.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -72,15 +73,27 @@ def pretoken_totals(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def with_pieces(totals: DataFrame, path: str) -> DataFrame:
-    """``totals`` with the number of ``pieces`` of each pre-token, counted by the tokenizer itself."""
+_tokenizers: dict = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def tokenizer_of(path: str):
+    """The library's tokenizer, loaded once per worker and kept to one thread: Spark runs the workers side by side."""
+    if path not in _tokenizers:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        _tokenizers[path] = tokenizer
+    return _tokenizers[path]
+
+
+def with_pieces(totals: DataFrame, path: str) -> DataFrame:
+    """``totals`` with the number of ``pieces`` of each pre-token, counted by the tokenizer itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = tokenizer_of(path)
         for batch in batches:
             texts = [t.decode() for t in batch.column(0).to_pylist()]
             found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)

@@ -48,7 +48,7 @@ def test_keyset_filter_reaches_the_scan(spark, tmp_path):
     log = str(tmp_path / "log")
     seed(spark).write.parquet(log)
     text = plan(keyset_page(spark.read.parquet(log), orders_spec(), 5, 3))
-    assert "GreaterThan(change_id,5)" in text and "TakeOrderedAndProject" in text
+    assert "GreaterThan(change_id,5)" in text and "LessThanOrEqual(change_id,8)" in text
 
 
 def test_queue_filter_reaches_the_scan(spark, tmp_path):

@@ -114,6 +114,29 @@ class TestJaccardJoin:
 
             assert len(np.intersect1d(entries(a), entries(b)))
 
+    @pytest.mark.parametrize("percent", [90, 80])
+    def test_parity_bits_keep_close_pairs(self, spark, percent):
+        rng = np.random.default_rng(percent)
+        vertices, pairs, close, far = [], [], set(), set()
+        for border in [1 << k for k in range(7, 15)] * 3:
+            size = border - 1 - int(rng.integers(0, 3))
+            pool = np.unique(rng.integers(0, 1 << 62, 3 * border, dtype=np.uint64))
+            pool = rng.permutation(pool)
+            most = int(size / (percent / 100)) - size
+            for more in {border - size, max(border - size, most), border}:  # the last is no close pair
+                a, b = pool[:size], pool[:size + more]
+                (close if 100 * size >= percent * len(b) else far).add((len(vertices), len(vertices) + 1))
+                pairs.append((len(vertices), len(vertices) + 1))
+                vertices += [(len(vertices) + k, len(x), jaccard_join.parity(x).tolist()) for k, x in enumerate((a, b))]
+        got = jaccard_join.may_link(
+            spark.createDataFrame(pairs, "a long, b long"),
+            spark.createDataFrame(vertices, "vertex long, n long, parity array<bigint>"),
+            percent,
+        )
+        found = {tuple(r) for r in got.collect()}
+        assert close <= found
+        assert far and not far & found
+
 
 class TestRepeatedSpans:
     @pytest.mark.parametrize("most", [100_000, 1])

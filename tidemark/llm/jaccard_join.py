@@ -136,9 +136,13 @@ def signatures(ordered: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarra
 
 
 def parity(own: np.ndarray) -> np.ndarray:
-    """Which of about two bits per n-gram are hit an odd number of times, as 64-bit numbers."""
+    """Which of about two bits per n-gram are hit an odd number of times, as 64-bit numbers.
+
+    The slot in half as many bits is the slot without its top bit: halves of a row add up to the shorter row.
+    """
     bits = min(max(256, 1 << (2 * len(own)).bit_length()), MOST_PARITY_BITS)
-    slots = ((own * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    mixed = (own * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
+    slots = (mixed & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(slots, minlength=bits) & 1).view(np.int64)
 
 

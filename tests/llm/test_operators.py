@@ -114,6 +114,31 @@ class TestJaccardJoin:
 
             assert len(np.intersect1d(entries(a), entries(b)))
 
+    @pytest.mark.parametrize("seed", range(4))
+    def test_close_sets_share_an_entry_at_four_fifths(self, seed):
+        rng = np.random.default_rng(seed)
+        tried = 0
+        for _ in range(300):
+            size = int(rng.integers(4, 400))
+            pool = rng.permutation(np.unique(rng.integers(0, 1 << 62, 2 * size + 40, dtype=np.uint64)))
+            often = {int(x): int(rng.integers(0, 3)) for x in pool}
+            a = pool[:size]
+            gone, more = rng.integers(0, size // 5 + 1), rng.integers(0, size // 4 + 1)
+            b = np.concatenate([a[gone:], pool[size : size + more]])
+            both = len(np.intersect1d(a, b))
+            if 100 * both < 80 * (len(a) + len(b) - both):
+                continue
+            tried += 1
+
+            def entries(own):
+                own = np.sort(own)
+                counts = np.array([often[int(x)] for x in own])
+                order = np.argsort(counts, kind="stable")
+                return jaccard_join.signatures(own[order], counts[order] == 0, 80)
+
+            assert len(np.intersect1d(entries(a), entries(b)))
+        assert tried > 50
+
     @pytest.mark.parametrize("percent", [90, 80])
     def test_parity_bits_keep_close_pairs(self, spark, percent):
         rng = np.random.default_rng(percent)

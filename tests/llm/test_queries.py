@@ -67,3 +67,21 @@ def test_pipeline_stages_keep_the_columns(spark, docs, no_docs):
         out = stage(spark, no_docs, SF)
         assert out.columns == no_docs.columns
         assert out.count() == 0
+
+
+def test_pipeline_drops_near_copies_of_five_words(spark):
+    """One changed word in 50 leaves 5-word Jaccard at 0.8 or more, 3-word Jaccard below 0.9."""
+    rows, far = [], []
+    for k in range(6):
+        words = [f"w{k}x{i}" for i in range(400 + 100 * k)]
+        near = [w if i % 50 != 25 else f"{w}new" for i, w in enumerate(words)]
+        other = [w if i % 20 != 10 else f"{w}new" for i, w in enumerate(words)]
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(near)), (3 * k + 2, " ".join(other))]
+        far.append(3 * k + 2)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.drop_near_copies(spark, frame, "")
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    for k in range(0, len(rows), 3):
+        assert len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1])
+        assert len(sets[k] & sets[k + 2]) < 0.8 * len(sets[k] | sets[k + 2])
+    assert sorted(r.doc_id for r in got.collect()) == sorted([*range(0, len(rows), 3), *far])

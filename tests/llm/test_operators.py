@@ -343,6 +343,35 @@ class TestLanguageId:
             elif lang and len(text) > 150:
                 assert found.lang_pred == lang
 
+    def test_small_samples_do_not_win(self, spark, docs, rows):
+        odd = [(900, "", "xa"), (901, "12 ...", "xb"), (902, "a", "xc"), (903, "ok", "xd"), (904, "the", "xe")]
+        some = docs.select("doc_id", "text", "lang")
+        samples = language_id.sample_labelled(some.union(spark.createDataFrame(odd, some.schema)))
+        assert samples.languages == ("en", "fr", "ja", "xc", "xd", "xe")
+        got = language_id.identify(docs.withColumn("held_out", F.lit(False)), samples).collect()
+        named = {r.doc_id: r.lang_pred for r in got}
+        for doc_id, text, lang in rows:
+            if doc_id is not None and lang and text and len(text) > 150:
+                assert named[doc_id] == lang
+
+    def test_sample_takes_whole_rows(self, spark):
+        texts = [(k, f"{'opening ' * 60}{k} rest of the text {k}", "en") for k in range(4)]
+        texts += [(10 + k, "é" * 50_000 + "z" * 50_000, "fr") for k in range(3)]
+        frame = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+        samples = language_id.sample_labelled(frame)
+        assert sorted(samples.texts[0]) == sorted(t for _, t, lang in texts if lang == "en")
+        assert [len(t.encode()) <= 8_192 for t in samples.texts[1]] == [True] * 3
+        assert sum(len(t.encode()) for t in language_id.sample_labelled(frame, 800).texts[0]) <= 900
+
+    def test_cost_of_bytes_that_a_sample_lacks(self):
+        parser = language_id.Parser(language_id.LanguageSamples(("a", "b"), (("banana band",), ("cocoa",))))
+        data = np.frombuffer(b"banzz" + b"" + b"coco", np.uint8)
+        got = parser.cost(data, np.array([0, 5, 5, 9]))
+        ban, coco = parser.costs
+        assert parser.unseen == 8
+        # the last phrase of a text counts also where nothing is left for it
+        assert np.allclose(got, [[2 * ban + 16, 2 * coco + 32], [0, 0], [ban + 32, coco]])
+
     def test_phrases_against_plain(self):
         samples = language_id.LanguageSamples(("a", "b"), (("banana band", "nab"), ("cocoa", "tacit xx")))
         parser = language_id.Parser(samples)

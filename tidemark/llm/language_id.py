@@ -2,7 +2,8 @@
 
 One suffix automaton per language is built over a bounded sample of labelled text. A text is parsed
 greedily by each of them: a phrase is the longest match that starts where the last phrase ended. The
-language that needs the fewest phrases, each costing log2 of its sample's length, wins.
+language that needs the fewest phrases, each costing log2 of its sample's length, wins. A byte that a
+language's sample lacks costs the same in every language, and no less than 8 bits or any phrase.
 
 Text is read as bytes: A-Z as a-z, everything in ASCII that is no letter as one symbol. Texts are parsed
 whole, in blocks of ``BLOCK`` bytes at whose borders a phrase ends, so that many blocks advance together.
@@ -34,22 +35,39 @@ class LanguageSamples:
     texts: tuple[tuple[str, ...], ...]
 
 
-def sample_labelled(labelled: DataFrame, rows: int = 96, chars: int = 320) -> LanguageSamples:
-    """Of each language ``rows`` rows at most, drawn by the hash of their id, each with ``chars`` characters at most.
+def sample_labelled(labelled: DataFrame, size: int = 65_536, rows: int = 256) -> LanguageSamples:
+    """Of each language about ``size`` bytes of text with letters, drawn by the hash of the rows' ids.
 
-    ``labelled`` has doc_id, lang and text; rows that lack one of them are not drawn. This is the only
-    bounded sample here: every text is judged whole.
+    ``labelled`` has doc_id, lang and text; rows that lack one of them are not drawn, nor are texts without
+    a letter. Rows are taken whole, ``rows`` at most; of one that is longer than an eighth of ``size`` a
+    part of that length is taken, from a place that the hash gives. A language of which nothing with a
+    letter is drawn is not learned. This is the only bounded sample here: every text is judged whole.
     """
-    usable = labelled.filter("doc_id is not null and lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = usable.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows)
-    ids = [r.doc_id for r in drawn.collect()]
-    found: dict[str, list[tuple[int, str]]] = {}
-    texts = usable.filter(F.col("doc_id").isin(ids)).select("doc_id", "lang", F.substring("text", 1, chars).alias("t"))
+    share = max(1, size // 8)
+    usable = labelled.filter("doc_id is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}"))
+    order = Window.partitionBy("lang").orderBy("_hash", "doc_id", "_text")
+    keys = usable.select(
+        "doc_id", "lang", F.xxhash64("doc_id").alias("_hash"), F.xxhash64("text").alias("_text"), F.octet_length("text").alias("_size")
+    )
+    drawn = keys.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows).collect()
+    taken: dict[str, int] = {}
+    places: dict[tuple, int] = {}
+    for r in sorted(drawn, key=lambda r: (r.lang, r._n)):
+        if taken.get(r.lang, 0) < size:
+            taken[r.lang] = taken.get(r.lang, 0) + min(r._size, share)
+            places[r.lang, r.doc_id, r._text] = r._n
+    start = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("place")), F.greatest(F.length("text") - share + 1, F.lit(1))).cast("int")
+    part = F.when(F.octet_length("text") <= share, F.col("text")).otherwise(F.col("text").substr(start + 1, F.lit(share)))
+    ids = sorted({key[1] for key in places})
+    texts = usable.filter(F.col("doc_id").isin(ids)).select("doc_id", "lang", F.xxhash64("text").alias("_text"), part.alias("t"))
+    found: dict[str, dict[int, str]] = {}
     for r in texts.collect():
-        found.setdefault(r.lang, []).append((r.doc_id, r.t))
+        place = places.get((r.lang, r.doc_id, r._text))
+        cut = r.t.encode()[:share].decode(errors="ignore")
+        if place is not None and any(c.isalpha() for c in cut):
+            found.setdefault(r.lang, {})[place] = cut
     languages = tuple(sorted(found))
-    return LanguageSamples(languages, tuple(tuple(t for _, t in sorted(found[x])[:rows]) for x in languages))
+    return LanguageSamples(languages, tuple(tuple(found[x][n] for n in sorted(found[x])) for x in languages))
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -112,6 +130,11 @@ class Parser:
         width = len(seen) + 1
         self.tables = [self._table(automaton([self.codes[t].tolist() for t in texts]), width) for texts in coded]
         self.costs = np.array([np.log2(2 + sum(len(t) for t in texts)) for texts in coded])
+        self.lacking = np.ones((len(coded), width), bool)  # language, code
+        for own, texts in zip(self.lacking, coded, strict=True):
+            for t in texts:
+                own[self.codes[t]] = False
+        self.unseen = max(8.0, self.costs.max(initial=0.0))  # bits of a byte that a sample lacks
 
     @staticmethod
     def _table(step: list[dict[int, int]], width: int) -> np.ndarray:
@@ -156,6 +179,17 @@ class Parser:
         return out
 
 
+    def cost(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Bits per text (rows) and language (columns)."""
+        codes = self.codes[_FOLD][data]
+        filled = np.flatnonzero(np.diff(starts))
+        lacked = np.zeros((len(starts) - 1, len(self.tables)))
+        for column, own in enumerate(self.lacking):
+            if len(filled):
+                lacked[filled, column] = np.add.reduceat(own[codes], starts[:-1][filled], dtype=np.int64)
+        return (self.phrases(data, starts) - lacked) * self.costs + lacked * self.unseen
+
+
 _parsers: dict[LanguageSamples, Parser] = {}
 
 
@@ -171,7 +205,7 @@ def predict(parser: Parser, languages: tuple[str, ...], texts: pa.Array) -> tupl
     data, starts = flat_text(texts)
     if not languages or not len(texts):
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    cost = parser.phrases(data, starts) * parser.costs
+    cost = parser.cost(data, starts)
     best = cost.argmin(axis=1)
     if len(languages) == 1:
         return [languages[0]] * len(texts), np.ones(len(texts))

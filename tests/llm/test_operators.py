@@ -204,6 +204,35 @@ class TestPersonalData:
         assert [(k, text[a:b]) for k, a, b in added] == [("phone", "49 30 1234567")]
         assert personal_data.added_spans(field, text[20:], [], 0.9) == []
 
+    def test_fitted_field_adds_other_forms(self, spark):
+        """Weights and limit as they are learned: an entity that comes again in another form is added, other digits are not."""
+        rng = np.random.default_rng(3)
+
+        def entities():
+            d = "".join(map(str, rng.integers(0, 10, 10)))
+            card = next(c for c in (f"4{d}{k:05d}" for k in range(100)) if personal_data.luhn(c))
+            return f"+49 3{d[1]} {d[2:9]}", " ".join(card[k : k + 4] for k in range(0, 16, 4)), f"me{d[:3]}@site{d[3]}.org"
+
+        texts = []
+        for k in range(200):
+            phone, card, mail = entities()
+            texts.append((k, f"Some words. Reach {phone} at noon, or {mail} for more; pay by {card} if need be. Host 10.0.{k}.1 is up."))
+        field = personal_data.fit_field(spark.createDataFrame(texts, "doc_id long, text string"))
+        hits = wrong = 0
+        for _ in range(20):
+            phone, card, mail = entities()
+            again = [phone[1:], card.replace(" ", "."), mail.replace("@", " [at] ").replace(".", " [dot] ")]
+            filler = " and so on" * 30
+            text = f"Reach {phone} or {mail}, pay by {card}.{filler} {again[0]} then{filler} {again[1]} then{filler} {again[2]} then"
+            digits = entities()
+            text += f"{filler} {digits[0][1:]} then {filler} {digits[1].replace(' ', '.')} then on 2024-01-15"
+            added = personal_data.added_spans(field, text, personal_data.base_spans(text), field.sure)
+            found = [(kind, text[a:b]) for kind, a, b in added]
+            hits += sum(x in found for x in zip(("phone", "card", "email"), again, strict=True))
+            wrong += sum(x[1] not in again for x in found)
+        assert hits >= 54
+        assert wrong <= 1
+
     def test_exact_on_a_tree(self):
         """Without circles the messages give the true marginals."""
         rng = np.random.default_rng(1)

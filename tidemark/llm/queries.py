@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts, tool_calls
+from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts, tool_calls, vector_codes, word_lexicon
 from .common import id_bucket, table
 from .tool_calls import Param, Tool
 
@@ -281,3 +281,59 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     linked = tool_calls.link_calls(conversation_calls(turns), conversation_results(turns), TOOLS)
     return linked.withColumn("errors", F.array_join("errors", ","))
+
+
+@query()
+def op12_word_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_lexicon.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _op13_round(number: int, books: str) -> str:
+    """One assignment of all parts to the codebooks ``books``, and the codebooks after it."""
+    return f"""
+near{number} AS (
+  SELECT vec_id, p, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+    SELECT x.vec_id, x.p, b.e, list_sum(list_transform(range(1, len(x.v) + 1), lambda i : (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))) AS d
+    FROM parts x JOIN {books} b ON x.p = b.p
+  ) GROUP BY ALL
+)"""
+
+
+def _op13_books(number: int, before: str) -> str:
+    return f"""
+books{number} AS (
+  SELECT b.p, b.e, CASE WHEN m.v IS NULL THEN b.v ELSE m.v END AS v FROM {before} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT p, e, i, sum(c) AS s, count(*) AS n FROM (
+        SELECT x.p, a.e, unnest(range(1, len(x.v) + 1)) AS i, unnest(x.v) AS c
+        FROM near{number} a JOIN parts x ON a.vec_id = x.vec_id AND a.p = x.p
+      ) GROUP BY ALL
+    ) GROUP BY ALL
+  ) m ON b.p = m.p AND b.e = m.e
+)"""
+
+
+OP13_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x : CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x : isfinite(x))) = len(embedding)
+), parts AS (
+  SELECT vec_id, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS v FROM (SELECT vec_id, v, unnest(range(16)) AS p FROM kept)
+), books0 AS (
+  SELECT p, e, v FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64
+  ) USING (vec_id)
+), {_op13_round(1, "books0")}, {_op13_books(1, "books0")}, {_op13_round(2, "books1")}, {_op13_books(2, "books1")}, {_op13_round(3, "books2")},
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near3 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), digest
+"""
+
+
+@query(OP13_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.product_codes(table(spark, sf_dir, "embeddings"))

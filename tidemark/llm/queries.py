@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, token_counts, tool_calls, vector_codes, word_lexicon
+from . import context_tree, decontamination, jaccard_join, language_id, personal_data, quality_rules, repeated_spans, sentencepiece_bpe, structure_repair, token_counts, tool_calls, vector_codes, word_lexicon
 from .common import id_bucket, table
 from .tool_calls import Param, Tool
 
@@ -337,3 +337,87 @@ FROM codes JOIN kept USING (vec_id), digest
 @query(OP13_SQL)
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.product_codes(table(spark, sf_dir, "embeddings"))
+
+
+# The cheapest repair row by row: per place of the grammar the cost, the audit and the text so far. What cannot be has a
+# cost of a thousand million. A row is first preceded by insertions, then kept, reroled or deleted.
+
+
+def _op11_edit(state: str, cost: str, letter: str, line: str | None) -> str:
+    text = f"{state}.t" if line is None else f"{state}.t || chr(10) || {line}"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}}"
+
+
+_OP11_INSERTED = f"""
+  SELECT * REPLACE (least(a, {_op11_edit("u", "5", "I", "'assistant:'")}) AS a) FROM (
+    SELECT * REPLACE (least(u, {", ".join(_op11_edit(q, "5", "I", "'user:'") for q in ("s0", "s1", "a"))}) AS u) FROM walk
+  )"""
+
+
+def _op11_row(place: str, keeps: dict[str, str], gives: tuple[str, str] | None) -> str:
+    options = [_op11_edit(place, "2", "D", None)]
+    stays = "extra + CASE WHEN goes THEN 1000000000 ELSE 0 END"
+    for state, first in keeps.items():
+        options.append(_op11_edit(state, f"{stays} + CASE WHEN initial = '{first}' THEN 0 ELSE 1000000000 END", "K", "role || ':' || text"))
+        if gives:
+            options.append(_op11_edit(state, f"1 + {stays}", "R", f"'{gives[1]}:' || text"))
+    return f"least({', '.join(options)})" if len(options) > 1 else options[0]
+
+
+OP11_SQL = f"""
+WITH RECURSIVE byte(n, k, c) AS (
+  SELECT n, 0, CAST(n AS BIGINT) FROM range(256) r(n)
+  UNION ALL SELECT n, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM byte WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY n) AS t FROM byte WHERE k = 8
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), hit AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(name, ''), lambda x : CAST(ord(x) AS BIGINT))),
+    lambda c, x : xor(t[CAST(xor(c, x) & 255 AS INTEGER) + 1], c >> 8))) % 20 AS kind
+  FROM named, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hit)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged
+), rows AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM (
+    SELECT *, left(role, 1) AS initial, CASE WHEN text_end = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+      WHEN right(text_end, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text_end FROM placed)
+  )
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, {{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}} AS s0,
+    {", ".join(f"{{'c': CAST(1000000000 AS BIGINT), 'a': '', 't': ''}} AS {q}" for q in ("s1", "u", "a"))}
+  FROM (SELECT DISTINCT conv_id FROM rows)
+  UNION ALL
+  SELECT w.conv_id, r.n, {_op11_row("s0", {}, None)}, {_op11_row("s1", {"s0": "s"}, None)},
+    {_op11_row("u", {"s0": "u", "s1": "u", "a": "u"}, ("u", "user"))}, {_op11_row("a", {"u": "a"}, ("a", "assistant"))}
+  FROM ({_OP11_INSERTED}) w JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.n = w.n + 1
+), ends AS (
+  SELECT conv_id, least(s0, a) AS best FROM ({_OP11_INSERTED})
+  QUALIFY n = max(n) OVER (PARTITION BY conv_id)
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+    count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+    count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM rows) GROUP BY conv_id
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted ON c.conv_id IS NOT DISTINCT FROM counted.conv_id LEFT JOIN ends ON c.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+@query(OP11_SQL)
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return structure_repair.repair_report(turns, structure_repair.damaged(turns))

@@ -12,7 +12,7 @@ from tidemark.operators.replay import replay
 from tidemark.operators.skew import SkewPolicy
 from tidemark.spec import ChangeSpec, Column, Link, Mapping
 
-ALL_HOT = SkewPolicy(hot_rows=1, sample=1.0, slice_rows=4)
+ALL_HOT = SkewPolicy(hot_rows=1, sample=1.0, slice_rows=4, chain=3)
 SOME_HOT = SkewPolicy(hot_rows=30, sample=1.0, slice_rows=40)
 SCHEMA = "id long, op string, k1 int, k2 string, ok boolean, a string, b long"
 

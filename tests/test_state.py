@@ -199,7 +199,7 @@ def test_two_writers_conflict(spark, store):
         run_cycle(store, spec, good(spark, (1, "I", 7)), base=base)
     assert target_of(store) == TARGET and len(store.read("history").collect()) == 17
     # What the loser wrote goes with the next clean-up.
-    assert len(store.vacuum(keep=1)) == 4
+    assert {d.split("/")[0] for d in store.vacuum(keep=1)} == {"target", "links", "history"}
     assert target_of(store) == TARGET
     check_links(store)
 

@@ -53,11 +53,11 @@ def user_link(user_id: Any, section: Any) -> Link:
 def orders_spec(stamped: bool = False, **changed: Any) -> ChangeSpec:
     """Spec of the example; keyword arguments override its fields.
 
-    ``stamped`` adds the time of the last write to each target row.
+    ``stamped`` adds the instant of the run that last wrote it to each target row.
     """
     columns, target = dict(ORDER_COLUMNS), dict(ORDER_TARGET)
     if stamped:
-        columns["synced_at"], target["synced_at"] = "current_timestamp()", Column("timestamp")
+        columns["synced_at"], target["synced_at"] = ":AS_OF", Column("timestamp")
     settings: dict[str, Any] = {
         "business_keys": ("order_id",),
         "target": target,

@@ -22,6 +22,7 @@ from .names import (
     OUTCOME,
     SKIPPED_BADROW,
     UPDATED,
+    own,
 )
 from .ranks import with_rank
 
@@ -46,6 +47,16 @@ def history_rows(outcomes: DataFrame, spec: ChangeSpec, as_of: datetime | None =
     return outcomes.select(*out)
 
 
+def record_columns(as_of: datetime) -> dict[str, Column]:
+    """The columns of an audit record that follow its keys, from rows that a replay has classified."""
+    return {
+        "operation": F.col(own(OP)),
+        OUTCOME: F.col(own(OUTCOME)),
+        DETAIL: F.substring(own(DETAIL), 1, DETAIL_LENGTH),
+        RECORDED_AT: F.lit(as_of),
+    }
+
+
 def history_merge(history: DataFrame, fresh: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Upsert on change id: a change that was processed again shows its latest run."""
     return key_join(history, fresh, [spec.order_key], "left_anti", null_safe=False).unionByName(fresh)
@@ -142,9 +153,9 @@ def outcome_totals(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy(OUTCOME).agg(F.count("*").alias("rows"))
 
 
-def run_counts(outcomes: DataFrame) -> DataFrame:
-    """The counters of one cycle in a single row."""
-    return outcomes.agg(*_counts())
+def run_counts(outcomes: DataFrame, *more: Column) -> DataFrame:
+    """The counters of one cycle in a single row, and ``more``."""
+    return outcomes.agg(*_counts(), *more)
 
 
 def batch_counts(

@@ -106,6 +106,17 @@ def _resolve(summary: DataFrame, spec: ChangeSpec, keep_old: bool) -> DataFrame:
     )
 
 
+def is_image_row(spec: ChangeSpec) -> Column:
+    """Classified rows that the image is made of: those that took effect, deletes, and the target's own rows."""
+    removes = (F.col(own(OUTCOME)) == DELETED) & F.lit(spec.delete is None)
+    return F.coalesce(removes | F.col(own(EFFECTIVE)) | (F.col(own(KIND)) == TARGET_SEED), F.lit(False))
+
+
+def changed_rows(image: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """Id, key and columns of every row of the image, and whether it is still there."""
+    return image.select(spec.id_column, *spec.business_keys, *spec.columns, ALIVE)
+
+
 def image_of(rows: DataFrame, spec: ChangeSpec, with_target: bool) -> DataFrame:
     """Row per business key that the log wrote to: its final values, or that it is gone."""
     return _resolve(_summary(rows, spec, with_target), spec, with_target)

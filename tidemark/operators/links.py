@@ -56,6 +56,15 @@ def merge_links(links: DataFrame | None, image: DataFrame, spec: ChangeSpec) ->
     return links.join(gone, links[parent] == gone["_id"], "left_anti").unionByName(fresh)
 
 
+def link_changes(image: DataFrame, spec: ChangeSpec, gone: str) -> DataFrame:
+    """Links of new rows, and for each removed row the parent id alone, with ``gone`` set."""
+    fresh = _link_rows(image.where(F.col(LINKED)), spec, spec.id_column).withColumn(gone, F.lit(False))
+    parent = _need_link(spec).parent_column
+    removed = image.where(F.col(REMOVED_ID).isNotNull())
+    removed = removed.select(F.col(REMOVED_ID).cast(fresh.schema[parent].dataType).alias(parent), F.lit(True).alias(gone))
+    return fresh.unionByName(removed, allowMissingColumns=True)
+
+
 def new_ids(outcomes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Id given to each inserted row: the key of the change that created it.
 

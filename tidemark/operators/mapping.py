@@ -82,9 +82,10 @@ def prepare(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     that they share only once. Columns nobody reads are pruned by Catalyst.
     """
     changes = spec.canonical(changes)
-    names = spec.check_source(changes)
+    names = {spec.as_of_bind.lower(): own("as_of")} | spec.check_source(changes)
     rows = changes.select(
         *[F.col(f"`{c}`") for c in changes.columns],
+        (F.current_timestamp() if spec.as_of is None else F.lit(spec.as_of)).alias(own("as_of")),
         F.col(spec.order_key).alias(ORDER),
         op_text(spec).alias(own(OP)),
     ).withColumn(own(KIND), kind_of(F.col(own(OP)), spec))

@@ -10,7 +10,7 @@ rows, target and quarantine meet in a single exchange and null keys compare as e
 
 Hot keys are cut into slices of consecutive changes. A first pass over their rows alone runs
 the presence window per slice, leaving "depends on what came before" open; a slice then
-boils down to one summary row, the summaries (a few per hot key) are chained in order, and
+boils down to one summary row, the summaries are chained in order, level by level where there are many, and
 what each slice inherits is joined back. The windows proper run per key and slice, in one
 exchange for all keys, hot or not. No task ever holds all changes of a hot key.
 """
@@ -55,7 +55,7 @@ from .names import (
     own,
     value_column,
 )
-from .skew import DEFAULT_SKEW, SLICE, SkewPolicy, find_hot_keys, match_keys, with_slice
+from .skew import DEFAULT_SKEW, SLICE, HotKeys, SkewPolicy, find_hot_keys, match_keys, with_slice
 
 QUARANTINED_DETAIL = "business key is quarantined"
 DECISIVE, LINK_REASON = own("decisive"), own("link_reason")
@@ -130,7 +130,7 @@ def _local_presence(rows: DataFrame, spec: ChangeSpec, partition: list[str]) ->
 
 @dataclass(frozen=True)
 class Carried:
-    """What each slice of a hot key inherits; one row per slice, bounded by the skew policy."""
+    """What each slice of a hot key inherits; one row per slice."""
 
     states: DataFrame
     null_safe: bool
@@ -191,42 +191,65 @@ def _outcomes(rows: DataFrame, spec: ChangeSpec) -> DataFrame:
     return rows.withColumn(own(CREATES), F.col(own(EFFECTIVE)) & ~present)
 
 
-def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str]) -> DataFrame:
+def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str], hot: HotKeys) -> DataFrame:
     """State that each slice of a hot key inherits from the slices before it."""
     local = _local_presence(rows, spec, [*keys, SLICE])
     # How the slice ends depends on how it starts only while no row has settled presence.
     at = F.struct(F.col(ORDER).isNotNull(), F.col(ORDER))
     summary = local.groupBy(*keys, SLICE).agg(
-        F.max_by(DECISIVE, F.when(F.col(DECISIVE).isNotNull(), at)).alias("_ends"),
-        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(True)))).alias("_fails_if_there"),
-        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(False)))).alias("_fails_if_absent"),
+        F.max_by(DECISIVE, F.when(F.col(DECISIVE).isNotNull(), at)).alias(_ENDS),
+        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(True)))).alias(_IF_THERE),
+        F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(False)))).alias(_IF_ABSENT),
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = F.coalesce(F.last("_ends", ignorenulls=True).over(earlier), F.lit(False))
-    chained = summary.withColumn(PRESENT_IN, starts).withColumn(
-        "_failed", F.when(F.col(PRESENT_IN), F.col("_fails_if_there")).otherwise(F.col("_fails_if_absent"))
-    )
-    return chained.select(
+    return _chained(summary, keys, hot.most, max(2, hot.chain), hot.null_safe)
+
+
+_ENDS, _IF_THERE, _IF_ABSENT, _GROUP = own("ends"), own("if_there"), own("if_absent"), own("group")
+
+
+def _chained(summary: DataFrame, keys: list[str], most: int, chain: int, null_safe: bool) -> DataFrame:
+    """What each slice inherits, from a summary per slice: how it ends (null: as it starts), and whether an
+    insert fails in it if the row is there, or absent, when it starts.
+
+    A task chains ``chain`` slices at most. Where a key has more, groups of them are summed up in the same form and chained
+    in turn, until one group is left; what a group inherits then goes to its slices.
+    """
+    group = F.floor(F.col(SLICE) / chain).cast("int")
+    within = [*keys, _GROUP]
+    summary = summary.withColumn(_GROUP, group)
+    earlier = Window.partitionBy(*within).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(_ENDS, ignorenulls=True).over(earlier)
+    fails = lambda start: F.when(F.coalesce(before, F.lit(start)), F.col(_IF_THERE)).otherwise(F.col(_IF_ABSENT))
+    summary = summary.withColumns({own("before"): before, own("f1"): fails(True), own("f0"): fails(False)})
+    if most <= chain:
+        carried = summary.withColumns({PRESENT_IN: F.lit(False), FAILED_IN: F.lit(False)})
+    else:
+        at = F.when(F.col(_ENDS).isNotNull(), F.col(SLICE))
+        above = summary.groupBy(*keys, F.col(_GROUP).alias(SLICE)).agg(
+            F.max_by(_ENDS, at).alias(_ENDS), F.max(own("f1")).alias(_IF_THERE), F.max(own("f0")).alias(_IF_ABSENT)
+        )
+        groups = _chained(above, keys, -(-most // chain), chain, null_safe).withColumnRenamed(SLICE, _GROUP)
+        carried = match_keys(summary, groups, within, "inner", null_safe)
+    failed = F.when(F.col(PRESENT_IN), F.col(own("f1"))).otherwise(F.col(own("f0")))
+    return carried.select(
         *keys,
         SLICE,
-        PRESENT_IN,
-        F.coalesce(F.max("_failed").over(earlier), F.lit(False)).alias(FAILED_IN),
+        F.coalesce(F.col(own("before")), F.col(PRESENT_IN)).alias(PRESENT_IN),
+        (F.col(FAILED_IN) | F.coalesce(F.max(failed).over(earlier), F.lit(False))).alias(FAILED_IN),
     )
 
 
 def _seeds(
-    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None
+    rows: DataFrame, spec: ChangeSpec, target: DataFrame | None, quarantine: DataFrame | None, near: bool
 ) -> list[DataFrame]:
-    """Starting state of the keys that occur in the log."""
+    """Starting state of the keys that occur in the log; ``near`` if it has no others."""
     keys = list(spec.business_keys)
     out = []
     if target is None and quarantine is None:
         return out
     touched = rows.where(F.col(own(KIND)).isNotNull()).select(*keys).distinct()
     if target is not None:
-        there = key_join(target, touched, keys, "left_semi", spec.nullable_keys)
+        there = target if near else key_join(target, touched, keys, "left_semi", spec.nullable_keys)
         out.append(
             there.select(
                 *keys,
@@ -237,7 +260,7 @@ def _seeds(
         )
     if quarantine is not None and spec.quarantine:
         blocked = key_types_of(quarantine, rows, keys).distinct()
-        blocked = key_join(blocked, touched, keys, "left_semi")
+        blocked = blocked if near else key_join(blocked, touched, keys, "left_semi")
         out.append(blocked.select(*keys, F.lit(QUARANTINE_SEED).alias(own(KIND))))
     return out
 
@@ -247,12 +270,14 @@ def classify(
     spec: ChangeSpec,
     target: DataFrame | None = None,
     quarantine: DataFrame | None = None,
-    skew: SkewPolicy | None = DEFAULT_SKEW,
+    skew: SkewPolicy | HotKeys | None = DEFAULT_SKEW,
     known_only: bool = False,
+    near: bool = False,
 ) -> DataFrame:
     """Outcome of every change; the seed rows of the starting state are still among them.
 
-    ``known_only`` leaves out rows with an unknown operation, which change nothing.
+    ``skew`` is a policy, or the hot keys already found. ``known_only`` leaves out rows with an unknown operation, which
+    change nothing. ``near`` tells that target and quarantine hold keys of the log only.
     """
     changes = spec.canonical(changes)
     keys = list(spec.business_keys)
@@ -260,20 +285,24 @@ def classify(
     if known_only:
         rows = rows.where(F.col(own(KIND)).isNotNull())
     frame = rows.withColumn(OLD_ID, F.lit(None).cast(rows.schema[ORDER].dataType))
-    for seed in _seeds(rows, spec, target, quarantine):
+    for seed in _seeds(rows, spec, target, quarantine, near):
         frame = frame.unionByName(seed, allowMissingColumns=True)
 
-    hot = find_hot_keys(changes, keys, spec.order_key, skew) if skew else None
+    hot = find_hot_keys(changes, keys, spec.order_key, skew) if isinstance(skew, SkewPolicy) else skew
     if hot is None:
         return _classify(frame, spec, keys)
     sliced = with_slice(frame, hot, keys, ORDER)
-    carried = _carry(sliced.where(F.col(SLICE).isNotNull()), spec, keys)
+    carried = _carry(sliced.where(F.col(SLICE).isNotNull()), spec, keys, hot)
     sliced = sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0)))
     return _classify(sliced, spec, [*keys, SLICE], Carried(carried, hot.null_safe))
 
 
+def is_seed() -> Column:
+    return F.coalesce(F.col(own(KIND)).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False))
+
+
 def without_seeds(rows: DataFrame) -> DataFrame:
-    return rows.where(~F.coalesce(F.col(own(KIND)).isin(TARGET_SEED, QUARANTINE_SEED), F.lit(False)))
+    return rows.where(~is_seed())
 
 
 def replay(

@@ -6,13 +6,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import Scratch
 from .names import own
+from .ranks import with_rank
 
 SLICE, _BLOCK, _OF_BLOCK = own("slice"), own("block"), own("of_block")
-_BORDERS, _LOW, _HIGH, _COUNT, _STEP = own("borders"), own("low"), own("high"), own("count"), own("step")
+_LOW, _HIGH, _STEP = own("low"), own("high"), own("step")
 _POINTS_PER_SLICE = 32
 
 
@@ -22,18 +24,14 @@ class SkewPolicy:
 
     ``hot_rows``: estimated changes from which a key counts as hot.
     ``sample``: share of rows looked at to estimate. It steers layout only, never results.
-    ``max_hot``: bound on the list of hot keys. A key beyond it holds less than 1/max_hot of
-    the log and takes the ordinary path.
     ``slice_rows``: changes per slice of a hot key.
-    ``max_slices``: bound on the slices of all hot keys together, beyond one for each; slices
-    grow where it is reached.
+    ``chain``: slices of a key that are chained in one task; more are chained level by level.
     """
 
     hot_rows: int = 10_000_000
     sample: float = 0.001
-    max_hot: int = 10_000
     slice_rows: int = 5_000_000
-    max_slices: int = 4_096
+    chain: int = 4_096
 
 
 DEFAULT_SKEW = SkewPolicy()
@@ -41,13 +39,15 @@ DEFAULT_SKEW = SkewPolicy()
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys with the sorted order keys at which their changes are cut.
+    """The slices of the hot keys: a stored table with a row per slice and the order keys between which it lies.
 
-    ``null_safe`` tells whether a key with a null is among them; a plain comparison of key
-    columns is a good deal faster.
+    ``most`` is the number of slices of the hottest key. ``null_safe`` tells whether a key with a null is among
+    them; a plain comparison of key columns is a good deal faster.
     """
 
-    table: DataFrame
+    slices: DataFrame
+    most: int
+    chain: int
     null_safe: bool
 
 
@@ -56,36 +56,43 @@ def _bernoulli(rows: DataFrame, share: float, seed: int) -> DataFrame:
 
 
 def find_hot_keys(
-    rows: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy
+    rows: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy, scratch: Scratch | None = None
 ) -> HotKeys | None:
-    """Hot keys and their borders; None if no key is hot.
+    """Hot keys and their slices; None if no key is hot.
 
-    Two passes over samples of the key columns. Only borders come from the samples, so any
-    draw gives the same results. They are fixed here, as a local table of at most
-    ``max_hot`` rows and about ``max_hot + max_slices`` borders, so that every later use of
-    them, and every retry, cuts alike.
+    Two passes over samples of the key columns. Only the borders of slices come from the samples, so any
+    draw gives the same results. There are at most rows / ``hot_rows`` hot keys and, beyond one for each, about rows /
+    ``slice_rows`` slices. They stay in stored tables, so that every later use of them, and every retry, cuts
+    alike; what comes to the driver is their largest number.
     """
+    scratch = scratch or Scratch(rows.sparkSession)
+    keys = list(keys)
     sample = _bernoulli(rows.select(*keys), policy.sample, seed=17)
     least = max(1, math.ceil(policy.hot_rows * policy.sample))
     counts = sample.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
-    top = counts.orderBy(F.desc("_n")).limit(policy.max_hot).collect()
-    if not top:
+    hot = scratch.write(counts.select(*keys))
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    found = hot.agg(F.count("*").alias("n"), F.max(any_null).alias("nulls")).first()
+    if not found["n"]:
         return None
-    null_safe = any(value is None for r in top for value in tuple(r)[:-1])
-    hot_rows = sum(r["_n"] for r in top) / policy.sample
-    size = max(policy.slice_rows, hot_rows / policy.max_slices)
-
-    spark, columns = rows.sparkSession, rows.select(*keys, F.col(order).alias("_at"))
-    key_schema = columns.drop("_at").schema
-    listed = spark.createDataFrame([tuple(r)[:-1] for r in top], key_schema)
-    per_slice = max(1, min(_POINTS_PER_SLICE, int(size)))
-    points = match_keys(columns.where(F.col("_at").isNotNull()), listed, keys, "inner", null_safe)
-    # A hot key contributes about `per_slice` points per slice: bounded like the slices.
-    drawn = _bernoulli(points, per_slice / size, seed=23).groupBy(*keys)
-    cuts = F.filter(F.sort_array(F.collect_list("_at")), lambda _, i: F.pmod(i + 1, F.lit(per_slice)) == 0)
-    borders = drawn.agg(cuts.alias(_BORDERS))
-    fixed = spark.createDataFrame([tuple(r) for r in borders.collect()], borders.schema)
-    return HotKeys(fixed.withColumn(_BORDERS, F.sort_array(_BORDERS)), null_safe)
+    null_safe = bool(found["nulls"])
+
+    columns = rows.select(*keys, F.col(order).alias("_at")).where(F.col("_at").isNotNull())
+    per_slice = max(1, min(_POINTS_PER_SLICE, policy.slice_rows))
+    points = match_keys(_bernoulli(columns, per_slice / policy.slice_rows, seed=23), hot, keys, "inner", null_safe)
+    # Every per_slice-th point of a key, in order, begins a new slice. Ranks run over all keys; a key's own begin at its first.
+    ranked = with_rank(points, [*keys, "_at"], scratch)
+    first = ranked.groupBy(*keys).agg(F.min("rank").alias("_first"))
+    own_rank = match_keys(ranked, first, keys, "inner", null_safe)
+    nth = F.col("rank") - F.col("_first") + 1
+    borders = own_rank.where(nth % per_slice == 0).select(*keys, (nth / per_slice).cast("int").alias(SLICE), F.col("_at").alias(_LOW))
+    open_ends = hot.select(*keys, F.lit(0).alias(SLICE), F.lit(None).cast(columns.schema["_at"].dataType).alias(_LOW))
+    following = Window.partitionBy(*keys).orderBy(SLICE)
+    slices = open_ends.unionByName(borders).withColumn(_HIGH, F.lead(_LOW).over(following))
+    slices = scratch.write(slices)
+    return HotKeys(slices, slices.agg(F.max(SLICE)).first()[0] + 1, policy.chain, null_safe)
 
 
 def match_keys(
@@ -96,44 +103,35 @@ def match_keys(
     null_safe: bool,
     also: Column | None = None,
 ) -> DataFrame:
-    """Join a small table on the key columns, and on ``also`` if given.
+    """Join a table of hot keys or their slices on the key columns, and on ``also`` if given.
 
-    ``small`` is broadcast; its callers bound it by the skew policy.
+    ``small`` is broadcast where Spark finds it small enough; where not, AQE splits the hot keys' side.
     """
     renamed = small.withColumnsRenamed({k: own(f"s_{k}") for k in keys})
     condition = F.lit(True) if also is None else also
     for k in keys:
         left, right = F.col(k), F.col(own(f"s_{k}"))
         condition = condition & (left.eqNullSafe(right) if null_safe else left == right)
-    return rows.join(F.broadcast(renamed), condition, how).drop(*[own(f"s_{k}") for k in keys])
+    return rows.join(renamed, condition, how).drop(*[own(f"s_{k}") for k in keys])
 
 
 def with_slice(rows: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -> DataFrame:
     """Add the slice number of each row of a hot key; null for ordinary keys.
 
-    Slice n holds the rows from border n - 1 up to border n; rows without an order key come
-    first. The right one is found by two broadcast joins with about the square root of the
-    number of slices as candidates each: a block of slices, then a slice of that block.
+    Slice n holds the rows from its lower border up to the next one's; rows without an order key come
+    first. The right one is found by two joins with about the square root of the number of slices as
+    candidates each: a block of slices, then a slice of that block.
     """
-    slices = F.size(_BORDERS) + 1
-    cut = hot.table.withColumn(_COUNT, slices).withColumn(_STEP, F.ceil(F.sqrt(slices)).cast("int"))
-    step, block, number = F.col(_STEP), F.col(_BLOCK), F.col(SLICE)
-    last_block = F.floor((F.col(_COUNT) - 1) / step).cast("int")
-    blocks = cut.withColumn(_BLOCK, F.explode(F.sequence(F.lit(0), last_block)))
-    blocks = blocks.select(*keys, _BLOCK, *_range(block * step, (block + 1) * step))
-    parts = cut.withColumn(SLICE, F.explode(F.sequence(F.lit(0), F.col(_COUNT) - 1)))
-    parts = parts.select(
-        *keys, SLICE, F.floor(number / step).cast("int").alias(_OF_BLOCK), *_range(number, number + 1)
-    )
+    step = max(1, math.isqrt(hot.most))
+    of_block = F.floor(F.col(SLICE) / step).cast("int")
+    # A block is open below where its first slice is, and above where its last one is.
+    first, last = F.min_by(_LOW, SLICE), F.max_by(_HIGH, SLICE)
+    blocks = hot.slices.groupBy(*keys, of_block.alias(_BLOCK)).agg(first.alias(_LOW), last.alias(_HIGH))
+    parts = hot.slices.select(*keys, SLICE, of_block.alias(_OF_BLOCK), _LOW, _HIGH)
 
     at, low, high = F.col(order), F.col(_LOW), F.col(_HIGH)
     inside = low.isNull() | F.coalesce(at >= low, F.lit(False))
     inside = inside & (high.isNull() | F.coalesce(at < high, F.lit(True)))
     rows = match_keys(rows, blocks, keys, "left", hot.null_safe, inside).drop(_LOW, _HIGH)
-    rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside & (block == F.col(_OF_BLOCK)))
+    rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside & (F.col(_BLOCK) == F.col(_OF_BLOCK)))
     return rows.drop(_LOW, _HIGH, _BLOCK, _OF_BLOCK)
-
-
-def _range(first: Column, after: Column) -> list[Column]:
-    """Borders around the slices from ``first`` to before ``after``; null where it is open."""
-    return [F.get(_BORDERS, first - 1).alias(_LOW), F.get(_BORDERS, after - 1).alias(_HIGH)]

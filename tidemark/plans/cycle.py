@@ -1,4 +1,9 @@
-"""One replay cycle over stored state, and the loops built from it."""
+"""One replay cycle over stored state, and the loops built from it.
+
+A cycle reads the key columns of its page once and the page itself once more, for the replay. What the replay finds is
+written once, as a narrow audit row per change and a row per effective change with its values. The
+audit rows are the history segment; counters, quarantine and stamps read them back, and the target image reads the others.
+"""
 
 from __future__ import annotations
 
@@ -9,17 +14,20 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import audit
-from ..operators.image import ALIVE, LINKED, REMOVED_ID, image_of, merge_image
+from ..operators import audit, stamps
+from ..operators.image import ALIVE, changed_rows, image_of, is_image_row
 from ..operators.keys import key_join, key_to_text, key_types_of, text_to_key
-from ..operators.links import merge_links
-from ..operators.names import FAILED, OUTCOME
-from ..operators.replay import classify, outcomes_of
-from ..operators.skew import DEFAULT_SKEW, SkewPolicy
+from ..operators.links import link_changes
+from ..operators.names import CREATES, EFFECTIVE, FAILED, KIND, OLD_ID, ORDER, OUTCOME, own, value_column
+from ..operators.replay import classify, is_seed
+from ..operators.skew import DEFAULT_SKEW, SkewPolicy, find_hot_keys
+from ..operators.stamps import Stamps
 from ..sources.changelog import keyset_page, page_borders, queue_page, up_to
 from ..sources.scratch import Scratch
 from ..spec import ChangeSpec
+from .deltas import CYCLE, GONE
 from .store import BUCKET, Commit, Store
 
 Step = Callable[[str], None]
@@ -42,25 +50,28 @@ class CycleResult:
     last_key: str | None
 
 
-def _key_stats(page: DataFrame, spec: ChangeSpec, verify_unique: bool) -> dict[str, Any]:
-    """Size and range of the rows; null or repeated order keys are refused."""
+def _key_stats(keys: DataFrame, spec: ChangeSpec, *more) -> dict[str, Any]:
+    """Size and range of the rows, and ``more``; rows without an order key are refused."""
     key = F.col(spec.order_key)
-    kind = page.schema[spec.order_key].dataType.simpleString()
-    row = page.agg(
+    kind = keys.schema[spec.order_key].dataType.simpleString()
+    row = keys.agg(
         F.count("*").alias("rows"),
         F.count_if(key.isNull()).alias("blank"),
         key_to_text(F.min(key), kind).alias("low"),
         key_to_text(F.max(key), kind).alias("high"),
+        *more,
     ).first()
     if row["blank"]:
         raise OrderKeyError(f"{row['blank']} change rows have no {spec.order_key}")
-    if verify_unique and row["rows"]:
-        repeated = page.groupBy(spec.order_key).count().where("count > 1").limit(1).collect()
-        if repeated:
-            raise OrderKeyError(f"{spec.order_key}={repeated[0][0]} occurs more than once")
     return row.asDict()
 
 
+def _refuse_repeated(rows: DataFrame, spec: ChangeSpec) -> None:
+    repeated = rows.groupBy(spec.order_key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise OrderKeyError(f"{spec.order_key}={repeated[0][0]} occurs more than once")
+
+
 def run_cycle(
     store: Store,
     spec: ChangeSpec,
@@ -84,11 +95,16 @@ def run_cycle(
     base = base or store.latest()
     done = on_step or (lambda _: None)
     as_of = as_of or datetime.now(timezone.utc)
+    spec = replace(spec, as_of=as_of)
     page = spec.canonical(page)
+    keys = list(spec.business_keys)
     scratch = Scratch(store.spark)
+    commit = base.next()
     try:
-        stats = _key_stats(page, spec, verify_unique)
-        commit = base.next()
+        page, narrow = _key_columns(store, base, spec, page, scratch)
+        known = "target" in base.schemas
+        buckets = [F.collect_set(store.bucket_of(base, *keys)).alias("buckets")] if known else []  # at most `buckets`
+        stats = _key_stats(narrow, spec, *buckets)
         if late is not None:
             commit, too_late = _write_late(store, base, commit, late)
             if not too_late and not stats["rows"]:
@@ -101,18 +117,26 @@ def run_cycle(
             store.publish(commit)
             return CycleResult(commit.version, 0, 0, 0, 0, 0, commit.rows, commit.last_key)
 
-        target, page = _target_near(store, base, spec, page)
+        target = _with_new_columns(store.read("target", base, stats["buckets"], narrow), spec) if known else None
         held = store.read("quarantine", base) if spec.quarantine else None
-        rows = classify(page, spec, target, held, skew)
-
-        commit, records = _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch)
+        if held is not None:
+            held = key_join(key_types_of(held, narrow, keys).distinct(), narrow, keys, "left_semi")
+        hot = None
+        if skew is not None and stats["rows"] >= skew.hot_rows:  # a smaller page has no hot key
+            hot = find_hot_keys(narrow, keys, spec.order_key, skew, scratch)
+        rows = classify(page, spec, target, held, hot, near=True)
+
+        commit, records, changes = _write_outcomes(store, commit, spec, rows, as_of, stats)
+        if verify_unique:
+            _refuse_repeated(records, spec)
         done("history")
-        counts = audit.run_counts(records).first().asDict()
-        commit, held_after = _write_quarantine(store, base, commit, spec, records, held, as_of)
+        failed = (F.col(OUTCOME) == FAILED) & (F.col("operation") == spec.op_insert)
+        counts = audit.run_counts(records, F.count_if(failed).alias("_failed_inserts")).first().asDict()
+        commit, fresh = _write_quarantine(store, commit, spec, records.where(failed), counts.pop("_failed_inserts"), as_of)
         done("quarantine")
-        commit = _write_target(store, base, commit, spec, rows, target, scratch, done)
+        commit = _write_target(store, commit, spec, changes, known, scratch, done)
         if queue:
-            commit = _write_marks(store, base, commit, spec, records, held_after)
+            commit = _write_marks(store, base, commit, spec, records, held, fresh, scratch)
             done("marks")
 
         commit = replace(
@@ -125,9 +149,27 @@ def run_cycle(
         store.publish(commit)
     finally:
         scratch.drop()
+        store.files.delete(*_changes_folder(commit).split("/"))
     return CycleResult(commit.version, total=commit.rows, last_key=commit.last_key, **counts)
 
 
+def _key_columns(store: Store, base: Commit, spec: ChangeSpec, page: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The page with the key types that the target has, and its key columns, written where they are used more than once."""
+    if "target" not in base.schemas:
+        return page, page.select(*dict.fromkeys([spec.order_key, *spec.business_keys]))
+    stored = store.read("target", base, only=[])
+    types = {k: stored.schema[k].dataType for k in spec.business_keys}
+    casts = {k: F.col(k).cast(t) for k, t in types.items() if page.schema[k].dataType != t}
+    page = page.withColumns(casts) if casts else page
+    return page, scratch.write(page.select(*dict.fromkeys([spec.order_key, *spec.business_keys])))
+
+
+def _with_new_columns(target: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """The stored target, with nulls in columns that the spec did not have when it was written."""
+    new = {c: F.lit(None).cast(declared.type) for c, declared in spec.target.items() if c not in target.columns}
+    return target.withColumns(new) if new else target
+
+
 def _furthest(store: Store, base: Commit, page: DataFrame, spec: ChangeSpec, high: str) -> str:
     """The resume key after a cycle: it never goes back, though a queue may take late rows."""
     kind = page.schema[spec.order_key].dataType.simpleString()
@@ -137,61 +179,57 @@ def _furthest(store: Store, base: Commit, page: DataFrame, spec: ChangeSpec, hig
     return store.spark.range(1).select(key_to_text(keys, kind)).first()[0]
 
 
-def _target_near(
-    store: Store, base: Commit, spec: ChangeSpec, page: DataFrame
-) -> tuple[DataFrame | None, DataFrame]:
-    """The target's buckets that the page's keys fall into, and the page with stored key types."""
-    target = store.read("target", base, only=[])
-    if target is None:
-        return None, page
-    types = {k: target.schema[k].dataType for k in spec.business_keys}
-    page = page.withColumns({k: F.col(k).cast(t) for k, t in types.items() if page.schema[k].dataType != t})
-    found = page.select(store.bucket_of(base, *types)).distinct().collect()  # at most `buckets`
-    return store.read("target", base, [r[0] for r in found]), page
+FEEDS, AUDIT, IMAGE = "feeds", "audit", "image"
 
 
-def _write_history(store, base, commit, spec, rows, page, as_of, stats, scratch):
-    """Outcome of every row: a new segment. Everything else the cycle books reads it back.
+def _changes_folder(commit: Commit) -> str:
+    """Where the rows for the target image lie until the cycle is over."""
+    return f"{commit.folder('history')}/{FEEDS}={IMAGE}"
 
-    Only segments whose key range meets the new one can hold the same change ids, and they
-    are rewritten only if one does.
-    """
-    wanted = list(dict.fromkeys([spec.order_key, *spec.business_keys]))
-    fresh = audit.history_rows(outcomes_of(rows, wanted, spec), spec, as_of)
-    if not spec.history:
-        return commit, scratch.write(fresh)
-    commit, records, segment = store.write_segment(commit, "history", fresh)
-    segment |= {"low": stats["low"], "high": stats["high"]}
-    old = base.segments.get("history", [])
-    met, widest = _meeting(store, page, spec, old, stats)
-    kept, meeting = [s for i, s in enumerate(old) if i not in met], [old[i] for i in sorted(met)]
-    if meeting:
-        before = store.read_segments(base, "history", meeting)
-        again = key_join(before, records, [spec.order_key], "left_semi", null_safe=False)
-        if again.limit(1).count():
-            rest = key_join(before, records, [spec.order_key], "left_anti", null_safe=False)
-            commit, _, merged = store.write_segment(commit, "history", rest, "rest")
-            meeting = [merged | widest]
-    return store.with_segments(commit, "history", [*kept, *meeting, segment]), records
-
-
-def _meeting(store, page, spec, segments, stats) -> tuple[set[int], dict[str, str]]:
-    """Segments whose key range meets that of the page, and the range they span together.
-
-    The texts are compared in the key's own type, in one query over the commit's list.
+
+def _write_outcomes(store, commit, spec, rows, as_of, stats):
+    """The replay, written once: audit rows as a new history segment, and rows for the target image beside it.
+
+    Returns the commit, the audit rows and the image rows. Files are clustered by the hash of the business key, as
+    the replay leaves its rows, and have bloom filters on it, so that a key's trace skips most of them.
     """
-    if not segments:
-        return set(), {}
-    kind = page.schema[spec.order_key].dataType.simpleString()
-    listed = [(i, s["low"], s["high"]) for i, s in enumerate(segments)]
-    ranges = store.spark.createDataFrame(listed, "i int, low string, high string").select(
-        "i", text_to_key(F.col("low"), kind).alias("low"), text_to_key(F.col("high"), kind).alias("high")
+    known = F.col(own(KIND)).isNotNull()
+    feeds = F.array_compact(F.array(F.when(~is_seed(), AUDIT), F.when(is_image_row(spec), IMAGE)))
+    rows = rows.withColumn(FEEDS, F.explode(feeds))
+    audited, imaged = F.col(FEEDS) == AUDIT, F.col(FEEDS) == IMAGE
+    of_key = {k: F.when(known, F.col(k)) for k in spec.business_keys}
+    if spec.order_key in of_key:
+        of_key[spec.order_key] = F.when(audited, F.col(ORDER)).otherwise(F.col(spec.order_key))
+    records = {spec.order_key: F.col(ORDER)} | of_key | audit.record_columns(as_of) | {CYCLE: F.lit(commit.version)}
+    image = [ORDER, OLD_ID, *[own(c) for c in (KIND, OUTCOME, CREATES, EFFECTIVE)], *[value_column(c) for c in spec.target]]
+    shared = set(spec.business_keys)
+    out = rows.select(
+        *[(c if n in shared else F.when(audited, c)).alias(n) for n, c in records.items()],
+        *[F.when(imaged, F.col(c)).alias(c) for c in image],
+        FEEDS,
     )
-    low, high = text_to_key(stats["low"], kind), text_to_key(stats["high"], kind)
-    row = ranges.where((F.col("low") <= high) & (low <= F.col("high"))).agg(
-        F.collect_list("i"), key_to_text(F.min("low"), kind), key_to_text(F.max("high"), kind)
-    ).first()
-    return set(row[0]), {"low": row[1], "high": row[2]}
+    folder = commit.folder("history")
+    writer = out.write.partitionBy(FEEDS)
+    for k in spec.business_keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+    writer.parquet(store.files.path(folder))
+
+    of = lambda names: T.StructType([f for f in out.schema.fields if f.name in names])
+    there = store.files.names(folder)
+    read = store.spark.read
+    changes = of([*spec.business_keys, *image])
+    if f"{FEEDS}={IMAGE}" in there:
+        changes = read.schema(changes).parquet(store.files.path(_changes_folder(commit)))
+    else:
+        changes = store.spark.createDataFrame([], changes)
+    schema = of([n for n in records if n != CYCLE])
+    path = f"{folder}/{FEEDS}={AUDIT}"
+    found = read.schema(schema).parquet(store.files.path(path))
+    if spec.history:
+        commit = store.with_table(commit, "history", schema, [spec.order_key])
+        segment = {"path": path, "low": stats["low"], "high": stats["high"]}
+        commit = store.with_segments(commit, "history", [*commit.segments.get("history", []), segment])
+    return commit, found, changes
 
 
 def _write_late(store, base, commit, late):
@@ -204,54 +242,77 @@ def _write_late(store, base, commit, late):
     return replace(commit, late=base.late + count), count
 
 
-def _write_quarantine(store, base, commit, spec, records, held, as_of):
-    """Keys whose insert failed in this cycle; they cannot be held already."""
+def _write_quarantine(store, commit, spec, failed, count, as_of):
+    """Keys whose insert failed in this cycle; they cannot be held already. Returns them, None if there are none."""
     if not spec.quarantine:
         return commit, None
-    failed = records.where((F.col(OUTCOME) == FAILED) & (F.col("operation") == spec.op_insert))
-    keys = failed.select(*spec.business_keys).distinct()
-    fresh = keys.withColumn("quarantined_at", F.lit(as_of))
-    commit, written, segment = store.write_segment(commit, "quarantine", fresh)
-    before = base.segments.get("quarantine", [])
-    if not before or written.limit(1).count():
-        commit = store.with_segments(commit, "quarantine", [*before, segment])
     names = list(spec.business_keys)
-    if held is None:
-        return commit, written.select(*names)
-    return commit, key_types_of(held, written, names).unionByName(written.select(*names))
+    fresh = failed.select(*names).distinct().withColumn("quarantined_at", F.lit(as_of))
+    if not count:
+        return store.with_table(commit, "quarantine", fresh.schema), None
+    commit, written, segment = store.write_segment(commit, "quarantine", fresh)
+    commit = store.with_segments(commit, "quarantine", [*commit.segments.get("quarantine", []), segment])
+    return commit, written.select(*names)
 
 
-def _write_target(store, base, commit, spec, rows, target, scratch, done):
+def _write_target(store, commit, spec, changes, known, scratch, done):
     keys = list(spec.business_keys)
-    image = image_of(rows, spec, target is not None)
-    # Read four times below: twice for the buckets it touches, once per table.
-    image = scratch.write(image.withColumn(BUCKET, store.bucket_of(commit, *keys)))
-    touched = [r[0] for r in image.select(BUCKET).distinct().collect()]  # at most `buckets`
-    old = None if target is None else store.read("target", base, touched)
-    rows = merge_image(old, image, spec)
-    commit = store.write_buckets(commit, "target", rows, keys, touched)
-    done("target")
-    if spec.link is None:
-        return commit
-
-    links = store.read("links", base)
-    parent = spec.link.parent_column
-    parent_type = spec.link.schema[parent].type
-    moved = image.where(F.col(LINKED) & F.col(ALIVE)).select(F.col(spec.id_column).cast(parent_type).alias("id"))
-    moved = moved.unionByName(
-        image.where(F.col(REMOVED_ID).isNotNull()).select(F.col(REMOVED_ID).cast(parent_type).alias("id"))
-    )
-    touched = [r[0] for r in moved.select(store.bucket_of(commit, "id")).distinct().collect()]
-    old = None if links is None else store.read("links", base, touched)
-    commit = store.write_buckets(commit, "links", merge_links(old, image, spec), [parent], touched)
-    done("links")
+    # Written because the counts that decide about folding, the target and the links read it.
+    image = scratch.write(image_of(changes, spec, known))
+    rows = changed_rows(image, spec).withColumnRenamed(ALIVE, GONE).withColumn(GONE, ~F.col(GONE))
+    tables = {"target": (rows, keys)}
+    if spec.link is not None:
+        tables["links"] = (link_changes(image, spec, GONE), [spec.link.parent_column])
+    sizes = None
+    for table, (changed, by) in tables.items():
+        some = changed.select(F.lit(table).alias("table"), store.bucket_of(commit, *by).alias(BUCKET), (~F.col(GONE)).alias("kept"))
+        sizes = some if sizes is None else sizes.unionByName(some)
+    counts: dict[str, dict[int, tuple[int, int]]] = {table: {} for table in tables}
+    for r in sizes.groupBy("table", BUCKET).agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect():
+        counts[r["table"]][r[BUCKET]] = (r["n"], r["kept"])  # at most a row per table and bucket
+    for table, (changed, by) in tables.items():
+        commit = store.write_changes(commit, table, changed, by, counts[table])
+        done(table)
     return commit
 
 
-def _write_marks(store, base, commit, spec, records, held_after):
-    stamped = audit.marks(records, held_after, spec)
-    commit, _, segment = store.write_segment(commit, "marks", stamped)
-    return store.with_segments(commit, "marks", [*base.segments.get("marks", []), segment])
+def _write_marks(store, base, commit, spec, records, held, fresh, scratch):
+    names = list(spec.business_keys)
+    blocked = [df for df in (held, fresh) if df is not None]
+    after = None
+    if blocked:
+        after = blocked[0] if len(blocked) == 1 else key_types_of(held, fresh, names).unionByName(fresh)
+    stamped = audit.marks(records, after, spec)
+    before = base.segments.get("marks", [])
+    if not stamps.has_bits(records.schema[spec.order_key].dataType):
+        commit, _, segment = store.write_segment(commit, "marks", stamped)
+        return store.with_segments(commit, "marks", [*before, segment])
+    commit, fresh, segment = store.write_segment(commit, "marks", stamps.bits_of(stamped, spec.order_key))
+    segment["rows"] = fresh.count()
+    segments = [*before, segment]
+    ranges = [tuple(r) for r in base.ranges.get("marks", [])]
+    # Older bits are merged in once the new ones are of their order, or their segments many: rewriting stays in proportion.
+    if segment["rows"] * MERGE_SHARE >= sum(s["rows"] for s in before) or len(segments) > MERGE_SEGMENTS:
+        bits = scratch.write(stamps.merged(store.read("marks", replace(commit, segments={"marks": segments}))))
+        ranges, short = stamps.longest(stamps.joined([*ranges, *stamps.longest_ranges(bits)]))
+        left = stamps.full_blocks(stamps.without_ranges(bits, [*ranges, *short]), short)
+        commit, rest, segment = store.write_segment(commit, "marks", left, "merged")
+        segment["rows"] = rest.count()
+        segments = [segment] if segment["rows"] else []
+    commit = replace(commit, ranges={**base.ranges, "marks": ranges})
+    return store.with_segments(commit, "marks", segments)
+
+
+#: When stamps are merged: new ones times this outnumber the old ones, or there are more segments than that.
+MERGE_SHARE, MERGE_SEGMENTS = 4, 8
+
+
+def stamps_of(store: Store, base: Commit) -> Stamps | None:
+    """What queue cycles have stamped so far."""
+    if "marks" not in base.schemas:
+        return None
+    rest = store.read("marks", base) if base.segments.get("marks") else None
+    return Stamps([tuple(r) for r in base.ranges.get("marks", [])], rest)
 
 
 def _pinned(page: DataFrame, scratch: Scratch, batch_size: int | None, pin: bool | None) -> DataFrame:
@@ -281,9 +342,11 @@ def run_keyset(
     after = None if restart else store.latest().last_key_literal()
     while max_cycles is None or len(results) < max_cycles:
         rest = keyset_page(changes, spec, after)
-        stats = _key_stats(rest, spec, options.get("verify_unique", True))
+        stats = _key_stats(rest.select(key), spec)
         if not stats["rows"]:
             break
+        if options.get("verify_unique", True):
+            _refuse_repeated(rest, spec)
         # Rows that arrive while the run is on, behind its last border, are the next round's.
         kind = rest.schema[key].dataType.simpleString()
         end = text_to_key(stats["high"], kind)
@@ -311,13 +374,13 @@ def run_keyset(
 def _waiting(store, base, spec, changes, batch_size, scratch) -> DataFrame:
     """Rows of the next queue cycle.
 
-    Once there are stamps, the log is matched with them on its key columns alone. What is
-    left is usually little: whole rows are then fetched by their keys, and only from the key
+    Ranges of keys that are all stamped are left out by the scan; the rest of the log is matched with the stamps on
+    its key columns alone. What is left is usually little: whole rows are then fetched by their keys, and only from the key
     range they span. Rows without a key come along, to be refused.
     """
-    marks = store.read("marks", base)
-    page = queue_page(changes, spec, store.read("quarantine", base), batch_size, scratch, marks)
-    if marks is None:
+    done = stamps_of(store, base)
+    page = queue_page(changes, spec, store.read("quarantine", base), batch_size, scratch, done)
+    if done is None:
         return page
     key = spec.order_key
     waiting = scratch.write(page.select(key))
@@ -362,7 +425,7 @@ def run_queue(
 
 def pending(store: Store, spec: ChangeSpec, changes: DataFrame) -> DataFrame:
     """Rows not yet stamped, those of quarantined keys included."""
-    return queue_page(changes, spec, done=store.read("marks"))
+    return queue_page(changes, spec, done=stamps_of(store, store.latest()))
 
 
 def requeue(store: Store, spec: ChangeSpec, cleared: DataFrame) -> Commit:

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import key_join, key_to_text, key_types_of, text_to_key
 from ..operators.ranks import with_rank
+from ..operators.select import nth_key, ordinal
+from ..operators.stamps import Stamps, unstamped
 from ..spec import ChangeSpec, SpecError
 from .scratch import Scratch
 
+
 def scan_changes(changes: DataFrame, spec: ChangeSpec) -> DataFrame:
     """The whole change log; every column can be bound, and unused ones are pruned."""
     return spec.canonical(changes)
@@ -42,18 +45,25 @@ def page_borders(
 
 
 def first_rows(
-    changes: DataFrame, key: str, rows: int | None, scratch: Scratch | None = None
+    changes: DataFrame, key: str, rows: int | None, scratch: Scratch | None = None, pin: bool = False
 ) -> DataFrame:
     """The page of the first ``rows`` keys; all rows where ``rows`` is None.
 
-    Keys are unique where a log is replayed. If one repeats at the border, all its rows are in the
-    page, and the cycle refuses them.
+    The border is found by counting keys in ranges, for keys that are numbers, dates or instants; others are ranked. ``pin``
+    writes the key column first, for changes that are costly to compute. Keys are unique where a log is replayed. If one
+    repeats at the border, all its rows are in the page, and the cycle refuses them.
     """
     if rows is None:
         return changes
     if rows <= 0:
         raise ValueError("batch_size must be positive")
-    ranked = with_rank(changes.select(key).where(F.col(key).isNotNull()), [key], scratch)
+    keys = changes.select(key).where(F.col(key).isNotNull())
+    if pin:
+        keys = (scratch or Scratch(changes.sparkSession)).write(keys)
+    if ordinal(key, changes.schema[key].dataType) is not None:
+        border = nth_key(keys, key, rows)
+        return changes if border is None else changes.where(up_to(key, border))
+    ranked = with_rank(keys, [key], scratch)
     kind = changes.schema[key].dataType.simpleString()
     last = ranked.where(F.col("rank") <= rows).agg(key_to_text(F.max(key), kind)).first()[0]
     return changes.where(up_to(key, text_to_key(last, kind))) if last is not None else changes
@@ -80,24 +90,26 @@ def queue_page(
     quarantine: DataFrame | None = None,
     rows: int | None = None,
     scratch: Scratch | None = None,
-    done: DataFrame | None = None,
+    done: DataFrame | Stamps | None = None,
 ) -> DataFrame:
     """Pending rows in key order, without those whose business key is quarantined.
 
-    ``done`` lists the order keys stamped since the log was written, where the stamps are
-    kept beside the log instead of in it.
+    ``done`` has the order keys stamped since the log was written, where the stamps are
+    kept beside the log instead of in it: as a list of keys, or as ranges that the scan leaves out.
     """
     if not spec.processed_column:
         raise SpecError("queue mode needs processed_column")
     log = spec.canonical(changes)
     flag = log.schema[spec.processed_column].dataType
     log = log.where(F.col(spec.processed_column) == F.lit(spec.pending).cast(flag))
-    if done is not None:
+    if isinstance(done, Stamps):
+        log = unstamped(log, spec.order_key, done)
+    elif done is not None:
         log = key_join(log, done, [spec.order_key], "left_anti", null_safe=False)
     if quarantine is not None and spec.quarantine:
         keys = list(spec.business_keys)
         log = key_join(log, key_types_of(quarantine, log, keys), keys, "left_anti")
-    return first_rows(log, spec.order_key, rows, scratch)
+    return first_rows(log, spec.order_key, rows, scratch, pin=done is not None or quarantine is not None)
 
 
 def late_changes(changes: DataFrame, spec: ChangeSpec, last_key: Any) -> DataFrame:

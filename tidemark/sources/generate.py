@@ -15,8 +15,9 @@ PAYLOAD = (
 
 
 def _draw(key: Column, seed: int, below: int) -> Column:
-    """Repeatable stand-in for a random whole number from 0 to below - 1."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(below))
+    """Repeatable stand-in for a random whole number from 0 to below - 1: the first 32 bits of the MD5 of ``seed:key``."""
+    drawn = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 8)
+    return F.pmod(F.conv(drawn, 16, 10).cast("long"), F.lit(below))
 
 
 def _pick(remainder: Column, labels: tuple[str, ...], otherwise: str) -> Column:

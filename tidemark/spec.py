@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping as MappingABC
 from dataclasses import dataclass, field
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -100,6 +101,9 @@ class ChangeSpec:
     pending: Any = 0
     done: Any = 1
     mark_policy: str = "keep_quarantined"
+    # The instant that :AS_OF stands for, the same in target, history and quarantine; a cycle sets it.
+    as_of: datetime | None = None
+    as_of_bind: str = "AS_OF"
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "business_keys", tuple(self.business_keys))
@@ -162,7 +166,7 @@ class ChangeSpec:
         for what, mapping in self.mappings().items():
             for expression in mapping.expressions():
                 for name in bind_names(clean(expression)):
-                    if name.lower() not in names:
+                    if name.lower() not in names and name.lower() != self.as_of_bind.lower():
                         raise SpecError(f"{what} binds :{name}, but the change log has no such column")
         return names
 

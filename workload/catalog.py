@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BATCH = 1_000
+# Two keys hold the whole log: cut into slices, whose summaries are chained in more than one level.
+STATUS_HOT = SkewPolicy(hot_rows=1_000, sample=1.0, slice_rows=500, chain=4)
 # Treats the busiest keys of the given tables as hot, to run the path meant for huge ones.
 SMALL_HOT = SkewPolicy(hot_rows=60, sample=1.0, slice_rows=500)
 
@@ -148,6 +152,24 @@ def replay_hot_keys(spark, sf_dir):
     return rows.select("change_id", "user_id", "outcome", "detail")
 
 
+STATUS_OFF = replayed(LINE_LOG, "l_linestatus", quarantine=False)
+
+
+@query(with_(STATUS_OFF, "SELECT change_id, l_linestatus, outcome, detail FROM done"))
+def replay_status_keys(spark, sf_dir):
+    """Half of all rows on one business key."""
+    spec = line_spec(business_keys=("l_linestatus",), quarantine=False)
+    rows = replay(line_log(spark, sf_dir), spec, skew=STATUS_HOT)
+    return rows.select("change_id", "l_linestatus", "outcome", "detail")
+
+
+@query(with_(STATUS_OFF + ",\n" + imaged("l_linestatus", "quantity, price"), """
+SELECT row_id AS line_id, l_linestatus, quantity, price FROM img"""))
+def apply_status_keys(spark, sf_dir):
+    spec = line_spec(business_keys=("l_linestatus",), quarantine=False)
+    return apply_final(line_log(spark, sf_dir), spec, skew=STATUS_HOT)
+
+
 @query(with_(ORDER_ON, "SELECT change_id, order_id, outcome, detail FROM done"))
 def replay_orders(spark, sf_dir):
     rows = replay(order_log(spark, sf_dir), order_spec())
@@ -566,22 +588,22 @@ ins AS (
          strftime(DATE '2026-06-30' - CAST(order_id % 365 AS INTEGER), '%Y') AS order_year,
          CASE order_id % 4 WHEN 0 THEN 'NW' WHEN 1 THEN 'SH' WHEN 2 THEN 'DL' ELSE 'CN' END AS status_code,
          CASE order_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'GB' WHEN 2 THEN 'AE' WHEN 3 THEN 'IN' ELSE 'ZZ' END
-           AS country_code
+           AS country_code,
+         (CAST('0x' || left(md5('1:' || order_id), 8) AS BIGINT) % 49901 + 100) / 100.0 AS unit_price,
+         CAST(CAST('0x' || left(md5('2:' || order_id), 8) AS BIGINT) % 9 + 1 AS DOUBLE) AS quantity
   FROM ids)
 SELECT order_id AS change_id, 'I' AS operation, order_id, cust_first_name, cust_last_name,
-       order_day, order_month, order_year, status_code, country_code, 1 AS priced FROM ins
+       order_day, order_month, order_year, status_code, country_code, unit_price, quantity FROM ins
 UNION ALL
 SELECT order_id + step, 'U', order_id, cust_first_name, cust_last_name,
-       order_day, order_month, order_year, 'SH', country_code, 1 FROM ins, top WHERE order_id % 10 = 0
+       order_day, order_month, order_year, 'SH', country_code, unit_price, quantity FROM ins, top WHERE order_id % 10 = 0
 UNION ALL
-SELECT order_id + 2 * step, 'D', order_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0
+SELECT order_id + 2 * step, 'D', order_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
 FROM ins, top WHERE order_id % 100 = 0""")
 def gen_changes(spark, sf_dir):
-    """Bulk log over the ids of the orders table; drawn prices and quantities only in range."""
+    """Bulk log over the ids of the orders table."""
     ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"))
-    step = ids.agg(F.max("order_id")).first()[0] + 1
-    priced = F.coalesce(F.col("unit_price").between(1, 500) & F.col("quantity").between(1, 9), F.lit(False))
-    return generate_from(ids, step).withColumn("priced", priced).drop("unit_price", "quantity")
+    return generate_from(ids, ids.agg(F.max("order_id")).first()[0] + 1)
 
 
 # -- updates and deletes of other shapes ---------------------------------------------------
@@ -658,6 +680,40 @@ def keyset_run_target(spark, sf_dir):
     return store.read("target")
 
 
+@query(with_(ORDER_IMAGE, f"SELECT row_id AS summary_id, order_id, {ORDER_VALUES} FROM img"))
+def delta_run_target(spark, sf_dir):
+    """Target after cycles of which the first writes base rows, the next ones changes, and the last one folds a bucket's."""
+    store, log = _store(spark), order_log(spark, sf_dir)
+    inserts = log.where("operation = 'I'").count()
+    run_keyset(store, order_spec(), log, batch_size=inserts, max_cycles=1)
+    run_keyset(store, order_spec(), log, batch_size=max(1, inserts // 16), max_cycles=2)
+    # Updates of rows as they are: they outgrow the base, which is folded.
+    again = log.where("operation = 'I' and order_id % 100 <> 0 and order_id % 10 <> 0")
+    again = again.withColumns({"change_id": F.col("change_id") + 3 * 10**15, "operation": F.lit("U")})
+    run_keyset(store, order_spec(), log.unionByName(again))
+    return store.read("target")
+
+
+@query(with_(ORDER_IMAGE, """
+SELECT order_id, CASE WHEN changed THEN region END AS region, 1767323045000000 AS synced_at,
+  1767323045000000 AS recorded_at
+FROM (SELECT *, order_id % 10 = 0 AS changed FROM img)"""))
+def added_column_run(spark, sf_dir):
+    """A target column that the spec of the second run adds, null in rows that only the first run wrote; and the
+    instant of both runs, in the target as in the history.
+    """
+    store, log = _store(spark), order_log(spark, sf_dir)
+    spec, as_of = order_spec(stamped=True), datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
+    without = {n: m for n, m in spec.insert.columns.items() if n != "region"}
+    target = {n: c if n != "region" else replace(c, nullable=True) for n, c in spec.target.items()}
+    before = replace(spec, target={n: c for n, c in target.items() if n != "region"}, insert=Mapping(without), update=Mapping(without))
+    run_keyset(store, before, log.where("operation = 'I'"), as_of=as_of)
+    run_keyset(store, replace(spec, target=target), log, as_of=as_of)
+    recorded = store.read("history").where("operation = 'I'").select("order_id", F.unix_micros(audit.RECORDED_AT).alias("recorded_at"))
+    rows = store.read("target").select("order_id", "region", F.unix_micros("synced_at").alias("synced_at"))
+    return rows.join(recorded, "order_id")
+
+
 @query(with_(ORDER_IMAGE, """
 SELECT row_id AS link_id, row_id AS summary_id, 'u-100' AS user_id, 'orders' AS user_section FROM img"""))
 def keyset_run_links(spark, sf_dir):
@@ -737,6 +793,24 @@ def queue_run_pending(spark, sf_dir):
     return pending(store, spec, log).select("change_id", "user_id")
 
 
+# A queue takes the lower half of the log after the upper half, when it turns up late.
+LATE = f"""{EVENT_LOG},
+turned AS (SELECT * REPLACE (CASE WHEN change_id <= {MIDDLE} THEN change_id + 1000000000000000 ELSE change_id END AS change_id)
+           FROM elog WHERE processed = 0),
+{replayed("", "user_id", quarantine=False, source="turned")},
+late AS (SELECT * REPLACE (change_id % 1000000000000000 AS change_id) FROM done)"""
+
+
+@query(with_(LATE, HISTORY.format("late")))
+def queue_late_run(spark, sf_dir):
+    """Late rows with lower keys than those already stamped are read, and applied after them."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    spec = event_spec(processed_column="processed", quarantine=False)
+    run_queue(store, spec, log.where(F.col("change_id") > _middle(log)))
+    run_queue(store, spec, log)
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
+
+
 @query(with_(QUEUE, "SELECT user_id FROM held WHERE user_id % 2 = 1"))
 def requeue_run(spark, sf_dir):
     """Quarantine after a queue run and the clearing of the even keys."""

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.examples.orders import orders_spec, user_link
+from tidemark.examples.orders import REGION, orders_spec, user_link
 from tidemark.operators.ranks import with_rank
 from tidemark.spec import ChangeSpec, Column, Mapping
 
-COUNTRIES = ("US", "CA", "BR", "MX", "GB", "DE", "FR", "AE", "SA", "IN", "JP", "CN", "AU", "ZZ")
+COUNTRIES = (*REGION, "ZZ")
 # Change ids of updates and deletes follow those of all inserts, whatever the table's size.
 UPDATE_BASE, DELETE_BASE = 10**15, 2 * 10**15
 LINE_ORDER = [
@@ -132,6 +132,7 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         op.alias("operation"),
         "l_orderkey",
         "l_linenumber",
+        "l_linestatus",
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
     )

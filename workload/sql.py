@@ -63,7 +63,7 @@ elog AS (
   SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey,
            l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS change_id,
          CASE l_returnflag WHEN 'A' THEN 'I' WHEN 'N' THEN 'U' WHEN 'R' THEN 'D' END AS op,
-         l_orderkey, l_linenumber, l_quantity AS quantity, l_extendedprice AS price,
+         l_orderkey, l_linenumber, l_linestatus, l_quantity AS quantity, l_extendedprice AS price,
          CASE WHEN l_returnflag IN ('A', 'N') AND l_quantity >= 40 THEN 'invalid:quantity' END AS reason
   FROM lineitem)"""
 

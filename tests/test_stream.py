@@ -4,7 +4,7 @@ import pytest
 
 from tests.seed import TARGET, good, seed
 from tests.test_state import EXPECTED_ON, history_of, held, target_of
-from tidemark import Store, read_change_stream, run_keyset, run_stream
+from tidemark import Store, apply_batch, read_change_stream, run_keyset, run_stream
 from tidemark.examples.orders import orders_spec
 
 
@@ -92,3 +92,19 @@ def test_paced_cycles(spark, places):
     finally:
         query.stop()
     assert len(target_of(store)) == 3
+
+
+def test_late_files_by_the_rules_of_a_queue(spark, places):
+    """Late rows are applied with their batch, after higher keys; the resume key does not go back."""
+    state, folder, checkpoint = places
+    spec, log = orders_spec(), good(spark, (1, "I", 7), (2, "D", 8), (5, "I", 8), (6, "U", 7))
+    store = Store(spark, state, buckets=2)
+    append(log, folder, 5, 6)
+    drain(store, spec, folder, log.schema, checkpoint, late_rows="apply")
+    append(log, folder, 1, 2)
+    drain(store, spec, folder, log.schema, checkpoint, late_rows="apply")
+    assert history_of(store) == {5: "INSERTED", 6: "UPDATED", 1: "INSERTED", 2: "DELETED"}
+    assert sorted(target_of(store)) == [7]
+    assert store.latest().late == 0 and store.latest().last_key == "6" and store.read("late") is None
+    with pytest.raises(ValueError):
+        apply_batch(store, spec, log, "s", 0, late_rows="drop")

@@ -379,3 +379,26 @@ def test_jdbc_options():
     assert (split["lowerBound"], split["upperBound"], split["user"]) == ("1", "900", "u")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x:y", "log", "change_id", partitions=4)
+
+
+# -- names of keys, instants -----------------------------------------------------
+
+
+def test_target_keys_rename_business_keys(spark):
+    log = seed(spark)
+    plain, renamed = apply_final(log, orders_spec()), apply_final(log, orders_spec(target_keys={"order_id": "order_no"}))
+    assert renamed.columns == ["order_no" if c == "order_id" else c for c in plain.columns]
+    assert sorted(map(tuple, renamed.collect())) == sorted(map(tuple, plain.collect()))
+    again = apply_final(log.where("operation = 'U'"), orders_spec(target_keys={"order_id": "order_no"}), renamed)
+    assert again.columns == renamed.columns and again.count() == renamed.count()
+    for names in ({"status": "x"}, {"order_id": "summary_id"}, {"order_id": "status"}):
+        with pytest.raises(SpecError):
+            orders_spec(target_keys=names)
+
+
+def test_one_instant_for_a_run(spark):
+    from datetime import datetime, timezone
+
+    at = datetime(2026, 5, 4, 3, 2, 1, tzinfo=timezone.utc)
+    rows = apply_final(seed(spark), orders_spec(stamped=True, as_of=at)).select(F.unix_micros("synced_at").alias("t")).distinct()
+    assert [r.t for r in rows.collect()] == [int(at.timestamp() * 1e6)]

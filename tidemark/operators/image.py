@@ -130,6 +130,7 @@ def final_image(
     skew: SkewPolicy | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """The log's net effect: id, key, columns, and the flags that snapshots need."""
+    target = None if target is None else spec.with_log_keys(target)
     rows = classify(changes, spec, target, quarantine, skew, known_only=True)
     return image_of(rows, spec, target is not None)
 
@@ -138,9 +139,10 @@ def merge_image(target: DataFrame | None, image: DataFrame, spec: ChangeSpec) ->
     """New target snapshot: untouched rows plus the live rows of the image."""
     live = image.where(F.col(ALIVE)).select(spec.id_column, *spec.business_keys, *spec.columns)
     if target is None:
-        return live
+        return spec.with_target_keys(live)
     keys = list(spec.business_keys)
-    return key_join(target, image, keys, "left_anti", null_safe=spec.nullable_keys).unionByName(live)
+    kept = key_join(spec.with_log_keys(target), image, keys, "left_anti", null_safe=spec.nullable_keys)
+    return spec.with_target_keys(kept.unionByName(live))
 
 
 def apply_final(

@@ -117,7 +117,10 @@ def run_cycle(
             store.publish(commit)
             return CycleResult(commit.version, 0, 0, 0, 0, 0, commit.rows, commit.last_key)
 
-        target = _with_new_columns(store.read("target", base, stats["buckets"], narrow), spec) if known else None
+        target = None
+        if known:
+            target = store.read("target", base, stats["buckets"], spec.with_target_keys(narrow))
+            target = _with_new_columns(spec.with_log_keys(target), spec)
         held = store.read("quarantine", base) if spec.quarantine else None
         if held is not None:
             held = key_join(key_types_of(held, narrow, keys).distinct(), narrow, keys, "left_semi")
@@ -157,7 +160,7 @@ def _key_columns(store: Store, base: Commit, spec: ChangeSpec, page: DataFrame,
     """The page with the key types that the target has, and its key columns, written where they are used more than once."""
     if "target" not in base.schemas:
         return page, page.select(*dict.fromkeys([spec.order_key, *spec.business_keys]))
-    stored = store.read("target", base, only=[])
+    stored = spec.with_log_keys(store.read("target", base, only=[]))
     types = {k: stored.schema[k].dataType for k in spec.business_keys}
     casts = {k: F.col(k).cast(t) for k, t in types.items() if page.schema[k].dataType != t}
     page = page.withColumns(casts) if casts else page
@@ -234,10 +237,10 @@ def _write_outcomes(store, commit, spec, rows, as_of, stats):
 
 def _write_late(store, base, commit, late):
     """Rows that came after their key had been passed, as they came; and how many."""
-    commit, written, segment = store.write_segment(commit, "late", late)
-    count = written.count()
+    count = late.count()
     if not count:
         return commit, 0
+    commit, _, segment = store.write_segment(commit, "late", late)
     commit = store.with_segments(commit, "late", [*base.segments.get("late", []), segment])
     return replace(commit, late=base.late + count), count
 
@@ -260,7 +263,7 @@ def _write_target(store, commit, spec, changes, known, scratch, done):
     # Written because the counts that decide about folding, the target and the links read it.
     image = scratch.write(image_of(changes, spec, known))
     rows = changed_rows(image, spec).withColumnRenamed(ALIVE, GONE).withColumn(GONE, ~F.col(GONE))
-    tables = {"target": (rows, keys)}
+    tables = {"target": (spec.with_target_keys(rows), [spec.target_keys.get(k, k) for k in keys])}
     if spec.link is not None:
         tables["links"] = (link_changes(image, spec, GONE), [spec.link.parent_column])
     sizes = None

@@ -101,6 +101,8 @@ class ChangeSpec:
     pending: Any = 0
     done: Any = 1
     mark_policy: str = "keep_quarantined"
+    # Names of business key columns in the target, where they differ from those in the log.
+    target_keys: MappingABC[str, str] = field(default_factory=dict)
     # The instant that :AS_OF stands for, the same in target, history and quarantine; a cycle sets it.
     as_of: datetime | None = None
     as_of_bind: str = "AS_OF"
@@ -115,7 +117,12 @@ class ChangeSpec:
             raise SpecError("on_missing must be 'noop' or 'upsert'")
         if self.mark_policy not in ("keep_quarantined", "applied_done"):
             raise SpecError("mark_policy must be 'keep_quarantined' or 'applied_done'")
-        reserved = {k.lower() for k in self.business_keys} | {self.id_column.lower()}
+        if set(self.target_keys) - set(self.business_keys):
+            raise SpecError("target_keys must rename business keys")
+        in_target = [self.target_keys.get(k, k).lower() for k in self.business_keys]
+        if len({*in_target, self.id_column.lower()}) <= len(in_target):
+            raise SpecError("two columns of the target have one name")
+        reserved = {k.lower() for k in self.business_keys} | {self.id_column.lower(), *in_target}
         for what, mapping in self.mappings().items():
             if what == "insert" and mapping.keep_null or set(mapping.keep_null) - set(mapping.columns):
                 raise SpecError(f"{what}: keep_null must name columns that an update sets")
@@ -138,6 +145,14 @@ class ChangeSpec:
                 raise SpecError("a link needs on_duplicate='fail': an upsert returns no new id")
             self.link.validate()
 
+    def with_target_keys(self, rows: DataFrame) -> DataFrame:
+        """Rows with the business keys called as in the target."""
+        return rows.withColumnsRenamed(dict(self.target_keys)) if self.target_keys else rows
+
+    def with_log_keys(self, rows: DataFrame) -> DataFrame:
+        """Rows of the target with the business keys called as in the log."""
+        return rows.withColumnsRenamed({v: k for k, v in self.target_keys.items()}) if self.target_keys else rows
+
     def mappings(self) -> dict[str, Mapping]:
         """The mappings by the operation that uses them."""
         found = {"insert": self.insert, "update": self.update}

@@ -34,19 +34,23 @@ def read_change_stream(
 
 
 def apply_batch(
-    store: Store, spec: ChangeSpec, batch: DataFrame, name: str, batch_id: int, **options: Any
+    store: Store, spec: ChangeSpec, batch: DataFrame, name: str, batch_id: int, late_rows: str = "keep", **options: Any
 ) -> CycleResult | None:
     """One micro-batch. A batch of this stream that is committed already is left alone.
 
     Rows inside the batch are put in key order by the replay. Rows at or below the committed
-    key came too late for keyset paging: they are not applied, but kept in the table ``late``.
+    key came too late for keyset paging: they are not applied, but kept in the table ``late``. With ``late_rows="apply"``
+    the stream goes by the rules of a queue instead: late rows are applied with their batch, after the higher
+    keys of earlier ones.
     """
+    if late_rows not in ("keep", "apply"):
+        raise ValueError("late_rows must be 'keep' or 'apply'")
     base = store.latest()
     if base.streams.get(name, -1) >= batch_id:
         return None
     batch = spec.canonical(batch)
     last, late = base.last_key_literal(), None
-    if last is not None:
+    if last is not None and late_rows == "keep":
         late = batch.where(F.col(spec.order_key) <= last)
         batch = batch.where((F.col(spec.order_key) > last) | F.col(spec.order_key).isNull())
     return run_cycle(store, spec, batch, base=base, stream=(name, batch_id), late=late, **options)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import Store, read_change_stream, requeue, run_keyset, run_queue, run_stream
+from tidemark import Store, apply_batch, read_change_stream, requeue, run_keyset, run_queue, run_stream
 from tidemark.operators import audit, mapping
 from tidemark.operators.image import apply_final, final_image, merge_image
 from tidemark.operators.links import dense_ids, link_failures, links_cascade, links_new, new_ids
@@ -730,6 +730,36 @@ def keyset_run_history(spark, sf_dir):
     return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
 
 
+FIFTHS = f"""{EVENT_ON},
+numbered AS (SELECT *, (row_number() OVER (ORDER BY change_id) - 1) // (SELECT (count(*) + 4) // 5 FROM elog) + 1 AS cycle FROM done)"""
+
+
+@query(with_(FIFTHS, """
+SELECT cycle, count(*) AS rows_read, count(*) FILTER (WHERE outcome = 'INSERTED') AS inserted,
+  count(*) FILTER (WHERE outcome = 'UPDATED') AS updated, count(*) FILTER (WHERE outcome = 'DELETED') AS deleted,
+  count(*) FILTER (WHERE outcome = 'FAILED') AS failed, CAST(sum(count(*)) OVER (ORDER BY cycle) AS BIGINT) AS total,
+  CAST(max(change_id) AS VARCHAR) AS last_key
+FROM numbered GROUP BY cycle"""))
+def paced_cycles(spark, sf_dir):
+    """Cycles of a fifth of the log at most, two to a start, each start going on after the last: what each has reported."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    reports = []
+    while some := run_keyset(store, event_spec(), log, batch_size=_fifth(log), max_cycles=2):
+        reports += some
+    counts = ("rows_read", "inserted", "updated", "deleted", "failed", "total")
+    rows = [(r.version, *[getattr(r, c) for c in counts], r.last_key) for r in reports]
+    return spark.createDataFrame(rows, f"cycle long, {', '.join(f'{c} long' for c in counts)}, last_key string")
+
+
+@query(with_(EVENT_ON, HISTORY.format("done")))
+def batch_applied_twice(spark, sf_dir):
+    """A micro-batch that comes again after its commit changes nothing."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    for _ in range(2):
+        apply_batch(store, event_spec(), log, "events:1", 0)
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
+
+
 SOME = f"""{ORDER_LOG},
 page AS (SELECT * FROM elog WHERE NOT (op = 'I' AND order_id % 30 = 0)),
 {replayed("", "order_id", quarantine=False, source="page", on_missing="upsert")},
@@ -759,6 +789,33 @@ def stream_late_rows(spark, sf_dir):
     return store.read("late").select("change_id", "user_id")
 
 
+TURNED = f"""{EVENT_LOG},
+turned AS (SELECT * REPLACE (CASE WHEN change_id <= {MIDDLE} THEN change_id + 1000000000000000 ELSE change_id END AS change_id) FROM elog),
+{replayed("", "user_id", quarantine=False, source="turned")},
+late AS (SELECT * REPLACE (change_id % 1000000000000000 AS change_id) FROM done)"""
+
+
+@query(with_(TURNED, HISTORY.format("late")))
+def stream_late_applied(spark, sf_dir):
+    """The upper half of the log comes first; by the rules of a queue the lower half is applied after it."""
+    store, log, folder = _store(spark), event_log(spark, sf_dir), f"{shared_dir(spark)}/tidemark/runs/{uuid.uuid4().hex}"
+    late = F.col("change_id") <= _middle(log)
+    for part in (log.where(~late), log.where(late)):
+        part.write.mode("append").parquet(folder)
+        stream = read_change_stream(spark, folder, log.schema)
+        run = run_stream(store, event_spec(quarantine=False), stream, f"{store.files.root}/checkpoint", late_rows="apply")
+        run.awaitTermination()
+    return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
+
+
+@query(with_(ORDER_IMAGE, f"SELECT row_id AS summary_id, order_id AS order_no, {ORDER_VALUES} FROM img"))
+def renamed_key(spark, sf_dir):
+    """The target calls the business key by a name of its own; two cycles, so that it is read back as well."""
+    store, log = _store(spark), order_log(spark, sf_dir)
+    run_keyset(store, order_spec(target_keys={"order_id": "order_no"}), log, batch_size=_half(log))
+    return store.read("target")
+
+
 # The whole log again, placed behind itself: what a restart over the finished state does.
 AGAIN = f"""{EVENT_LOG},
 twice AS (SELECT * FROM elog
@@ -811,6 +868,19 @@ def queue_late_run(spark, sf_dir):
     return text_key(store.read("history").drop(audit.RECORDED_AT), "user_id")
 
 
+@query(with_(QUEUE, """
+SELECT (SELECT count(*) FROM page WHERE op <> 'X' AND user_id IN (SELECT user_id FROM held WHERE user_id % 2 = 0)) AS replayed,
+  (SELECT count(*) FROM held) AS held"""))
+def requeue_second_run(spark, sf_dir):
+    """All rows of cleared keys flow again in a second run; an insert of each fails once more, so that all are held again."""
+    store, log = _store(spark), event_log(spark, sf_dir)
+    spec = event_spec(processed_column="processed")
+    run_queue(store, spec, log)
+    requeue(store, spec, store.read("quarantine").where("user_id % 2 = 0"))
+    read = sum(r.rows_read for r in run_queue(store, spec, log))
+    return store.read("quarantine").agg(F.lit(read).cast("long").alias("replayed"), F.count("*").alias("held"))
+
+
 @query(with_(QUEUE, "SELECT user_id FROM held WHERE user_id % 2 = 1"))
 def requeue_run(spark, sf_dir):
     """Quarantine after a queue run and the clearing of the even keys."""

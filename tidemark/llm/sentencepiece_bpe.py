@@ -11,6 +11,7 @@ texts are cut at both, and each distinct unit is encoded once per worker.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 from collections.abc import Iterator
@@ -28,6 +29,9 @@ BLANK = "▁"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+UNKNOWN = " \u2047 "  # fixed value: how the unknown id is shown
+
+
 class Unsupported(ValueError):
     """The model is not of the kind that this module covers."""
 
@@ -67,6 +71,7 @@ class Pieces:
             raise Unsupported("a piece has a character that is no piece")
         self.surface = {i: piece.replace(BLANK, " ").encode() for piece, i in self.ids.items()}
         self.surface.update({i: bytes([b]) for b, i in self.bytes_.items()})
+        self.surface[model.unk_id()] = UNKNOWN.encode()
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (len(piece), i))
@@ -228,12 +233,25 @@ class Pieces:
         return [i for unit in units for i in self.encode_unit(unit)]
 
     def decode(self, ids: list[int]) -> str:
-        """Text of the ids; control ids have none. The blank that encoding puts first is dropped."""
-        raw = b"".join(self.surface.get(i, b"") for i in ids)
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        """Text of the ids; control ids have none, and the unknown one is shown as a mark between blanks.
+
+        The blank of a piece that comes first is dropped, as encoding has put it there. Each byte that is no part of
+        a character gives one replacement character.
+        """
+        surface = self.surface
+        first = next((i for i in ids if i in surface), None)
+        runs: list[list[bytes]] = [[]]  # a control id parts the bytes around it
+        for i in ids:
+            if i in surface:
+                runs[-1].append(surface[i])
+            else:
+                runs.append([])
+        text = "".join([b"".join(run).decode("utf-8", "replace-each") for run in runs])
+        return text[1:] if first in self.text and text[:1] == " " else text
 
 
 _UNITS = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
+codecs.register_error("replace-each", lambda error: ("\ufffd" * (error.end - error.start), error.end))
 
 
 class Units(dict):

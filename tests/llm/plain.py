@@ -104,7 +104,7 @@ def pattern_spans(text: str | None) -> list[tuple[str, int, int]]:
 
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0])):

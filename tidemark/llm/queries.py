@@ -221,7 +221,7 @@ def conversation_calls(turns: DataFrame) -> DataFrame:
     n = F.length("text")
     name = F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn")
     tool = F.get(F.array(*[F.lit(t) for t in ("search", "fetch", "calculate", "lookup")]), (n % 4).cast("int"))
-    query, exact = F.substring("text", 1, 40).alias("query"), (n % 2 == 0).alias("exact")
+    query, exact = F.col("text").alias("query"), (n % 2 == 0).alias("exact")
     as_text = F.to_json(F.struct(query, F.col("turn").cast("string").alias("limit"), exact))
     whole = F.when(n % 5 == 0, as_text).otherwise(F.to_json(F.struct(query, F.col("turn").alias("limit"), exact)))
     arguments = F.when(n % 11 == 0, F.expr("left(whole, length(whole) - 1)")).otherwise(F.col("whole"))
@@ -243,7 +243,7 @@ WITH RECURSIVE a AS (
   SELECT conv_id, turn, text, length(text) AS n FROM conversations WHERE role = 'assistant' AND text IS NOT NULL
 ), raw AS (
   SELECT conv_id, 'c' || conv_id || '-' || turn AS call_id, turn, n,
-    ['search', 'fetch', 'calculate', 'lookup'][n % 4 + 1] AS tool, left(text, 40) AS query,
+    ['search', 'fetch', 'calculate', 'lookup'][n % 4 + 1] AS tool, text AS query,
     CASE WHEN n % 5 = 0 THEN to_json(CAST(turn AS VARCHAR)) ELSE to_json(turn) END AS lim, n % 2 = 0 AS exact,
     'c' || conv_id || '-' || (turn + CASE WHEN n % 13 = 0 THEN 2 WHEN n % 7 = 0 THEN -4 ELSE -2 END) AS after FROM a
 ), calls AS (

@@ -84,13 +84,14 @@ def run_cycle(
     verify_unique: bool = True,
     stream: tuple[str, int] | None = None,
     late: DataFrame | None = None,
+    stats: dict[str, Any] | None = None,
     on_step: Step | None = None,
 ) -> CycleResult | None:
     """Replay ``page`` over the latest state and commit target, links, quarantine, history,
     marks and resume point together. Returns None if there was nothing to read.
 
-    ``on_step`` is called with the name of each finished write; tests use it to stop a cycle
-    half-way.
+    ``stats`` has the size and range of the page, where they are known. ``on_step`` is called with
+    the name of each finished write; tests use it to stop a cycle half-way.
     """
     base = base or store.latest()
     done = on_step or (lambda _: None)
@@ -104,7 +105,8 @@ def run_cycle(
         page, narrow = _key_columns(store, base, spec, page, scratch)
         known = "target" in base.schemas
         buckets = [F.collect_set(store.bucket_of(base, *keys)).alias("buckets")] if known else []  # at most `buckets`
-        stats = _key_stats(narrow, spec, *buckets)
+        if stats is None or known:
+            stats = _key_stats(narrow, spec, *buckets)
         if late is not None:
             commit, too_late = _write_late(store, base, commit, late)
             if not too_late and not stats["rows"]:
@@ -348,7 +350,9 @@ def run_keyset(
         stats = _key_stats(rest.select(key), spec)
         if not stats["rows"]:
             break
-        if options.get("verify_unique", True):
+        # One page holds all: its cycle looks for repeated keys in what it has written.
+        whole = {"stats": stats} if batch_size is None and not pin else {"verify_unique": False}
+        if options.get("verify_unique", True) and "stats" not in whole:
             _refuse_repeated(rest, spec)
         # Rows that arrive while the run is on, behind its last border, are the next round's.
         kind = rest.schema[key].dataType.simpleString()
@@ -361,7 +365,7 @@ def run_keyset(
                 try:
                     page = keyset_page(changes, spec, after).where(up_to(key, border))
                     page = _pinned(page, scratch, batch_size, pin)
-                    result = run_cycle(store, spec, page, **{**options, "verify_unique": False})
+                    result = run_cycle(store, spec, page, **{**options, **whole})
                 finally:
                     scratch.drop()
                 after = border

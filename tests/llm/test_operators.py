@@ -1,6 +1,7 @@
 """Each operator on awkward rows against a plain version, and on an empty table."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -416,3 +417,55 @@ class TestLanguageId:
         got = language_id.identify(docs.withColumn("held_out", F.lit(False)), samples)
         assert {r.lang_pred for r in got.collect()} == {"und"}
         assert language_id.identify(no_docs.withColumn("held_out", F.lit(False)), samples).count() == 0
+
+
+def test_numbers_of_any_length_are_no_addresses():
+    zeros = "0" * 5_000
+    for text in (f"1.2.3.{zeros}1", f"{zeros}.{zeros}1.2.3", f"1.2.3.{zeros}999", "9" * 6_000 + ".1.2.3"):
+        assert [s for s in personal_data.base_spans(text) if s[0] == "ip"] == [s for s in plain.pattern_spans(text) if s[0] == "ip"]
+    assert personal_data.base_spans(f"1.2.3.{zeros}1") == [("ip", 0, 5_007)]
+
+
+def test_large_groups_cost_pairs_in_proportion(spark, monkeypatch):
+    """Near copies meet one hub a round, and texts that share a passage of frequent n-grams meet none."""
+    rng = random.Random(8)
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    base, other, passage = new(200), new(200), new(30)
+    rows = []
+    for k in range(400):
+        near = base.copy()
+        near[rng.randrange(200)] = f"x{k}"
+        rows.append((k, " ".join(near)))
+    for k in range(400, 800):
+        rows.append((k, " ".join([*new(60), *passage, *new(60)])))
+    for k in range(800, 1_000):  # too far from each other by their own words, which no other text has
+        far = other.copy()
+        for at in (20, 60, 100, 140, 180):
+            far[at] = f"y{k}x{at}"
+        rows.append((k, " ".join(far)))
+    made = []
+    whole = jaccard_join.may_link
+
+    def counted(pairs, vertices, percent):
+        made.append(pairs.count())
+        return whole(pairs, vertices, percent)
+
+    monkeypatch.setattr(jaccard_join, "may_link", counted)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.component_id for r in got.collect()}
+    assert found == {k: 0 if k < 400 else k for k in range(1_000)}
+    assert len(made) == jaccard_join.HUB_ROUNDS + 1 and sum(made) < 2 * len(rows)
+
+
+def test_decode_odd_ids_as_the_library(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(6)
+    byte = [library.piece_to_id(f"<0x{b:02X}>") for b in (0x20, 0x41, 0x80, 0xA0, 0xB8, 0xC0, 0xE4, 0xED, 0xF0, 0x9F, 0x99, 0x82)]
+    some = [0, 1, 2, *byte, *[library.piece_to_id(p) for p in ("▁the", "▁", "a", "é", "s")]]
+    rows = [([rng.choice(some) for _ in range(rng.randint(0, 9))],) for _ in range(2_000)]
+    got = sentencepiece_bpe.decode(spark.createDataFrame(rows, "ids array<int>"), path).collect()
+    for ids, text in got:
+        assert text == library.decode(ids), ids

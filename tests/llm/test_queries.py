@@ -85,3 +85,18 @@ def test_pipeline_drops_near_copies_of_five_words(spark):
         assert len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1])
         assert len(sets[k] & sets[k + 2]) < 0.8 * len(sets[k] | sets[k + 2])
     assert sorted(r.doc_id for r in got.collect()) == sorted([*range(0, len(rows), 3), *far])
+
+
+def test_pipeline_keeps_texts_that_share_an_id(spark, tmp_path):
+    """Rows are known by id and text: a copy of one text takes away that text alone."""
+    words = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abcd"}
+    rows = [(1, words["a"]), (2, words["b"]), (2, words["c"]), (3, words["a"]), (3, words["d"]), (None, words["d"]), (4, None), (4, "")]
+    frame = spark.createDataFrame([*rows, rows[1], rows[1]], "doc_id long, text string")
+    got = corpus_pipeline.drop_near_copies(spark, frame, "")
+    expected = [(1, words["a"]), (2, words["b"]), (2, words["c"]), (3, words["d"]), (4, None), (4, "")]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
+
+    item = " ".join(words["b"].split()[10:40])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, got, str(tmp_path))
+    assert sorted(map(repr, map(tuple, left.collect()))) == sorted(map(repr, [r for r in expected if r[1] != words["b"]]))

@@ -5,9 +5,16 @@ hash. Two sets of a high Jaccard share n-grams at the start of that order. So a
 first of its n-grams: rare ones each by itself, frequent ones by pairs within classes of n-grams. Each
 class whose first pair needs two n-grams makes the prefix one n-gram longer. Sets that meet are verified.
 
-Equal sets are one vertex. Of the sets that share an index entry, each is paired with the least one
-first; after the links found that way are merged, only sets of different components are paired. So a
-group of copies costs links in proportion to its size, and no link between components is missed.
+Equal sets are one vertex. First each set is paired with one other only, the least one that it shares an index entry with,
+and what links is merged; then once more, with the least one of another component. After that, sets of different components
+that still share an entry are all paired. So a group of copies costs pairs in proportion to its size, and no link
+between components is missed.
+
+An n-gram is rare if its counter is at most ``RARE``, however large the corpus: an entry of one n-gram holds no more sets than
+that. As the counters fill up, more n-grams are taken as frequent, and are indexed by pairs.
+
+Two sets that meet in entries of frequent pairs alone share no rare n-gram, as all rare ones come before: they have no more in
+common than the smaller number of frequent n-grams, and meet only if that is enough.
 
 Pairs are thinned by bits before sets are compared: each n-gram flips one bit of its set's parity bits, so
 two sets differ in at least as many n-grams as in bits. No close pair is lost by that.
@@ -32,6 +39,9 @@ from .frequencies import row_ids
 SKETCH_BITS, BLOCK_BITS = 22, 16
 MEMBER_BITS = 22
 CLASS_SIZE = 8
+RARE = 32
+HUB_ROUNDS = 2
+PAIRED = np.uint64(1)  # the bit of an entry that tells pairs from single n-grams
 MOST_PARITY_BITS = 1 << 16
 
 _SPACE = np.ones(256, bool)
@@ -121,7 +131,7 @@ def signatures(ordered: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarra
             first[frequent[np.unique(kind[frequent], return_index=True)[1]]] = True
         covered = np.cumsum(~first)
         end = int(np.searchsorted(covered, need)) + 1
-        out.append(ordered[:end][rare[:end]])
+        out.append(ordered[:end][rare[:end]] & ~PAIRED)
         frequent = frequent[frequent < end]
         if len(frequent) > 1:
             order = frequent[np.argsort(kind[frequent], kind="stable")]
@@ -131,7 +141,7 @@ def signatures(ordered: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarra
                     a, b = np.triu_indices(len(group), 1)
                     x, y = ordered[group[a]], ordered[group[b]]
                     pair = (np.minimum(x, y) * np.uint64(0xD6E8FEB86659FD93)) ^ (np.maximum(x, y) + np.uint64(classes))
-                    out.append(pair * np.uint64(0x9E3779B97F4A7C15))
+                    out.append(pair * np.uint64(0x9E3779B97F4A7C15) | PAIRED)
     return np.unique(np.concatenate(out))
 
 
@@ -147,36 +157,37 @@ def parity(own: np.ndarray) -> np.ndarray:
 
 
 def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Every row of ``docs`` with its set's size, digest, parity bits and index entries."""
+    """Every row of ``docs`` with its set's size, number of frequent n-grams, digest, parity bits and index entries."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    limit = 2 * int(sketch.mean()) + 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, ids = shared.value, row_ids()
         for batch in pieces_of(batches, "text", 2 << 20):
             grams, starts = grams_of(batch, n)
-            sizes, digests, parities, entries = [], [], [], []
+            sizes, often_, digests, parities, entries = [], [], [], [], []
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 own = np.unique(grams[a:b])
                 often = counts[_slots(own, SKETCH_BITS)]
                 order = np.argsort(often, kind="stable")
                 sizes.append(len(own))
+                often_.append(int(np.count_nonzero(often > RARE)))
                 digests.append(hashlib.md5(own.tobytes(), usedforsecurity=False).digest())
                 parities.append(parity(own))
-                entries.append(signatures(own[order], often[order] <= limit, percent).view(np.int64))
+                entries.append(signatures(own[order], often[order] <= RARE, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.fromiter(ids, np.int64, len(sizes))),
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
+                    pa.array(often_, pa.int64()),
                     pa.array(digests, pa.binary()),
                     _lists(parities),
                     _lists(entries),
                 ],
-                names=["row", "doc_id", "n", "digest", "parity", "entries"],
+                names=["row", "doc_id", "n", "frequent", "digest", "parity", "entries"],
             )
 
-    schema = "row long, doc_id long, n long, digest binary, parity array<bigint>, entries array<bigint>"
+    schema = "row long, doc_id long, n long, frequent long, digest binary, parity array<bigint>, entries array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -247,6 +258,27 @@ def verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, n: int, per
     return stored(pairs.join(a, "a").join(b, "b").filter(common * 100 >= united * percent).select("a", "b"))
 
 
+def may_meet(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Whether sets of these sizes (n) and numbers of frequent n-grams can be close enough, having met in ``entry``."""
+    sizes = F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent
+    common = F.least(a["frequent"], b["frequent"]) * (100 + percent) >= (a["n"] + b["n"]) * percent
+    return sizes & ((F.col("entry").bitwiseAND(F.lit(1)) == 0) | common)
+
+
+def one_hub(placed: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
+    """A pair (a, b) for each set b that shares an entry with a set of another label: the least such hub of its entries.
+
+    ``placed`` has entry, vertex, n, frequent and label; an entry's hub is its least vertex. Pairs in ``tried`` are not given again.
+    """
+    hubs = placed.groupBy("entry").agg(F.min(F.struct("vertex", "n", "frequent", "label")).alias("hub"))
+    fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"hub.{c}") for c in ("n", "frequent")}, percent)
+    met = placed.join(hubs, "entry").filter((F.col("label") != F.col("hub.label")) & fit)
+    pairs = met.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b"))
+    if tried is not None:
+        pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+    return stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Set size and component of every row of ``docs`` (doc_id, text): one row out for each row in.
 
@@ -258,27 +290,28 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     sketch = count_sketch(docs, n)
     rows = stored(indexed(docs, sketch, n, percent))
     filled = rows.filter("n > 0")
-    same = [F.first(c).alias(c) for c in ("n", "parity", "entries")]
+    same = [F.first(c).alias(c) for c in ("n", "frequent", "parity", "entries")]
     vertices = stored(filled.groupBy("digest").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), *same))
-    entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n").repartition("entry")
-    shared = entries.groupBy("entry").agg(F.count("*").alias("times"), F.min(F.struct("vertex", "n")).alias("hub"))
-    entries = stored(entries.join(shared.filter("times > 1").select("entry", "hub"), "entry"))
-    fit = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
-    stars = entries.filter((F.col("vertex") != F.col("hub.vertex")) & fit)
-    stars = stored(stars.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b")).distinct())
-    links = verified(stars, docs, vertices, n, percent)
-    labels = stored(components(links)).withColumnRenamed("node", "vertex")
-    # Entries that sets of different components share: all their pairs, but for the ones done.
-    sizes = vertices.select("vertex", "n").join(labels, "vertex", "left")
-    sizes = sizes.select("vertex", "n", F.coalesce("label", "vertex").alias("label"))
-    left = entries.select("entry", "vertex").join(sizes, "vertex")
-    mixed = left.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    left = stored(left.join(mixed.select("entry"), "entry", "left_semi"))
-    right = left.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "label")])
+    entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n", "frequent").repartition("entry")
+    shared = entries.groupBy("entry").agg(F.count("*").alias("times")).filter("times > 1")
+    entries = stored(entries.join(shared.select("entry"), "entry"))
+    links = tried = None
+    placed = entries.withColumn("label", F.col("vertex"))
+    for _ in range(HUB_ROUNDS):
+        pairs = one_hub(placed, tried, percent)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = verified(pairs, docs, vertices, n, percent)
+        links = found if links is None else links.unionByName(found)
+        labels = stored(components(links)).withColumnRenamed("node", "vertex")
+        placed = entries.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+        # Only entries that sets of different components share are looked at again.
+        mixed = placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        placed = stored(placed.join(mixed.select("entry"), "entry", "left_semi"))
+    right = placed.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "frequent", "label")])
     apart = (F.col("vertex") < F.col("vertex_b")) & (F.col("label") != F.col("label_b"))
-    fit = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
-    pairs = left.join(right, "entry").filter(apart & fit).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
-    more = verified(pairs.distinct().join(stars, ["a", "b"], "left_anti"), docs, vertices, n, percent)
+    fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"{c}_b") for c in ("n", "frequent")}, percent)
+    pairs = placed.join(right, "entry").filter(apart & fit).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
+    more = verified(pairs.distinct().join(tried, ["a", "b"], "left_anti"), docs, vertices, n, percent)
     labels = components(links.unionByName(more)).withColumnRenamed("node", "vertex")
     named = vertices.select("digest", "vertex", "doc_id").join(labels, "vertex", "left")
     named = stored(named.select("digest", "doc_id", F.coalesce("label", "vertex").alias("label")))

@@ -329,6 +329,41 @@ def test_slices_keep_the_order(spark, slices):
             assert r[SLICE] == (0 if r["at"] is None else bisect_right(borders[r.k], r["at"]))
 
 
+def test_a_row_meets_few_candidate_slices(spark, monkeypatch):
+    """Each join that finds a slice offers a bounded number of candidates, however many slices there are."""
+    from tidemark.operators import skew
+
+    rows = spark.range(6_000).select(F.lit("a").alias("k"), F.col("id").alias("at"))
+    found = skew.find_hot_keys(rows, ["k"], "at", SkewPolicy(hot_rows=100, sample=1.0, slice_rows=4))
+    assert found.most > 1_000
+    offered, plain = [], skew.match_keys
+
+    def watched(rows, small, *rest):
+        by = [c for c in small.columns if c in ("k", skew._OF_BLOCK)]
+        # The topmost table has no block above it: all its rows are candidates.
+        by = by if skew._BLOCK in rows.columns else ["k"]
+        offered.append(small.groupBy(*by).count().agg(F.max("count")).first()[0])
+        return plain(rows, small, *rest)
+
+    monkeypatch.setattr(skew, "match_keys", watched)
+    got = skew.with_slice(rows, found, ["k"], "at")
+    assert max(offered) <= 16
+    assert got.count() == 6_000 and got.select(skew.SLICE).distinct().count() == found.most
+
+
+
+def test_hot_rows_are_summed_up_once(spark):
+    """However many levels the slices are chained in, the log is not read again for each."""
+    log = spark.range(400).selectExpr("id + 1 AS change_id", "'I' AS operation", "'x' AS k", "'1' AS a")
+
+    def reads(chain):
+        rows = replay(log, spec(quarantine=False), skew=SkewPolicy(hot_rows=10, sample=1.0, slice_rows=4, chain=chain))
+        assert totals(rows) == {"INSERTED": 1, "FAILED": 399}
+        return rows._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 400")
+
+    assert reads(2) <= reads(1_000)
+
+
 # -- generator -------------------------------------------------------------------
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binds import bind
+from ..sources.scratch import Scratch
 from ..spec import ChangeSpec, SpecError
 from .keys import key_join, key_types_of
 from .mapping import given, prepare, unknown_op
@@ -201,19 +202,24 @@ def _carry(rows: DataFrame, spec: ChangeSpec, keys: list[str], hot: HotKeys) ->
         F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(True)))).alias(_IF_THERE),
         F.max(_insert_fails(spec, F.coalesce(F.col(own(PRESENT)), F.lit(False)))).alias(_IF_ABSENT),
     )
-    return _chained(summary, keys, hot.most, max(2, hot.chain), hot.null_safe)
+    return _chained(summary, keys, hot.most, max(2, hot.chain), hot.null_safe, hot.scratch)
 
 
 _ENDS, _IF_THERE, _IF_ABSENT, _GROUP = own("ends"), own("if_there"), own("if_absent"), own("group")
 
 
-def _chained(summary: DataFrame, keys: list[str], most: int, chain: int, null_safe: bool) -> DataFrame:
+def _chained(
+    summary: DataFrame, keys: list[str], most: int, chain: int, null_safe: bool, scratch: Scratch
+) -> DataFrame:
     """What each slice inherits, from a summary per slice: how it ends (null: as it starts), and whether an
     insert fails in it if the row is there, or absent, when it starts.
 
     A task chains ``chain`` slices at most. Where a key has more, groups of them are summed up in the same form and chained
-    in turn, until one group is left; what a group inherits then goes to its slices.
+    in turn, until one group is left; what a group inherits then goes to its slices. As the way up and the way down
+    both read them, summaries are written where there is more than one level: hot rows are summed up once.
     """
+    if most > chain:
+        summary = scratch.write(summary)
     group = F.floor(F.col(SLICE) / chain).cast("int")
     within = [*keys, _GROUP]
     summary = summary.withColumn(_GROUP, group)
@@ -228,7 +234,7 @@ def _chained(summary: DataFrame, keys: list[str], most: int, chain: int, null_sa
         above = summary.groupBy(*keys, F.col(_GROUP).alias(SLICE)).agg(
             F.max_by(_ENDS, at).alias(_ENDS), F.max(own("f1")).alias(_IF_THERE), F.max(own("f0")).alias(_IF_ABSENT)
         )
-        groups = _chained(above, keys, -(-most // chain), chain, null_safe).withColumnRenamed(SLICE, _GROUP)
+        groups = _chained(above, keys, -(-most // chain), chain, null_safe, scratch).withColumnRenamed(SLICE, _GROUP)
         carried = match_keys(summary, groups, within, "inner", null_safe)
     failed = F.when(F.col(PRESENT_IN), F.col(own("f1"))).otherwise(F.col(own("f0")))
     return carried.select(

@@ -14,8 +14,10 @@ from .names import own
 from .ranks import with_rank
 
 SLICE, _BLOCK, _OF_BLOCK = own("slice"), own("block"), own("of_block")
-_LOW, _HIGH, _STEP = own("low"), own("high"), own("step")
+_LOW, _HIGH = own("low"), own("high")
 _POINTS_PER_SLICE = 32
+# Fixed value: parts of a block of slices.
+_FAN = 16
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,14 @@ class HotKeys:
     """The slices of the hot keys: a stored table with a row per slice and the order keys between which it lies.
 
     ``most`` is the number of slices of the hottest key. ``null_safe`` tells whether a key with a null is among
-    them; a plain comparison of key columns is a good deal faster.
+    them; a plain comparison of key columns is a good deal faster. What is chained is kept in ``scratch``.
     """
 
     slices: DataFrame
     most: int
     chain: int
     null_safe: bool
+    scratch: Scratch
 
 
 def _bernoulli(rows: DataFrame, share: float, seed: int) -> DataFrame:
@@ -92,7 +95,7 @@ def find_hot_keys(
     following = Window.partitionBy(*keys).orderBy(SLICE)
     slices = open_ends.unionByName(borders).withColumn(_HIGH, F.lead(_LOW).over(following))
     slices = scratch.write(slices)
-    return HotKeys(slices, slices.agg(F.max(SLICE)).first()[0] + 1, policy.chain, null_safe)
+    return HotKeys(slices, slices.agg(F.max(SLICE)).first()[0] + 1, policy.chain, null_safe, scratch)
 
 
 def match_keys(
@@ -119,19 +122,29 @@ def with_slice(rows: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -
     """Add the slice number of each row of a hot key; null for ordinary keys.
 
     Slice n holds the rows from its lower border up to the next one's; rows without an order key come
-    first. The right one is found by two joins with about the square root of the number of slices as
-    candidates each: a block of slices, then a slice of that block.
+    first. The right one is found from the top of a tree down: blocks of blocks of slices, then one of the at most
+    ``_FAN`` parts of the block found. A row so meets ``_FAN`` candidates a level, whatever the number of slices.
     """
-    step = max(1, math.isqrt(hot.most))
-    of_block = F.floor(F.col(SLICE) / step).cast("int")
-    # A block is open below where its first slice is, and above where its last one is.
-    first, last = F.min_by(_LOW, SLICE), F.max_by(_HIGH, SLICE)
-    blocks = hot.slices.groupBy(*keys, of_block.alias(_BLOCK)).agg(first.alias(_LOW), last.alias(_HIGH))
-    parts = hot.slices.select(*keys, SLICE, of_block.alias(_OF_BLOCK), _LOW, _HIGH)
-
+    levels = 1
+    while _FAN**levels < hot.most:
+        levels += 1
     at, low, high = F.col(order), F.col(_LOW), F.col(_HIGH)
     inside = low.isNull() | F.coalesce(at >= low, F.lit(False))
     inside = inside & (high.isNull() | F.coalesce(at < high, F.lit(True)))
-    rows = match_keys(rows, blocks, keys, "left", hot.null_safe, inside).drop(_LOW, _HIGH)
-    rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside & (F.col(_BLOCK) == F.col(_OF_BLOCK)))
-    return rows.drop(_LOW, _HIGH, _BLOCK, _OF_BLOCK)
+    of_block = F.floor(F.col(SLICE) / _FAN).cast("int").alias(_OF_BLOCK)
+    for level in reversed(range(levels)):
+        parts = hot.slices
+        if level:
+            # A block is open below where its first slice is, and above where its last one is.
+            first, last = F.min_by(_LOW, SLICE), F.max_by(_HIGH, SLICE)
+            block = F.floor(F.col(SLICE) / _FAN**level).cast("int")
+            parts = parts.groupBy(*keys, block.alias(_BLOCK)).agg(first.alias(_LOW), last.alias(_HIGH))
+            parts = parts.withColumnRenamed(_BLOCK, SLICE)
+        parts = parts.select(*keys, SLICE, of_block, _LOW, _HIGH)
+        if level == levels - 1:
+            rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside)
+        else:
+            rows = rows.withColumnRenamed(SLICE, _BLOCK)
+            rows = match_keys(rows, parts, keys, "left", hot.null_safe, inside & (F.col(_BLOCK) == F.col(_OF_BLOCK)))
+        rows = rows.drop(_LOW, _HIGH, _BLOCK, _OF_BLOCK)
+    return rows

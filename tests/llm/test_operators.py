@@ -234,6 +234,26 @@ class TestPersonalData:
         assert hits >= 54
         assert wrong <= 1
 
+    def test_field_learns_from_every_text(self, spark):
+        """All nodes of all texts are counted, and the limit heeds every held-out text."""
+        texts = [f"Text {k} has +49 30 {1234567 + k} in it" + f" and me{k}@site.org" * (k % 90) for k in range(2_300)]
+        docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+        *_, counts = personal_data.node_counts(personal_data.telling_texts(docs))
+        assert counts.sum() == sum(sum(label >= 0 for label in personal_data.planted_nodes(t)[1]) for t in texts)
+        node = np.zeros((personal_data.FEATURES, 5))
+        node[0, 3] = 2.0  # takes anything for a phone, at 0.65
+        field = personal_data.Field(node, np.zeros((5, 5)), np.zeros((5, 5)))
+        shares = [personal_data.sure_of(personal_data.telling_texts(docs), field, wrong) for wrong in (0.0, 1.0)]
+        assert shares == [personal_data.SURE, 0.6]
+
+    def test_what_is_planted_stands_apart(self):
+        """The spans of a text with planted stretches are its own and theirs, found apart."""
+        for text in ("mail a@b.c", "a@b", "+49 30 1234567", "at +4", "1.2.3.4", "4111 1111 1111 1111 ", "x 1.2.3", "me@", "card 4111-1111-"):
+            base = personal_data.base_spans(text)
+            more, _ = personal_data.planted(text, base)
+            moved = [(kind, a + len(text), b + len(text)) for kind, a, b in personal_data.base_spans(more)]
+            assert sorted(base + moved) == sorted(personal_data.base_spans(text + more))
+
     def test_exact_on_a_tree(self):
         """Without circles the messages give the true marginals."""
         rng = np.random.default_rng(1)

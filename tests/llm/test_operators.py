@@ -175,6 +175,24 @@ class TestRepeatedSpans:
         assert repeated_spans.without_repeats(no_docs).count() == 0
 
 
+def test_segments_by_chunks(monkeypatch):
+    """Segments do not depend on how many texts are hashed at a time, and memory follows the chunk, not the piece."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 101, size).astype(np.uint8)) for size in (0, 199, 200, 5_000, 700, 30_000, 1, 2_000)] * 20
+    flat, starts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    tracemalloc.start()
+    by_chunk = repeated_spans.Segments(flat, starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(flat)
+    monkeypatch.setattr(repeated_spans, "CHUNK", 1 << 30)
+    at_once = repeated_spans.Segments(flat, starts)
+    for name in ("text", "begin", "size", "place", "anchor", "content"):
+        assert np.array_equal(getattr(by_chunk, name), getattr(at_once, name))
+
+
 class TestPersonalData:
     def field(self, docs):
         return personal_data.fit_field(docs)

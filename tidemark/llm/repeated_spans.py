@@ -37,6 +37,7 @@ SLOT_BITS, BLOCK_BITS = 26, 16
 PLACE_BITS = 28
 MEMBER_BITS = 22
 COLLECTION = 20_000
+CHUNK = 1 << 17
 REPEATED, MIXED, HOT, SHARED = FLAGS = 1, 2, 4, 8
 MISSING = 0xFF  # in no UTF-8 text
 
@@ -69,32 +70,48 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Segments:
-    """The segments of many texts: text, anchor hash, content hash, first byte, bytes, and the anchor's place in it."""
+    """The segments of many texts: text, anchor hash, content hash, first byte, bytes, and the anchor's place in it.
+
+    Hashes of all places are many times the texts' size, so they are made for about ``CHUNK`` bytes of whole
+    texts at a time, and only the segments are kept.
+    """
 
     def __init__(self, data: np.ndarray, starts: np.ndarray):
-        self.rolling = rolling = Rolling(data)
-        n = len(data) - WINDOW + 1
+        parts = []
+        first = 0
+        while first < len(starts) - 1:
+            after = max(first + 1, int(np.searchsorted(starts, starts[first] + CHUNK, side="right")) - 1)
+            own = starts[first : after + 1]
+            if len(found := _segments(data[own[0] : own[-1]], own - own[0])):
+                found[0] += first
+                found[1] += own[0]
+                parts.append(found)
+            first = after
         none = np.zeros(0, np.int64)
-        self.text, self.begin, self.size, self.place = none, none, none, none
-        self.anchor = self.content = np.zeros(0, np.uint64)
-        if n <= 0:
-            return
-        at = np.arange(len(data) - GRAM + 1)
-        grams = rolling.parts(at, at + GRAM)
-        low = np.uint64((1 << PLACE_BITS) - 1)
-        least = least_in_windows(grams & ~low | at.astype(np.uint64), SPAN)
-        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
-        inside = at[:n] + WINDOW <= starts[1:][owner]
-        where = np.flatnonzero(inside)
-        if not len(where):
-            return
-        chosen = (least[where] & low).astype(np.int64)
-        new = np.flatnonzero(np.diff(chosen, prepend=-1) != 0)
-        first, last = where[new], where[np.append(new[1:], len(where)) - 1]
-        self.text, self.begin, self.size = owner[first], first, last + WINDOW - first
-        self.place = chosen[new] - first
-        self.anchor = grams[chosen[new]]
-        self.content = rolling.parts(first, first + self.size)
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [none] * 4 + [none.view(np.uint64)] * 2
+        self.text, self.begin, self.size, self.place, self.anchor, self.content = columns
+
+
+def _segments(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Text, first byte, bytes, anchor's place, anchor and content hash of each segment; empty if there is none."""
+    n = len(data) - WINDOW + 1
+    if n <= 0:
+        return []
+    rolling = Rolling(data)
+    at = np.arange(len(data) - GRAM + 1)
+    grams = rolling.parts(at, at + GRAM)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    least = least_in_windows(grams & ~low | at.astype(np.uint64), SPAN)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
+    inside = at[:n] + WINDOW <= starts[1:][owner]
+    where = np.flatnonzero(inside)
+    if not len(where):
+        return []
+    chosen = (least[where] & low).astype(np.int64)
+    new = np.flatnonzero(np.diff(chosen, prepend=-1) != 0)
+    first, last = where[new], where[np.append(new[1:], len(where)) - 1]
+    size = last + WINDOW - first
+    return [owner[first], first, size, chosen[new] - first, grams[chosen[new]], rolling.parts(first, first + size)]
 
 
 def _slot(anchor: np.ndarray) -> np.ndarray:
@@ -224,6 +241,7 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                     bytes=pa.array([data[a:b].tobytes() for a, b in zip(found.begin[some], ends, strict=True)], pa.binary()),
                 )
             at = np.flatnonzero(flags & HOT)
+            rolling = Rolling(data) if len(at) else None
             for i in range(0, len(at), 4_096):
                 some = at[i : i + 4_096]
                 windows = found.size[some] - WINDOW + 1
@@ -234,7 +252,7 @@ def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                     len(owner),
                     text_key=batch.column(0).take(pa.array(found.text[owner])),
                     anchor=pa.array(found.anchor[owner].view(np.int64)),
-                    content=pa.array(found.rolling.parts(begin, begin + WINDOW).view(np.int64)),
+                    content=pa.array(rolling.parts(begin, begin + WINDOW).view(np.int64)),
                     begin=pa.array(begin - starts[found.text[owner]]),
                     size=pa.array(np.full(len(owner), WINDOW)),
                 )

@@ -6,9 +6,9 @@ first of its n-grams: rare ones each by itself, frequent ones by pairs within cl
 class whose first pair needs two n-grams makes the prefix one n-gram longer. Sets that meet are verified.
 
 Equal sets are one vertex. First each set is paired with one other only, the least one that it shares an index entry with,
-and what links is merged; then once more, with the least one of another component. After that, sets of different components
-that still share an entry are all paired. So a group of copies costs pairs in proportion to its size, and no link
-between components is missed.
+and what links is merged; then again, with one of another component, in another order each round, as long as this links many.
+After that, sets of different components that still share an entry are all paired. So a group of copies costs pairs in
+proportion to its size, and no link between components is missed.
 
 An n-gram is rare if its counter is at most ``RARE``, however large the corpus: an entry of one n-gram holds no more sets than
 that. As the counters fill up, more n-grams are taken as frequent, and are indexed by pairs.
@@ -17,7 +17,8 @@ Two sets that meet in entries of frequent pairs alone share no rare n-gram, as a
 common than the smaller number of frequent n-grams, and meet only if that is enough.
 
 Pairs are thinned by bits before sets are compared: each n-gram flips one bit of its set's parity bits, so
-two sets differ in at least as many n-grams as in bits. No close pair is lost by that.
+two sets differ in at least as many n-grams as in bits. No close pair is lost by that. Where all sets of an entry are
+paired, each carries its bits folded to ``FOLDED`` words, so that the join itself leaves out pairs that are far apart.
 """
 
 from __future__ import annotations
@@ -40,9 +41,12 @@ SKETCH_BITS, BLOCK_BITS = 22, 16
 MEMBER_BITS = 22
 CLASS_SIZE = 8
 RARE = 32
-HUB_ROUNDS = 2
+HUB_ROUNDS, MOST_HUB_ROUNDS = 2, 10
+WORTH = 10  # a round is followed by one more if one in so many of its pairs links
 PAIRED = np.uint64(1)  # the bit of an entry that tells pairs from single n-grams
 MOST_PARITY_BITS = 1 << 16
+FOLDED = 4  # words of 64 bits; a row of parity bits has as many or a multiple
+WORDS = [f"bits{k}" for k in range(FOLDED)]
 
 _SPACE = np.ones(256, bool)
 _SPACE[[32, *range(9, 14)]] = False
@@ -156,8 +160,14 @@ def parity(own: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(slots, minlength=bits) & 1).view(np.int64)
 
 
+def folded(parities: list[np.ndarray]) -> np.ndarray:
+    """Each row of parity bits added up to ``FOLDED`` words: the bits that a shorter row would have."""
+    rows = [np.bitwise_xor.reduce(p.reshape(-1, FOLDED), axis=0) for p in parities]
+    return np.array(rows, np.int64).reshape(-1, FOLDED)
+
+
 def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Every row of ``docs`` with its set's size, number of frequent n-grams, digest, parity bits and index entries."""
+    """Every row of ``docs`` with its set's size, number of frequent n-grams, digest, parity bits (also folded) and index entries."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,11 +193,13 @@ def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFr
                     pa.array(digests, pa.binary()),
                     _lists(parities),
                     _lists(entries),
+                    *(pa.array(words) for words in folded(parities).T),
                 ],
-                names=["row", "doc_id", "n", "frequent", "digest", "parity", "entries"],
+                names=["row", "doc_id", "n", "frequent", "digest", "parity", "entries", *WORDS],
             )
 
     schema = "row long, doc_id long, n long, frequent long, digest binary, parity array<bigint>, entries array<bigint>"
+    schema += "".join(f", {word} long" for word in WORDS)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -224,7 +236,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 def bits_apart(x: str, y: str) -> Column:
     """In how many parity bits two sets differ; the longer row of bits is folded onto the shorter one."""
 
-    def folded(long_: Column, short: Column) -> Column:
+    def shortened(long_: Column, short: Column) -> Column:
         half = F.zip_with(
             F.slice(long_, 1, F.greatest(F.size(short), F.lit(1))),
             F.slice(long_, F.size(short) + 1, F.greatest(F.size(short), F.lit(1))),
@@ -232,7 +244,7 @@ def bits_apart(x: str, y: str) -> Column:
         )
         return F.when(F.size(long_) > F.size(short), half).otherwise(long_)
 
-    apart = F.zip_with(folded(F.col(x), F.col(y)), folded(F.col(y), F.col(x)), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = F.zip_with(shortened(F.col(x), F.col(y)), shortened(F.col(y), F.col(x)), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
 
 
@@ -265,18 +277,27 @@ def may_meet(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column
     return sizes & ((F.col("entry").bitwiseAND(F.lit(1)) == 0) | common)
 
 
-def one_hub(placed: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
-    """A pair (a, b) for each set b that shares an entry with a set of another label: the least such hub of its entries.
+def folded_near(percent: int) -> Column:
+    """Whether the folded bits of a pair (the second set's columns end in _b) leave it open that the sets are close enough."""
+    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS), F.lit(0))
+    return apart * (100 + percent) <= (F.col("n") + F.col("n_b")) * (100 - percent)
+
+
+def one_hub(placed: DataFrame, tried: DataFrame | None, percent: int, turn: int = 0) -> DataFrame:
+    """A pair (a, b) for each set b that shares an entry with a set of another label: the first such hub of its entries.
 
-    ``placed`` has entry, vertex, n, frequent and label; an entry's hub is its least vertex. Pairs in ``tried`` are not given again.
+    ``placed`` has entry, vertex, n, frequent and label; an entry's hub is its first vertex, by number in turn 0 and by
+    a hash in each later one. Pairs in ``tried``, in either order, are not given again.
     """
-    hubs = placed.groupBy("entry").agg(F.min(F.struct("vertex", "n", "frequent", "label")).alias("hub"))
+    rank = F.xxhash64("vertex", F.lit(turn)) if turn else F.col("vertex")
+    hubs = placed.groupBy("entry").agg(F.min(F.struct(rank.alias("rank"), "vertex", "n", "frequent", "label")).alias("hub"))
     fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"hub.{c}") for c in ("n", "frequent")}, percent)
     met = placed.join(hubs, "entry").filter((F.col("label") != F.col("hub.label")) & fit)
-    pairs = met.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b"))
+    pairs = met.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b"), "hub.rank")
     if tried is not None:
-        pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
-    return stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        pairs = pairs.distinct().join(both, ["a", "b"], "left_anti")
+    return stored(pairs.groupBy("b").agg(F.min(F.struct("rank", "a")).alias("first")).select("first.a", "b"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -290,15 +311,15 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     sketch = count_sketch(docs, n)
     rows = stored(indexed(docs, sketch, n, percent))
     filled = rows.filter("n > 0")
-    same = [F.first(c).alias(c) for c in ("n", "frequent", "parity", "entries")]
+    same = [F.first(c).alias(c) for c in ("n", "frequent", "parity", "entries", *WORDS)]
     vertices = stored(filled.groupBy("digest").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), *same))
     entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n", "frequent").repartition("entry")
     shared = entries.groupBy("entry").agg(F.count("*").alias("times")).filter("times > 1")
     entries = stored(entries.join(shared.select("entry"), "entry"))
     links = tried = None
     placed = entries.withColumn("label", F.col("vertex"))
-    for _ in range(HUB_ROUNDS):
-        pairs = one_hub(placed, tried, percent)
+    for turn in range(MOST_HUB_ROUNDS):
+        pairs = one_hub(placed, tried, percent, turn)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = verified(pairs, docs, vertices, n, percent)
         links = found if links is None else links.unionByName(found)
@@ -307,11 +328,15 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
         # Only entries that sets of different components share are looked at again.
         mixed = placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
         placed = stored(placed.join(mixed.select("entry"), "entry", "left_semi"))
-    right = placed.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "frequent", "label")])
+        if turn + 1 >= HUB_ROUNDS and found.count() * WORTH <= pairs.count():
+            break
+    placed = stored(placed.join(vertices.select("vertex", *WORDS), "vertex"))
+    right = placed.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "frequent", "label", *WORDS)])
     apart = (F.col("vertex") < F.col("vertex_b")) & (F.col("label") != F.col("label_b"))
     fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"{c}_b") for c in ("n", "frequent")}, percent)
-    pairs = placed.join(right, "entry").filter(apart & fit).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
-    more = verified(pairs.distinct().join(tried, ["a", "b"], "left_anti"), docs, vertices, n, percent)
+    pairs = placed.join(right, "entry").filter(apart & fit & folded_near(percent)).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
+    both = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = verified(pairs.distinct().join(both, ["a", "b"], "left_anti"), docs, vertices, n, percent)
     labels = components(links.unionByName(more)).withColumnRenamed("node", "vertex")
     named = vertices.select("digest", "vertex", "doc_id").join(labels, "vertex", "left")
     named = stored(named.select("digest", "doc_id", F.coalesce("label", "vertex").alias("label")))

@@ -8,7 +8,8 @@ class whose first pair needs two n-grams makes the prefix one n-gram longer. Set
 Equal sets are one vertex. First each set is paired with one other only, the least one that it shares an index entry with,
 and what links is merged; then again, with one of another component, in another order each round, as long as this links many.
 After that, sets of different components that still share an entry are all paired. So a group of copies costs pairs in
-proportion to its size, and no link between components is missed.
+proportion to its size, and no link between components is missed. Sets that share a passage meet in each of its n-grams: of
+the entries that hold the same sets, one is kept.
 
 An n-gram is rare if its counter is at most ``RARE``, however large the corpus: an entry of one n-gram holds no more sets than
 that. As the counters fill up, more n-grams are taken as frequent, and are indexed by pairs.
@@ -17,8 +18,9 @@ Two sets that meet in entries of frequent pairs alone share no rare n-gram, as a
 common than the smaller number of frequent n-grams, and meet only if that is enough.
 
 Pairs are thinned by bits before sets are compared: each n-gram flips one bit of its set's parity bits, so
-two sets differ in at least as many n-grams as in bits. No close pair is lost by that. Where all sets of an entry are
-paired, each carries its bits folded to ``FOLDED`` words, so that the join itself leaves out pairs that are far apart.
+two sets differ in at least as many n-grams as in bits. No close pair is lost by that. After the first round each set carries
+its bits folded to ``FOLDED`` words, so that hubs are near and the join of all sets leaves out pairs that are far apart. In
+that join each set also carries the entries before the present one: a pair is not made again where it has just met.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import flat_text, pieces_of, stored
@@ -42,7 +44,8 @@ MEMBER_BITS = 22
 CLASS_SIZE = 8
 RARE = 32
 HUB_ROUNDS, MOST_HUB_ROUNDS = 2, 10
-WORTH = 10  # a round is followed by one more if one in so many of its pairs links
+WORTH = 20  # a round is followed by one more if it found one in so many of all links
+BEFORE = 8  # entries of a set that tell whether a pair has met already
 PAIRED = np.uint64(1)  # the bit of an entry that tells pairs from single n-grams
 MOST_PARITY_BITS = 1 << 16
 FOLDED = 4  # words of 64 bits; a row of parity bits has as many or a multiple
@@ -283,17 +286,44 @@ def folded_near(percent: int) -> Column:
     return apart * (100 + percent) <= (F.col("n") + F.col("n_b")) * (100 - percent)
 
 
+def without_same_members(entries: DataFrame) -> DataFrame:
+    """``entries`` (entry, vertex, ...) of one entry for each set of two or more vertices: none of pairs, if there is one.
+
+    Vertex sets are known by their size and 128 bits of hashes.
+    """
+    vertex = [F.xxhash64("vertex", F.lit(k)) for k in range(2)]
+    members = entries.groupBy("entry").agg(F.count("*").alias("times"), *(F.bit_xor(v).alias(f"members{k}") for k, v in enumerate(vertex)))
+    first = F.min(F.struct(F.col("entry").bitwiseAND(F.lit(1)).alias("paired"), "entry")).alias("first")
+    kept = members.filter("times > 1").groupBy("times", "members0", "members1").agg(first).select("first.entry")
+    return entries.join(kept, "entry")
+
+
+def with_earlier(placed: DataFrame) -> DataFrame:
+    """``placed`` with the ``BEFORE`` entries of the set that come before each one (``earlier``), pairs of n-grams last.
+
+    Sets that share one of them meet there, or earlier still, under conditions that are the same or weaker.
+    """
+    order = Window.partitionBy("vertex").orderBy(F.col("entry").bitwiseAND(F.lit(1)), "entry").rowsBetween(-BEFORE, -1)
+    return placed.withColumn("earlier", F.collect_list("entry").over(order))
+
+
 def one_hub(placed: DataFrame, tried: DataFrame | None, percent: int, turn: int = 0) -> DataFrame:
     """A pair (a, b) for each set b that shares an entry with a set of another label: the first such hub of its entries.
 
     ``placed`` has entry, vertex, n, frequent and label; an entry's hub is its first vertex, by number in turn 0 and by
-    a hash in each later one. Pairs in ``tried``, in either order, are not given again.
+    a hash in each later one. If it has the folded bits too, hubs that these rule out are not taken, so that a set is
+    paired with one that it may link with, whichever entries they share. Pairs in ``tried``, in either order, are not given again.
     """
     rank = F.xxhash64("vertex", F.lit(turn)) if turn else F.col("vertex")
-    hubs = placed.groupBy("entry").agg(F.min(F.struct(rank.alias("rank"), "vertex", "n", "frequent", "label")).alias("hub"))
-    fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"hub.{c}") for c in ("n", "frequent")}, percent)
-    met = placed.join(hubs, "entry").filter((F.col("label") != F.col("hub.label")) & fit)
-    pairs = met.select(F.col("hub.vertex").alias("a"), F.col("vertex").alias("b"), "hub.rank")
+    words = [w for w in WORDS if w in placed.columns]
+    own = ["n", "frequent", *words]
+    hubs = placed.groupBy("entry").agg(F.min(F.struct(rank.alias("rank"), "vertex", "label", *own)).alias("hub"))
+    hubs = hubs.select("entry", "hub.rank", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("vertex", "label", *own)])
+    fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"{c}_b") for c in ("n", "frequent")}, percent)
+    if words:
+        fit &= folded_near(percent)
+    met = placed.join(hubs, "entry").filter((F.col("label") != F.col("label_b")) & fit)
+    pairs = met.select(F.col("vertex_b").alias("a"), F.col("vertex").alias("b"), "rank")
     if tried is not None:
         both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = pairs.distinct().join(both, ["a", "b"], "left_anti")
@@ -314,9 +344,9 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     same = [F.first(c).alias(c) for c in ("n", "frequent", "parity", "entries", *WORDS)]
     vertices = stored(filled.groupBy("digest").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("doc_id"), *same))
     entries = vertices.select(F.explode("entries").alias("entry"), "vertex", "n", "frequent").repartition("entry")
-    shared = entries.groupBy("entry").agg(F.count("*").alias("times")).filter("times > 1")
-    entries = stored(entries.join(shared.select("entry"), "entry"))
+    entries = stored(without_same_members(entries))
     links = tried = None
+    linked = 0
     placed = entries.withColumn("label", F.col("vertex"))
     for turn in range(MOST_HUB_ROUNDS):
         pairs = one_hub(placed, tried, percent, turn)
@@ -324,17 +354,21 @@ def near_duplicates(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
         found = verified(pairs, docs, vertices, n, percent)
         links = found if links is None else links.unionByName(found)
         labels = stored(components(links)).withColumnRenamed("node", "vertex")
-        placed = entries.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+        placed = placed.drop("label").join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
         # Only entries that sets of different components share are looked at again.
         mixed = placed.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        placed = stored(placed.join(mixed.select("entry"), "entry", "left_semi"))
-        if turn + 1 >= HUB_ROUNDS and found.count() * WORTH <= pairs.count():
+        placed = placed.join(mixed.select("entry"), "entry", "left_semi")
+        placed = stored(placed if turn else placed.join(vertices.select("vertex", *WORDS), "vertex"))
+        now = found.count()
+        linked += now
+        if turn + 1 >= HUB_ROUNDS and now * WORTH <= linked:
             break
-    placed = stored(placed.join(vertices.select("vertex", *WORDS), "vertex"))
-    right = placed.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "frequent", "label", *WORDS)])
+    placed = with_earlier(placed)
+    right = placed.select("entry", *[F.col(c).alias(f"{c}_b") for c in ("vertex", "n", "frequent", "label", "earlier", *WORDS)])
     apart = (F.col("vertex") < F.col("vertex_b")) & (F.col("label") != F.col("label_b"))
     fit = may_meet({c: F.col(c) for c in ("n", "frequent")}, {c: F.col(f"{c}_b") for c in ("n", "frequent")}, percent)
-    pairs = placed.join(right, "entry").filter(apart & fit & folded_near(percent)).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
+    fit &= folded_near(percent) & ~F.arrays_overlap("earlier", "earlier_b")
+    pairs = placed.join(right, "entry").filter(apart & fit).select(F.col("vertex").alias("a"), F.col("vertex_b").alias("b"))
     both = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = verified(pairs.distinct().join(both, ["a", "b"], "left_anti"), docs, vertices, n, percent)
     labels = components(links.unionByName(more)).withColumnRenamed("node", "vertex")

@@ -11,10 +11,12 @@ the last ones by range minima. Where a suffix shares ``WINDOW`` bytes with a nei
 repeated. Rounds only go through arrays in sequence, and a collection holds whole anchors, so collections
 are as many tasks as there are.
 
-Segments that occur as they are more than once need no comparison, and anchors that occur once none at
-all: a table of bits, of fixed size, tells them apart before anything is sent; what it lets through
-wrongly is found alone later. Anchors with more than ``most`` segments would be a large collection; their
-windows are dealt by their own hash instead.
+Every segment is sent once to where its anchor's segments meet, as hashes and its place, without bytes; equal
+segments of one text are sent as one. So it is known exactly which anchors occur once: no more is done for those.
+A segment that occurs as it is more than once is repeated as a whole. Only for anchors of different segments are
+bytes needed, those of each distinct segment once: tasks find them by a table of bits, of fixed size, and what it
+lets through wrongly is dropped where the anchor's segments meet. Anchors with more than ``most`` distinct segments
+would be a large collection; the windows of those are dealt by their own hash instead.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import flat_text, pieces_of, stored
@@ -33,12 +35,12 @@ from .decontamination import _mixed, _powers
 
 WINDOW, GRAM = 200, 100
 SPAN = WINDOW - GRAM + 1  # grams in a window, and windows that a gram can be in
-SLOT_BITS, BLOCK_BITS = 26, 16
+SLOT_BITS, BLOCK_BITS = 28, 18
 PLACE_BITS = 28
+SIZE_BITS = 7  # for what a segment's bytes exceed a window by, and for the anchor's place in it: both below ``SPAN``
 MEMBER_BITS = 22
 COLLECTION = 20_000
 CHUNK = 1 << 17
-REPEATED, MIXED, HOT, SHARED = FLAGS = 1, 2, 4, 8
 MISSING = 0xFF  # in no UTF-8 text
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -114,150 +116,128 @@ def _segments(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return [owner[first], first, size, chosen[new] - first, grams[chosen[new]], rolling.parts(first, first + size)]
 
 
-def _slot(anchor: np.ndarray) -> np.ndarray:
-    return (anchor >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def equal_in_text(found: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first of the equal segments of each text, whether it has more of them, and all segments that are not the only one."""
+    order = np.lexsort((found.content, found.anchor, found.text))
+    same = [np.diff(c[order]) == 0 for c in (found.text, found.anchor, found.content)]
+    new = np.flatnonzero(np.concatenate(([True], ~np.logical_and.reduce(same)))) if len(order) else order
+    times = np.diff(np.append(new, len(order)))
+    return order[new], times > 1, np.sort(order[np.repeat(times > 1, times)])
 
 
-def anchor_bits(docs: DataFrame, most: int) -> np.ndarray:
-    """A row of packed bits for each flag: which slots hold an anchor that occurs twice, in different segments,
-    and so in more than ``most``; and which of them hold other anchors too."""
+def dealt_segments(docs: DataFrame) -> DataFrame:
+    """The distinct segments of each of ``docs`` (text_key, text): hashes and text, and in ``at`` the first byte, whether the
+    text has it again, the size beyond a window and the anchor's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text", 1 << 20):
-            found = Segments(*flat_text(batch.column(0)))
-            if not len(found.anchor):
-                continue
-            order = np.lexsort((found.content, found.anchor))
-            anchor, content = found.anchor[order], found.content[order]
-            new = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-            ends = np.append(new[1:], len(anchor))
-            times = np.where(content[new] == content[ends - 1], ends - new, new - ends)  # below zero: mixed
-            columns = [anchor[new].view(np.int64), times.astype(np.int32), content[new].view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "times", "content"])
-
-    sent = docs.select("text").mapInArrow(run, "anchor long, times int, content long")
-    slot = F.shiftrightunsigned("anchor", 64 - SLOT_BITS)
-    known = sent.repartition(slot).withColumn("slot", slot).groupBy("slot", "anchor").agg(
-        F.sum(F.abs("times")).alias("times"),
-        ((F.min("times") < 0) | (F.min("content") != F.max("content"))).alias("mixed"),
-    )
-    mixed = F.col("mixed")
-    bits = (
-        F.lit(REPEATED)
-        .bitwiseOR(F.when(mixed, MIXED).otherwise(0))
-        .bitwiseOR(F.when(mixed & (F.col("times") > most), HOT).otherwise(0))
-    )
-    bits = F.when(F.col("times") > 1, bits).otherwise(0)
-    slots = known.select("slot", bits.alias("bits")).groupBy("slot")
-    slots = slots.agg(F.bit_or("bits").alias("bits"), F.count("*").alias("anchors")).filter("bits > 0")
-    slots = slots.select("slot", F.col("bits").bitwiseOR(F.when(F.col("anchors") > 1, SHARED).otherwise(0)).alias("bits"))
+            data, starts = flat_text(batch.column(1))
+            found = Segments(data, starts)
+            first, several, _ = equal_in_text(found)
+            text = found.text[first]
+            at = ((found.begin[first] - starts[text]) << 1 | several) << SIZE_BITS | (found.size[first] - WINDOW)
+            columns = [found.anchor[first].view(np.int64), found.content[first].view(np.int64)]
+            columns = [*map(pa.array, columns), batch.column(0).take(pa.array(text)), pa.array(at << SIZE_BITS | found.place[first])]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "text_key", "at"])
+
+    return docs.select("text_key", "text").mapInArrow(run, "anchor long, content long, text_key long, at long")
+
+
+def begin_of(at: Column) -> Column:
+    return F.shiftright(at, 2 * SIZE_BITS + 1)
+
+
+def size_of(at: Column) -> Column:
+    return F.shiftright(at, SIZE_BITS).bitwiseAND((1 << SIZE_BITS) - 1) + WINDOW
+
+
+def several_of(at: Column) -> Column:
+    return F.shiftright(at, 2 * SIZE_BITS).bitwiseAND(1)
+
+
+def met_segments(docs: DataFrame) -> DataFrame:
+    """Those of ``dealt_segments`` whose anchor occurs again: ``alone`` if the segment as it is does not, ``mixed`` if
+    the anchor has others, ``chosen`` in one text (or in its repeated rows) for each distinct segment."""
+    times = F.sum(1 + several_of(F.col("at")))
+    by_anchor, by_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
+    dealt = dealt_segments(docs).repartition("anchor").sortWithinPartitions("anchor", "content")
+    met = dealt.withColumn("of_anchor", times.over(by_anchor)).filter("of_anchor > 1").withColumn("times", times.over(by_content))
+    met = met.withColumn("chosen", F.col("text_key") == F.min("text_key").over(by_content))
+    met = met.withColumn("alone", F.col("times") == 1).withColumn("mixed", F.col("times") < F.col("of_anchor"))
+    return met.select("anchor", "content", "text_key", "at", "alone", "mixed", "chosen")
+
+
+def _slots(text_key: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """The two slots of a place in a text."""
+    mixed = _mixed(text_key.view(np.uint64) + (begin.astype(np.uint64) + np.uint64(1)) * _BASE)
+    return [(mixed >> np.uint64(64 - k * SLOT_BITS) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64) for k in (1, 2)]
+
+
+def place_bits(wanted: DataFrame) -> np.ndarray:
+    """Packed bits: the slots of the places of ``wanted`` (text_key, begin)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = np.concatenate(_slots(*(c.to_numpy() for c in batch.columns)))
+            yield pa.RecordBatch.from_arrays([pa.array(slots >> BLOCK_BITS), pa.array(slots)], names=["block", "slot"])
 
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((len(FLAGS), 1 << BLOCK_BITS), bool)
+        out = np.zeros(1 << BLOCK_BITS, bool)
         block = 0
         for part in rows:
             block = part.column(0)[0].as_py()
-            for row, flag in zip(out, FLAGS, strict=True):
-                row[part.column(1).to_numpy() & ((1 << BLOCK_BITS) - 1)] = part.column(2).to_numpy() & flag > 0
-        packed = zlib.compress(np.packbits(out, axis=1, bitorder="little").tobytes(), 1)
+            out[part.column(1).to_numpy() & ((1 << BLOCK_BITS) - 1)] = True
+        packed = zlib.compress(np.packbits(out, bitorder="little").tobytes(), 1)
         yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed])], names=["block", "bits"])
 
-    blocks = slots.select(F.shiftright("slot", BLOCK_BITS).alias("block"), "slot", "bits")
-    table = np.zeros((len(FLAGS), 1 << (SLOT_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
-    for r in blocks.groupBy("block").applyInArrow(pack, "block long, bits binary").collect():
-        table[:, r.block] = np.frombuffer(zlib.decompress(r.bits), np.uint8).reshape(len(FLAGS), -1)
-    return table.reshape(len(FLAGS), -1)
-
-
-def flags_of(table: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    slot = _slot(anchor)
-    at, bit = slot >> 3, (slot & 7).astype(np.uint8)
-    return sum(((row[at] >> bit) & 1) * np.uint8(flag) for row, flag in zip(table, FLAGS, strict=True))
-
-
-OCCURS, SEGMENT, LONE_WINDOW, SURE = 0, 1, 2, 3
-ROWS = "kind int, text_key binary, anchor long, content long, begin long, size int, place int, times long, bytes binary"
+    slots = wanted.select("text_key", "begin").mapInArrow(run, "block long, slot long")
+    table = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    for r in slots.groupBy("block").applyInArrow(pack, "block long, bits binary").collect():
+        table[r.block] = np.frombuffer(zlib.decompress(r.bits), np.uint8)
+    return table.ravel()
 
 
-def shared_segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Segments whose anchor occurs elsewhere, of ``docs`` (text_key, text). Where that is sure, a row for each
-    run of them. Else a row for each occurrence, and for those of mixed anchors one with the bytes, sent once
-    per batch. Hot anchors give windows instead."""
+def runs_and_bytes(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Of ``docs`` (text_key, text): runs (text_key, a, b) of segments that the same text has again, and segments
+    (anchor, content, bytes) whose place is in ``bits``."""
     shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
+    types = {"text_key": pa.int64(), "a": pa.int64(), "b": pa.int64(), "anchor": pa.int64(), "content": pa.int64(), "bytes": pa.binary()}
 
-    def rows(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
-        types = {"text_key": pa.binary(), "anchor": pa.int64(), "content": pa.int64(), "begin": pa.int64()}
-        types |= {"size": pa.int32(), "place": pa.int32(), "times": pa.int64(), "bytes": pa.binary()}
-        filled = [columns.get(name, pa.nulls(n, t)).cast(t) for name, t in types.items()]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *filled], names=["kind", *types])
+    def rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(n, t)) for name, t in types.items()], names=list(types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(zlib.decompress(shared.value), np.uint8).reshape(len(FLAGS), -1)
+        table = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         for batch in pieces_of(batches, "text", 1 << 20):
             data, starts = flat_text(batch.column(1))
             found = Segments(data, starts)
-            flags = flags_of(table, found.anchor)
-            at = np.flatnonzero(flags == REPEATED)
+            first, _, at = equal_in_text(found)
             if len(at):
                 ends = found.begin[at] + found.size[at]
                 new = (found.text[at[1:]] != found.text[at[:-1]]) | (found.begin[at[1:]] > ends[:-1])
                 new = np.flatnonzero(np.concatenate(([True], new)))
-                last = np.append(new[1:], len(at)) - 1
-                some = at[new]
+                some, last = at[new], np.append(new[1:], len(at)) - 1
+                start = starts[found.text[some]]
                 yield rows(
-                    SURE,
                     len(some),
                     text_key=batch.column(0).take(pa.array(found.text[some])),
-                    begin=pa.array(found.begin[some] - starts[found.text[some]]),
-                    size=pa.array(ends[last] - found.begin[some]),
+                    a=pa.array(found.begin[some] - start),
+                    b=pa.array(ends[last] - start),
                 )
-            at = np.flatnonzero((flags & REPEATED > 0) & (flags != REPEATED) & (flags & HOT == 0))
-            if len(at):
-                yield rows(
-                    OCCURS,
-                    len(at),
-                    text_key=batch.column(0).take(pa.array(found.text[at])),
-                    anchor=pa.array(found.anchor[at].view(np.int64)),
-                    content=pa.array(found.content[at].view(np.int64)),
-                    begin=pa.array(found.begin[at] - starts[found.text[at]]),
-                    size=pa.array(found.size[at]),
-                    place=pa.array(np.where(flags[at] & MIXED, 1, 0)),
-                )
-            at = at[flags[at] & MIXED > 0]
-            if len(at):
-                order = at[np.lexsort((found.content[at], found.anchor[at]))]
-                same = (np.diff(found.anchor[order]) == 0) & (np.diff(found.content[order]) == 0)
-                new = np.flatnonzero(np.concatenate(([True], ~same)))
-                times = np.diff(np.append(new, len(order)))
-                some = order[new]
+            keys, begin = batch.column(0).to_numpy()[found.text[first]], found.begin[first] - starts[found.text[first]]
+            hit = [(table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 for slot in _slots(keys, begin)]
+            some = first[np.flatnonzero(hit[0] & hit[1])]
+            if len(some):
                 ends = found.begin[some] + found.size[some]
                 yield rows(
-                    SEGMENT,
                     len(some),
                     anchor=pa.array(found.anchor[some].view(np.int64)),
                     content=pa.array(found.content[some].view(np.int64)),
-                    place=pa.array(found.place[some]),
-                    times=pa.array(times),
                     bytes=pa.array([data[a:b].tobytes() for a, b in zip(found.begin[some], ends, strict=True)], pa.binary()),
                 )
-            at = np.flatnonzero(flags & HOT)
-            rolling = Rolling(data) if len(at) else None
-            for i in range(0, len(at), 4_096):
-                some = at[i : i + 4_096]
-                windows = found.size[some] - WINDOW + 1
-                owner = np.repeat(some, windows)
-                begin = found.begin[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-                yield rows(
-                    LONE_WINDOW,
-                    len(owner),
-                    text_key=batch.column(0).take(pa.array(found.text[owner])),
-                    anchor=pa.array(found.anchor[owner].view(np.int64)),
-                    content=pa.array(rolling.parts(begin, begin + WINDOW).view(np.int64)),
-                    begin=pa.array(begin - starts[found.text[owner]]),
-                    size=pa.array(np.full(len(owner), WINDOW)),
-                )
 
-    return docs.select("text_key", "text").mapInArrow(run, ROWS)
+    schema = "text_key long, a long, b long, anchor long, content long, bytes binary"
+    return docs.select("text_key", "text").mapInArrow(run, schema)
 
 
 def repeated_windows(texts: list[bytes], places: list[int]) -> np.ndarray:
@@ -314,63 +294,82 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
 
 
-def compared(segments: DataFrame) -> DataFrame:
-    """For the distinct segments of ``segments`` (anchor, content, place, times, bytes): where repeated spans lie."""
+def compared(wanted: DataFrame, segments: DataFrame) -> DataFrame:
+    """Repeated spans (text_key, a, b) in those of ``wanted`` (anchor, content, text_key, at, alone) that are alone.
+
+    ``segments`` has the bytes of all of them, and may have others (anchor, content, bytes).
+    """
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         """Collections of whole anchors, each with all its distinct segments."""
-        held: dict = {}
+        rows: dict = {}
+        texts: dict = {}
         last = None
         for batch in batches:
-            for anchor, content, place, times, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if anchor != last and len(held) >= COLLECTION:
-                    yield held
-                    held = {}
+            for anchor, content, key, at, alone, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if anchor != last and len(rows) >= COLLECTION:
+                    yield [(*row, texts[name]) for name, row in rows.items()]
+                    rows, texts = {}, {}
+                elif anchor != last and not rows:
+                    texts = {}  # of anchors that nothing is wanted of
                 last = anchor
-                old = held.get((anchor, content))
-                held[anchor, content] = (place, times + (old[1] if old else 0), raw)
-        if held:
-            yield held
+                if raw is None:
+                    rows[anchor, content] = (key, at, alone)
+                else:
+                    texts[anchor, content] = raw
+        if rows:
+            yield [(*row, texts[name]) for name, row in rows.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in collect(batches):
-            rows = list(held.items())
-            flags = repeated_windows([r[1][2] for r in rows], [r[1][0] for r in rows])
-            anchor, content, begin, end = [], [], [], []
-            for (key, (place, times, raw)), own in zip(rows, flags, strict=True):
-                first = SPAN - 1 - place  # the column of the segment's first byte
-                runs = [(0, len(raw) - WINDOW)] if times > 1 else [(a - first, b - first) for a, b in _runs(own)]
-                for a, b in runs:
-                    anchor.append(key[0])
-                    content.append(key[1])
-                    begin.append(a)
-                    end.append(b + WINDOW)
-            columns = [pa.array(anchor, pa.int64()), pa.array(content, pa.int64())]
-            columns += [pa.array(begin, pa.int64()), pa.array(end, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "a", "b"])
-
-    dealt = segments.select("anchor", "content", "place", "times", "bytes").repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "anchor long, content long, a long, b long")
+        for rows in collect(batches):
+            flags = repeated_windows([raw for *_, raw in rows], [at & ((1 << SIZE_BITS) - 1) for _, at, *_ in rows])
+            text_key, begin, end = [], [], []
+            for (key, at, alone, _), own in zip(rows, flags, strict=True):
+                if alone:
+                    zero = (at >> (2 * SIZE_BITS + 1)) - (SPAN - 1 - (at & ((1 << SIZE_BITS) - 1)))  # where column 0 is in the text
+                    for a, b in _runs(own):
+                        text_key.append(key)
+                        begin.append(zero + a)
+                        end.append(zero + b + WINDOW)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (text_key, begin, end)], names=["text_key", "a", "b"])
+
+    rows = wanted.select("anchor", "content", "text_key", "at", "alone")
+    rows = rows.unionByName(segments.select("anchor", "content", "bytes"), allowMissingColumns=True)
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "text_key long, a long, b long")
+
+
+def compared_by_hash(wanted: DataFrame, segments: DataFrame) -> DataFrame:
+    """The same, by the hashes of all windows of the segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for anchor, content, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                begin = np.arange(len(raw) - WINDOW + 1)
+                window = Rolling(np.frombuffer(raw, np.uint8)).parts(begin, begin + WINDOW).view(np.int64)
+                columns = [np.full(len(begin), anchor), np.full(len(begin), content), window, begin]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["anchor", "content", "window", "a"])
+
+    one_each = segments.select("anchor", "content", "bytes").dropDuplicates(["anchor", "content"])
+    windows = one_each.mapInArrow(run, "anchor long, content long, window long, a long")
+    twice = windows.groupBy("anchor", "window").agg(F.count("*").alias("times")).filter("times > 1").select("anchor", "window")
+    met = windows.join(twice, ["anchor", "window"], "left_semi").join(wanted.filter("alone"), ["anchor", "content"])
+    begin = begin_of(F.col("at")) + F.col("a")
+    return met.select("text_key", begin.alias("a"), (begin + WINDOW).alias("b"))
 
 
 def repeated_spans(docs: DataFrame, most: int = 100_000) -> DataFrame:
     """Spans (text_key, a, b; bytes, b excluded) of ``docs`` (text_key, text) whose windows occur elsewhere too."""
-    bits = anchor_bits(docs, most)
-    found = stored(shared_segments(docs, bits))
-    plain = found.filter((F.col("kind") == OCCURS) & (F.col("place") == 0)).select("text_key", "anchor", "content", "begin", "size")
-    twice = plain.groupBy("anchor", "content").count().filter("count > 1").select("anchor", "content")
-    whole = plain.join(twice, ["anchor", "content"], "left_semi")  # its slot also holds anchors that may occur once
-    whole = whole.unionByName(found.filter(F.col("kind") == SURE).select(plain.columns))
-    whole = whole.select("text_key", F.col("begin").alias("a"), (F.col("begin") + F.col("size")).alias("b"))
-    within = compared(found.filter(F.col("kind") == SEGMENT))
-    mixed = found.filter((F.col("kind") == OCCURS) & (F.col("place") == 1)).select("text_key", "anchor", "content", "begin")
-    part = mixed.join(within, ["anchor", "content"])
-    part = part.select("text_key", (F.col("begin") + F.col("a")).alias("a"), (F.col("begin") + F.col("b")).alias("b"))
-    windows = found.filter(F.col("kind") == LONE_WINDOW).select("text_key", "anchor", "content", "begin")
-    twice = windows.groupBy("anchor", "content").count().filter("count > 1").select("anchor", "content")
-    lone = windows.join(twice, ["anchor", "content"], "left_semi")
-    lone = lone.select("text_key", F.col("begin").alias("a"), (F.col("begin") + WINDOW).alias("b"))
-    return whole.unionByName(part).unionByName(lone)
+    met = stored(met_segments(docs))
+    begin = begin_of(F.col("at"))
+    whole = met.filter(~F.col("alone") & (several_of(F.col("at")) == 0))
+    whole = whole.select("text_key", begin.alias("a"), (begin + size_of(F.col("at"))).alias("b"))
+    wanted = met.filter("mixed and chosen").select("anchor", "content", "text_key", "at", "alone")
+    found = stored(runs_and_bytes(docs, place_bits(wanted.select("text_key", begin.alias("begin")))))
+    runs, segments = found.filter("bytes is null").select(whole.columns), found.filter("bytes is not null")
+    hot = F.broadcast(stored(wanted.groupBy("anchor").count().filter(F.col("count") > most).select("anchor")))
+    spans = whole.unionByName(runs)
+    spans = spans.unionByName(compared(*(x.join(hot, "anchor", "left_anti") for x in (wanted, segments))))
+    return spans.unionByName(compared_by_hash(*(x.join(hot, "anchor", "left_semi") for x in (wanted, segments))))
 
 
 def with_member(texts: DataFrame, spans: DataFrame, member: bool) -> DataFrame:
@@ -386,12 +385,12 @@ def with_member(texts: DataFrame, spans: DataFrame, member: bool) -> DataFrame:
             some = batch.filter(pa.array(bits[batch.column(0).to_numpy()] == member))
             yield some.select(["doc_id", "text_key", "text"])
 
-    return texts.select(slot, "doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key binary, text string")
+    return texts.select(slot, "doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, text string")
 
 
-def text_key(doc_id: Column, text: Column) -> Column:
+def text_key() -> Column:
     """Stands for a row's id and text; equal rows share it."""
-    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), text)))
+    return F.xxhash64("doc_id", "text")
 
 
 def without_repeats(docs: DataFrame, most: int = 100_000) -> DataFrame:
@@ -399,11 +398,11 @@ def without_repeats(docs: DataFrame, most: int = 100_000) -> DataFrame:
 
     Each byte goes that a ``WINDOW``-byte string covers which also starts anywhere else, in the same text or
     another; all occurrences go. A null text is empty. Repeated rows are occurrences of each other.
-    ``most`` bounds how many segments of one anchor are compared in one collection.
+    ``most`` bounds how many distinct segments of one anchor are compared in one collection.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("text_key", text_key(F.col("doc_id"), F.col("text")))
-    spans = repeated_spans(texts, most).distinct().groupBy("text_key")
+    texts = texts.withColumn("text_key", text_key())
+    spans = repeated_spans(texts, most).repartition("text_key").distinct().groupBy("text_key")
     spans = stored(spans.agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
     met, others = with_member(texts, spans, True), with_member(texts, spans, False)
     rows = met.join(spans.hint("shuffle_hash"), "text_key", "left").select("doc_id", "text", "spans")

@@ -57,3 +57,22 @@ def test_a_pair_is_made_few_times(spark, monkeypatch, percent):
     found = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs, 3, percent).collect()}
     assert found == {k: k // 8 * 8 for k in range(48)}
     assert 6 * 28 <= max(made) < 3 * 6 * 28
+
+
+@pytest.mark.parametrize("most_bits", [25, 16])
+def test_grams_of_one_text_are_not_frequent(spark, monkeypatch, most_bits):
+    """Whether the counters follow the texts or have come to their limit: 38 n-grams for each of the first 2^16."""
+    monkeypatch.setattr(jaccard_join, "SKETCH_BITS", 16)
+    monkeypatch.setattr(jaccard_join, "MOST_SKETCH_BITS", most_bits, raising=False)
+    words = F.transform(F.sequence(F.lit(1), F.lit(2_500)), lambda k: F.hex(F.xxhash64("id", k)))
+    docs = spark.range(1_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words).alias("text"))
+    rows = jaccard_join.indexed(docs, jaccard_join.count_sketch(docs, 3), 3, 90)
+    found = rows.agg(F.sum("n").alias("n"), F.sum("frequent").alias("frequent")).first()
+    assert found.n == 1_000 * 2_498 and found.frequent < 0.01 * found.n
+
+
+def test_counters_stop_at_their_highest(spark):
+    docs = spark.createDataFrame([(k, "a b c " * 700) for k in range(200)], "doc_id long, text string").repartition(3)
+    sketch = jaccard_join.count_sketch(docs, 3)
+    assert sketch.max() == 65_535 and (sketch > 0).sum() == 3 and jaccard_join.rare_count(sketch) == jaccard_join.RARE
+    assert len(jaccard_join.count_sketch(docs.limit(0), 3)) == 1 << jaccard_join.SKETCH_BITS

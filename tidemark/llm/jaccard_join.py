@@ -1,7 +1,7 @@
 """Jaccard self-join on word n-grams by token-combination prefixes, and the components of its links.
 
-All n-grams have one order: by how often they occur (from a table of counters of fixed size), then by
-hash. Two sets of a high Jaccard share n-grams at the start of that order. So a set is indexed by the
+All n-grams have one order: by how often they occur (from a table of counters that grows with the texts, up to a limit),
+then by hash. Two sets of a high Jaccard share n-grams at the start of that order. So a set is indexed by the
 first of its n-grams: rare ones each by itself, frequent ones by pairs within classes of n-grams. Each
 class whose first pair needs two n-grams makes the prefix one n-gram longer. Sets that meet are verified.
 
@@ -11,8 +11,9 @@ After that, sets of different components that still share an entry are all paire
 proportion to its size, and no link between components is missed. Sets that share a passage meet in each of its n-grams: of
 the entries that hold the same sets, one is kept.
 
-An n-gram is rare if its counter is at most ``RARE``, however large the corpus: an entry of one n-gram holds no more sets than
-that. As the counters fill up, more n-grams are taken as frequent, and are indexed by pairs.
+An n-gram is rare if its counter is at most ``RARE`` above the median of all, which is what others add to it: an entry of one
+n-gram holds no more sets than that. A counter is there for about each ``TEXT_BYTES`` of text, so that few n-grams are taken as
+frequent, and indexed by pairs, for what they share a counter with. Beyond the limit the median grows, and so does its scatter.
 
 Two sets that meet in entries of frequent pairs alone share no rare n-gram, as all rare ones come before: they have no more in
 common than the smaller number of frequent n-grams, and meet only if that is enough.
@@ -39,7 +40,8 @@ from .components import components
 from .decontamination import Words
 from .frequencies import row_ids
 
-SKETCH_BITS, BLOCK_BITS = 22, 16
+SKETCH_BITS, MOST_SKETCH_BITS, BLOCK_BITS = 22, 25, 16
+TEXT_BYTES = 64
 MEMBER_BITS = 22
 CLASS_SIZE = 8
 RARE = 32
@@ -75,13 +77,20 @@ def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def sketch_bits(docs: DataFrame) -> int:
+    """The power of two of counters for ``docs``: one for ``TEXT_BYTES`` bytes or fewer, within limits."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(SKETCH_BITS, (size // TEXT_BYTES).bit_length()), MOST_SKETCH_BITS)
+
+
 def count_sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many n-grams fall on each of 2^``SKETCH_BITS`` counters; tasks send the counters that they have used."""
+    """How many n-grams fall on each counter, at most 65,535; tasks send the counters that they have used."""
+    bits = sketch_bits(docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(1 << SKETCH_BITS, np.uint32)
+        totals = np.zeros(1 << bits, np.uint32)
         for batch in pieces_of(batches, "text", 2 << 20):
-            totals += np.bincount(_slots(grams_of(batch, n)[0], SKETCH_BITS), minlength=len(totals)).astype(np.uint32)
+            np.add.at(totals, _slots(grams_of(batch, n)[0], bits), np.uint32(1))
         for block, part in enumerate(totals.reshape(-1, 1 << BLOCK_BITS)):
             used = np.flatnonzero(part)
             if len(used):
@@ -103,16 +112,21 @@ def count_sketch(docs: DataFrame, n: int) -> np.ndarray:
                 at = np.cumsum(np.frombuffer(zlib.decompress(used), np.uint16).astype(np.int64))
                 total[at] += np.frombuffer(zlib.decompress(n_), np.uint32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block]), pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()])], names=["block", "n"]
+            [pa.array([block]), pa.array([np.minimum(total, 0xFFFF).astype(np.uint16).tobytes()])], names=["block", "n"]
         )
 
     sent = docs.select("text").mapInArrow(count, "block long, used binary, n binary")
-    out = np.zeros((1 << (SKETCH_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.uint32)
+    out = np.zeros((1 << (bits - BLOCK_BITS), 1 << BLOCK_BITS), np.uint16)
     for r in sent.groupBy("block").applyInArrow(add, "block long, n binary").collect():
-        out[r.block] = np.frombuffer(r.n, np.uint32)
+        out[r.block] = np.frombuffer(r.n, np.uint16)
     return out.ravel()
 
 
+def rare_count(sketch: np.ndarray) -> int:
+    """The highest counter of a rare n-gram."""
+    return RARE + int(np.median(sketch))
+
+
 def class_counts(size: int, percent: int) -> list[int]:
     """Into how many classes frequent n-grams fall for a set of this size; two if a partner may be counted otherwise."""
 
@@ -172,6 +186,7 @@ def folded(parities: list[np.ndarray]) -> np.ndarray:
 def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFrame:
     """Every row of ``docs`` with its set's size, number of frequent n-grams, digest, parity bits (also folded) and index entries."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    bits, most = len(sketch).bit_length() - 1, rare_count(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, ids = shared.value, row_ids()
@@ -180,13 +195,13 @@ def indexed(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFr
             sizes, often_, digests, parities, entries = [], [], [], [], []
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 own = np.unique(grams[a:b])
-                often = counts[_slots(own, SKETCH_BITS)]
+                often = counts[_slots(own, bits)]
                 order = np.argsort(often, kind="stable")
                 sizes.append(len(own))
-                often_.append(int(np.count_nonzero(often > RARE)))
+                often_.append(int(np.count_nonzero(often > most)))
                 digests.append(hashlib.md5(own.tobytes(), usedforsecurity=False).digest())
                 parities.append(parity(own))
-                entries.append(signatures(own[order], often[order] <= RARE, percent).view(np.int64))
+                entries.append(signatures(own[order], often[order] <= most, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.fromiter(ids, np.int64, len(sizes))),
